@@ -409,7 +409,7 @@ def nan_nulled(spark, d):
     ),
 )
 def request_checks(spark, d):
-    rows = trips(spark, d).select(*KEYS, "source", "destination", "departure_ts", "arrival_ts")
+    rows = trips(spark, d, located=True).select(*KEYS, "source", "destination", "departure_ts", "arrival_ts")
     checked = request_errors(rows, F.lit("1998-01-01").cast("timestamp_ntz"))
     return checked.select(*KEYS, F.array_join("errors", "; ").alias("errors"))
 

@@ -68,7 +68,7 @@ ROUTE_TYPE_SQL = f"CASE WHEN source IN {_HOME} AND destination IN {_HOME} THEN '
     ),
 )
 def routes(spark, d):
-    rows = route_features(trips(spark, d).select(*KEYS, "source", "destination"))
+    rows = route_features(trips(spark, d, located=True).select(*KEYS, "source", "destination"))
     return rows.withColumn("route_distance", rnd("route_distance"))
 
 
@@ -80,7 +80,7 @@ def routes(spark, d):
     ),
 )
 def fare_by_route_type(spark, d):
-    rows = route_features(trips(spark, d).select("source", "destination", "total_fare"))
+    rows = route_features(trips(spark, d, located=True).select("source", "destination", "total_fare"))
     return rows.groupBy("route_type").agg(
         F.count("*").alias("n"), rnd(F.avg("total_fare")).alias("mean_fare"), rnd(F.sum("route_distance"), 2).alias("km")
     )
@@ -97,7 +97,7 @@ def fare_by_route_type(spark, d):
 def airport_names(spark, d):
     """Some codes are unknown and stand for themselves."""
     code = F.when(F.col("l_partkey") % 7 == 0, "XXX").otherwise(F.col("source"))
-    return with_airport_name(trips(spark, d).select(*KEYS, code.alias("code")), "code", "airport_name")
+    return with_airport_name(trips(spark, d, located=True).select(*KEYS, code.alias("code")), "code", "airport_name")
 
 
 @register(
@@ -202,5 +202,5 @@ DERIVED_SQL = f"""derived AS (SELECT {KEYS_SQL}, total_fare, booking_source, seg
 @register("derive_features", on_trips(f"SELECT * REPLACE ({r('route_distance')} AS route_distance) FROM derived", DERIVED_SQL))
 def derived(spark, d):
     """The whole feature chain before encoding."""
-    rows = derive_features(trips(spark, d).drop("airline", "src_lat", "src_lon", "dst_lat", "dst_lon"))
+    rows = derive_features(trips(spark, d, located=True).drop("airline", "src_lat", "src_lon", "dst_lat", "dst_lon"))
     return rows.withColumn("route_distance", rnd("route_distance"))

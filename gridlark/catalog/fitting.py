@@ -12,6 +12,7 @@ from gridlark.operators import scaling as S
 from gridlark.operators import splitting as X
 from gridlark.plans.features import apply_features, derive_features, fit_features, load_state, save_state
 from gridlark.plans.trips import trips
+from gridlark.sources.shared import materialize
 from gridlark.sources.tables import read_table
 
 # A hash that SQL engines compute alike; the library's default is a 64-bit hash.
@@ -97,7 +98,8 @@ def one_hot_apply(spark, d):
 def label_encode(spark, d):
     """Learned on a third of the rows; other airlines get -1."""
     rows = trips(spark, d).select(*KEYS, "airline")
-    dictionary = E.label_dictionary(rows.where("l_orderkey % 3 = 0 AND l_suppkey % 10 <> 0"), ["airline"])
+    learned = rows.where("l_orderkey % 3 = 0 AND l_suppkey % 10 <> 0")
+    dictionary = materialize(E.label_dictionary(learned, ["airline"]))
     return E.apply_labels(rows, dictionary, ["airline"])
 
 
@@ -125,7 +127,7 @@ def one_hot_vectors(spark, d):
     from pyspark.ml.functions import vector_to_array
 
     rows = trips(spark, d).select("airline")
-    dictionary = E.label_dictionary(rows, ["airline"])
+    dictionary = materialize(E.label_dictionary(rows, ["airline"]))
     model = E.fit_one_hot_vectors(dictionary, "airline")
     encoded = E.one_hot_vectors(rows, "airline", dictionary, model, "vector")
     place = F.array_position(vector_to_array("vector"), F.lit(1.0)) - 1
@@ -210,7 +212,7 @@ def fit_on_train_apply_to_test(spark, d):
 )
 def feature_matrix_profile(spark, d):
     """All features of all trips: scaled columns have mean 0 and deviation 1."""
-    rows = derive_features(trips(spark, d).drop(*KEYS, "airline", "src_lat", "src_lon", "dst_lat", "dst_lon"))
+    rows = derive_features(trips(spark, d, located=True).drop(*KEYS, "airline", "src_lat", "src_lon", "dst_lat", "dst_lon"))
     rows = rows.withColumnRenamed("total_fare", "label").na.fill(0.0, ["duration_hrs"])
     state = fit_features(rows)
     features = apply_features(rows, state)

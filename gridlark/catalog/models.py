@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +10,7 @@ from gridlark.catalog.cleaning import KEYS, SPLIT_HASH, new_folder
 from gridlark.catalog.registry import on_trips, r, register, rnd, round_all
 from gridlark.operators import leaderboard as L
 from gridlark.operators import regression as M
-from gridlark.operators.metrics import long_metrics, regression_metrics
+from gridlark.operators.metrics import metrics_of_predictions, regression_metrics
 from gridlark.operators.splitting import hash_folds, train_test, with_split
 from gridlark.plans.features import apply_features, derive_features, fit_features
 from gridlark.plans.trips import trips
@@ -75,19 +73,19 @@ def candidate_metrics(spark, d) -> DataFrame:
     """``(model, metric, value)`` of four simple predictors over all trips."""
     rows = trips(spark, d).select("class", "booking_source", "base_fare", F.col("total_fare").alias("label"))
 
-    def group_mean(group: str) -> DataFrame:
+    def group_mean(group: str, name: str) -> DataFrame:
         # A handful of groups each (fixed lists of classes and booking channels).
-        means = rows.groupBy(group).agg(F.avg("label").alias("prediction"))
-        return rows.join(F.broadcast(means), group)
-
-    predicted = {
-        "Base fare": rows.withColumn("prediction", F.col("base_fare")),
-        "Base fare and tenth": rows.withColumn("prediction", F.col("base_fare") * 1.1),
-        "Class mean": group_mean("class"),
-        "Booking mean": group_mean("booking_source"),
+        return F.broadcast(rows.groupBy(group).agg(F.avg("label").alias(name)))
+
+    predicted = (
+        rows.join(group_mean("class", "class_mean"), "class")
+        .join(group_mean("booking_source", "booking_mean"), "booking_source")
+        .withColumn("raised", F.col("base_fare") * 1.1)
+    )
+    names = {
+        "Base fare": "base_fare", "Base fare and tenth": "raised", "Class mean": "class_mean", "Booking mean": "booking_mean"
     }
-    tables = [regression_metrics(t).withColumn("model", F.lit(name)) for name, t in predicted.items()]
-    return long_metrics(reduce(DataFrame.unionByName, tables))
+    return metrics_of_predictions(predicted, "label", names)
 
 
 @register(
@@ -265,7 +263,7 @@ def grid_search(spark, d):
 
 def _ready(spark, d) -> tuple[DataFrame, DataFrame, list[str]]:
     """Scaled and encoded train and test rows of all trips, written once."""
-    rows = derive_features(trips(spark, d).drop("airline", "src_lat", "src_lon", "dst_lat", "dst_lon"))
+    rows = derive_features(trips(spark, d, located=True).drop("airline", "src_lat", "src_lon", "dst_lat", "dst_lon"))
     rows = rows.withColumnRenamed("total_fare", "label").na.fill(0.0, ["duration_hrs"])
     marked = materialize(with_split(rows, "label", 0.2, hash_column=F.expr(SPLIT_HASH), slices=1000).drop(*KEYS))
     train, test = train_test(marked)

@@ -33,7 +33,7 @@ INFO_SQL = " UNION ALL ".join(_null_row(c) for c in INFO_COLUMNS)
 
 @register("dataset_info", on_trips(INFO_SQL))
 def dataset_info(spark, d):
-    return round_all(P.dataset_info(trips(spark, d).select(*INFO_COLUMNS)))
+    return round_all(P.dataset_info(trips(spark, d, located=True).select(*INFO_COLUMNS)))
 
 
 @register(
@@ -41,7 +41,7 @@ def dataset_info(spark, d):
     on_trips(f'SELECT "column", nulls AS missing, null_pct AS missing_pct FROM ({INFO_SQL}) WHERE nulls > 0'),
 )
 def missing_report(spark, d):
-    return round_all(P.missing_report(trips(spark, d).select(*INFO_COLUMNS)))
+    return round_all(P.missing_report(trips(spark, d, located=True).select(*INFO_COLUMNS)))
 
 
 NUMBERS = ("days_before", "duration_hrs", "total_fare")
@@ -172,7 +172,7 @@ def _group_stats(group: str, name: str, extremes: bool = True, value: str = "tot
 
 def target_by_class(spark, d):
     """Flagship: fares without invalid values, by travel class."""
-    return round_all(P.target_by_category(trips(spark, d), "total_fare", "class", digits=None))
+    return round_all(P.target_by_category(trips(spark, d), "total_fare", "class", digits=None, few_groups=True))
 
 
 register("target_by_class", on_trips(_group_stats("class", "class")))(target_by_class)

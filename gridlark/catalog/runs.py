@@ -10,11 +10,10 @@ from gridlark.catalog.registry import on_trips, r, register, rnd, round_all
 from gridlark.functions.calendar import temporal_features
 from gridlark.operators import promotion as G
 from gridlark.operators import regression as M
-from gridlark.operators.metrics import long_metrics, regression_metrics
+from gridlark.operators.metrics import regression_metrics
 from gridlark.plans.features import apply_features, derive_features, fit_features, request_columns
 from gridlark.plans.scoring import score
 from gridlark.plans.trips import trips
-from gridlark.sources.shared import materialize
 from gridlark.sources.tables import read_table
 from gridlark.streaming.scoring import request_stream, run_available
 
@@ -37,7 +36,7 @@ REQUEST_COLUMNS = ("source", "destination", "departure_ts", "arrival_ts", "stopo
     ),
 )
 def requests(spark, d):
-    return request_columns(trips(spark, d).select(*KEYS, *REQUEST_COLUMNS), now())
+    return request_columns(trips(spark, d, located=True).select(*KEYS, *REQUEST_COLUMNS), now())
 
 
 @register(

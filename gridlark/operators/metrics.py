@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +39,23 @@ def regression_metrics(
     return df.groupBy(*by).agg(*[column.alias(name) for name, column in columns.items()])
 
 
+def metrics_of_predictions(df: DataFrame, label: str, predictions: Mapping[str, str]) -> DataFrame:
+    """``(model, metric, value)`` of several prediction columns, from one pass over the rows.
+
+    ``predictions`` maps a model name to its column.
+    """
+    truth = ref(label).cast("double")
+    aggs, cells = [], []
+    for i, (model, column) in enumerate(predictions.items()):
+        all_of_it = metric_columns(truth, ref(column).cast("double"))
+        for name in METRICS:
+            aggs.append(all_of_it[name].alias(f"{name}_{i}"))
+            cells.append(
+                F.struct(F.lit(model).alias("model"), F.lit(name).alias("metric"), F.col(f"{name}_{i}").alias("value"))
+            )
+    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+
+
 def long_metrics(wide: DataFrame, model: Column | str = "model", names: Sequence[str] = METRICS) -> DataFrame:
     """``(model, metric, value)`` rows of a wide metrics table."""
     cells = F.array(*[F.struct(F.lit(m).alias("metric"), ref(m).cast("double").alias("value")) for m in names])

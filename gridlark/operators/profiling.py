@@ -66,18 +66,9 @@ def missing_report(df: DataFrame) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per numeric column: count, mean, std, min, quartiles, max."""
     columns = columns or numeric_columns(df)
-    values = long_form(df, columns, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    basics = values.groupBy("column").agg(
-        F.count("*").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    # Both sides have one row per column.
-    return basics.join(F.broadcast(quantiles(values, QUARTERS, ["column"])), "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "median", "q75", "max"
-    )
+    values = long_form(df, columns, "double")
+    stats = quantiles(values, QUARTERS, ["column"], moments=True)
+    return stats.select("column", "count", "mean", "std", "min", "q25", "median", "q75", "max")
 
 
 def _frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -190,26 +181,21 @@ def grouped_statistics(
 ) -> DataFrame:
     """Count, mean, median, std (and min, max) of ``target`` per value of ``group``.
 
-    The moments are plain partial aggregates; the median is exact without holding a
-    group in one task. Null groups are left out.
+    The median is exact without holding a group in one task. Null groups are left out; a
+    group without any value has count 0. ``few_groups``: the group has a small, known number
+    of values, which saves a scan and a shuffle of the value counts.
     """
     require(df, target, group)
-    rows = df.where(ref(group).isNotNull()).select(ref(group).alias(group), ref(target).cast("double").alias(target))
-    value = F.col(target)
-    aggs = [F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std")]
-    if extremes:
-        aggs += [F.min(value).alias("min"), F.max(value).alias("max")]
-    moments = rows.groupBy(group).agg(*aggs)
-    medians = group_quantiles(rows, target, group, {"median": 0.5}, few_groups)
+    stats = group_quantiles(df, target, group, {"median": 0.5}, few_groups, moments=True)
     order = ["mean", "median", "std"] + (["min", "max"] if extremes else [])
-    return moments.join(medians, group, "left").select(
-        group, "count", *[rounded(F.col(name), digits).alias(name) for name in order]
-    )
+    return stats.select(ref(group), "count", *[rounded(F.col(name), digits).alias(name) for name in order])
 
 
-def target_by_category(df: DataFrame, target: str, category: str, digits: int | None = 2) -> DataFrame:
+def target_by_category(
+    df: DataFrame, target: str, category: str, digits: int | None = 2, few_groups: bool = False
+) -> DataFrame:
     """Statistics of the target per category, highest mean first."""
-    return grouped_statistics(df, target, category, digits).orderBy(F.desc("mean"), ref(category))
+    return grouped_statistics(df, target, category, digits, few_groups).orderBy(F.desc("mean"), ref(category))
 
 
 CALENDAR_GROUPS = {

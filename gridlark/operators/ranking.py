@@ -88,41 +88,94 @@ def running_counts(counts: DataFrame, keys: Sequence[str], levels: Sequence[str]
     return leaf.join(offsets, keys + levels).select(*counts.columns, total.alias("smaller"))
 
 
+MOMENTS = ("count", "mean", "std", "min", "max")
+
+
 def order_statistics(
     df: DataFrame,
     positions: dict[str, Callable[[Column], Column]],
     keys: Sequence[str] = (),
     few_keys: bool = True,
+    moments: bool = False,
 ) -> DataFrame:
     """Values at given positions of the sorted ``value`` column, interpolated linearly.
 
     ``df`` has the key columns and a double column ``value``; missing values and null
-    keys do not count. ``positions`` maps an output name to a function that gives the
+    keys do not count, and a key without values has no positions. ``positions`` maps an output name to a function that gives the
     0-based position from ``n``, the number of values of the key. Exact for any
     distribution.
 
     ``few_keys``: the keys have a small, known number of values (column names, months),
     so only the rows in the wanted buckets are moved, found by a broadcast join of at
     most two buckets per key and position. Otherwise value counts are shuffled once.
+
+    ``moments`` adds count, mean, sample standard deviation, min and max. With
+    ``few_keys`` they are put together from the bucket counts: no further scan.
     """
     keys = list(keys)
-    rows = df.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    # Missing values weigh nothing; they only make their key known.
+    named = df.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
     for key in keys:
-        rows = rows.where(F.col(key).isNotNull())
+        named = named.where(F.col(key).isNotNull())
     if few_keys:
-        rows = rows.select(*keys, "value", F.lit(1).cast("bigint").alias("weight"))
+        rows = named.select(*keys, "value", F.col("value").isNotNull().cast("bigint").alias("weight"))
     else:
-        rows = rows.groupBy(*keys, "value").agg(F.count("*").alias("weight"))
+        rows = named.groupBy(*keys, "value").agg(F.count("value").alias("weight"))
     rows = rows.withColumn("b1", coarse_bucket(F.col("value")))
 
     coarse = rows.groupBy(*keys, "b1").agg(
-        F.sum("weight").alias("size"), F.min("value").alias("low"), F.max("value").alias("high")
+        F.sum("weight").alias("size"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        F.avg("value").alias("middle"),
+        F.var_pop("value").alias("spread"),
     )
+    whole = W.partitionBy(*keys)
     coarse = coarse.select(
-        *keys, "b1", "size", "low", "high",
+        *keys, "b1", "size", "low", "high", "middle", "spread",
         running("size", keys, "b1").alias("start"),
-        F.sum("size").over(W.partitionBy(*keys)).alias("n"),
+        F.sum("size").over(whole).alias("n"),
+        F.try_divide(F.sum(F.col("middle") * F.col("size")).over(whole), F.sum("size").over(whole)).alias("mean"),
     )
+    found = _pick(rows, coarse, positions, keys, few_keys)
+    if not moments:
+        return found
+    if few_keys:
+        off = F.col("middle") - F.col("mean")
+        squares = F.sum(F.col("size") * (F.col("spread") + off * off))
+        facts = coarse.groupBy(*keys).agg(
+            F.coalesce(F.sum("size"), F.lit(0)).alias("count"),
+            F.max("mean").alias("mean"),
+            F.sqrt(F.try_divide(squares, F.sum("size") - 1)).alias("std"),
+            F.min("low").alias("min"),
+            F.max("high").alias("max"),
+        )
+    else:
+        facts = named.groupBy(*keys).agg(*moment_columns(F.col("value")))
+    if not keys:
+        both = facts.withColumn("_found", found.select(F.struct(*positions)).scalar())
+        return both.select(*MOMENTS, "_found.*")
+    return facts.join(F.broadcast(found) if few_keys else found, keys, "left").select(*keys, *MOMENTS, *positions)
+
+
+def moment_columns(value: Column) -> list[Column]:
+    return [
+        F.count(value).alias("count"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    ]
+
+
+def _pick(
+    rows: DataFrame,
+    coarse: DataFrame,
+    positions: dict[str, Callable[[Column], Column]],
+    keys: list[str],
+    few_keys: bool,
+) -> DataFrame:
+    """Look the positions up: bucket, part of the bucket, value."""
     spots = {
         name: F.greatest(position(F.col("n")).cast("double"), F.lit(0.0)) for name, position in positions.items()
     }
@@ -131,7 +184,7 @@ def order_statistics(
     def holds_a_rank(start: Column, size: Column) -> Column:
         return F.exists(ranks, lambda r: (r >= start) & (r < start + size))
 
-    wanted = coarse.where(holds_a_rank(F.col("start"), F.col("size"))).drop("size")
+    wanted = coarse.where(holds_a_rank(F.col("start"), F.col("size"))).select(*keys, "b1", "low", "high", "start", "n")
     hits = rows.join(F.broadcast(wanted) if few_keys else wanted, [*keys, "b1"])
     path = [*keys, "b1", "b2"]
     counted = (
@@ -160,11 +213,11 @@ def order_statistics(
 
 
 def quantiles(
-    df: DataFrame, probs: dict[str, float], keys: Sequence[str] = (), few_keys: bool = True
+    df: DataFrame, probs: dict[str, float], keys: Sequence[str] = (), few_keys: bool = True, moments: bool = False
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per key, one column per name."""
     positions = {name: (lambda n, p=p: F.lit(float(p)) * (n - 1)) for name, p in probs.items()}
-    return order_statistics(df, positions, keys, few_keys)
+    return order_statistics(df, positions, keys, few_keys, moments)
 
 
 def column_quantiles(df: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:
@@ -173,11 +226,11 @@ def column_quantiles(df: DataFrame, column: str, probs: dict[str, float]) -> Dat
 
 
 def group_quantiles(
-    df: DataFrame, column: str, group: str, probs: dict[str, float], few_keys: bool = False
+    df: DataFrame, column: str, group: str, probs: dict[str, float], few_keys: bool = False, moments: bool = False
 ) -> DataFrame:
     """Exact quantiles of ``column`` per value of ``group`` (null groups left out)."""
     rows = df.select(ref(group).alias(group), ref(column).cast("double").alias("value"))
-    return quantiles(rows, probs, [group], few_keys)
+    return quantiles(rows, probs, [group], few_keys, moments)
 
 
 def approximate_quantiles(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlark.functions.domain import CV_FOLDS, SEED
-from gridlark.operators.metrics import fold_summary, long_metrics, regression_metrics
+from gridlark.operators.metrics import fold_summary, metrics_of_predictions, regression_metrics
 
 # Deepest tree that Spark ML grows; stands for an unlimited depth.
 DEEPEST = 30
@@ -112,26 +112,36 @@ def train(train_df: DataFrame, features: Sequence[str], estimators: Mapping[str,
         rows.unpersist()
 
 
-def evaluate(models: Mapping[str, Model], df: DataFrame) -> DataFrame:
-    """``(model, metric, value)`` of all models on a frame with ``label``."""
-    tables = [
-        regression_metrics(model.transform(df).select("label", "prediction")).withColumn("model", F.lit(name))
-        for name, model in models.items()
-    ]
-    return long_metrics(reduce(DataFrame.unionByName, tables))
+def evaluate(models: Mapping[str, PipelineModel], df: DataFrame) -> DataFrame:
+    """``(model, metric, value)`` of the models of one ``train`` call on a frame with ``label``.
+
+    The rows are assembled once and every model adds its prediction column, so all
+    metrics come from one pass.
+    """
+    scored = next(iter(models.values())).stages[0].transform(df)
+    columns = {}
+    for i, (name, model) in enumerate(models.items()):
+        last = model.stages[-1]
+        columns[name] = f"_p{i}"
+        scored = last.copy({last.predictionCol: f"_p{i}"}).transform(scored)
+    return metrics_of_predictions(scored, "label", columns)
 
 
 def fold_metrics(estimator: Estimator, df: DataFrame, fold: str = "fold", folds: int = CV_FOLDS) -> DataFrame:
     """Metrics per fold; one fit per fold serves all metrics, one aggregate all folds.
 
-    ``df`` has ``features``, ``label`` and the fold column.
+    ``df`` has ``features``, ``label`` and the fold column; one row per fold is read back.
     """
     rows = df.select("features", "label", fold).persist(StorageLevel.MEMORY_AND_DISK)
-    scored = []
-    for k in range(folds):
-        model = estimator.fit(rows.where(F.col(fold) != k))
-        scored.append(model.transform(rows.where(F.col(fold) == k)).select(fold, "label", "prediction"))
-    return regression_metrics(reduce(DataFrame.unionByName, scored), by=[fold])
+    try:
+        scored = []
+        for k in range(folds):
+            model = estimator.fit(rows.where(F.col(fold) != k))
+            scored.append(model.transform(rows.where(F.col(fold) == k)).select(fold, "label", "prediction"))
+        by_fold = regression_metrics(reduce(DataFrame.unionByName, scored), by=[fold])
+        return df.sparkSession.createDataFrame(by_fold.collect(), by_fold.schema)
+    finally:
+        rows.unpersist()
 
 
 def cross_validate(estimator: Estimator, df: DataFrame, fold: str = "fold", folds: int = CV_FOLDS) -> DataFrame:

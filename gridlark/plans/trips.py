@@ -12,8 +12,21 @@ def _null_every(modulus: int, value: Column) -> Column:
     return F.when(F.col("l_orderkey") % modulus != 0, value)
 
 
-def trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Star join of the order tables.
+def _with_airports(spark: SparkSession, joined: DataFrame) -> DataFrame:
+    places = airports(spark)
+    src = places.select(
+        F.col("id").alias("c_nationkey"), F.col("code").alias("source"),
+        F.col("lat").alias("src_lat"), F.col("lon").alias("src_lon"),
+    )
+    dst = places.select(
+        F.col("id").alias("s_nationkey"), F.col("code").alias("destination"),
+        F.col("lat").alias("dst_lat"), F.col("lon").alias("dst_lon"),
+    )
+    return joined.join(F.broadcast(src), "c_nationkey", "left").join(F.broadcast(dst), "s_nationkey", "left")
+
+
+def trips(spark: SparkSession, folder: str, located: bool = False) -> DataFrame:
+    """Star join of the order tables; ``located`` adds the two airports of a trip.
 
     Only the 20-row airport dimension is broadcast by hint; the other sides grow with
     the data, so their join strategy is left to the size statistics and AQE.
@@ -27,23 +40,16 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey", "s_name"
     )
     parts = read_table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    places = airports(spark)
-    src = places.select(
-        F.col("id").alias("c_nationkey"), F.col("code").alias("source"),
-        F.col("lat").alias("src_lat"), F.col("lon").alias("src_lon"),
-    )
-    dst = places.select(
-        F.col("id").alias("s_nationkey"), F.col("code").alias("destination"),
-        F.col("lat").alias("dst_lat"), F.col("lon").alias("dst_lon"),
-    )
     joined = (
         lines.join(orders, "l_orderkey")
         .join(customers, "c_custkey")
         .join(suppliers, "l_suppkey")
         .join(parts, "l_partkey")
-        .join(F.broadcast(src), "c_nationkey", "left")
-        .join(F.broadcast(dst), "s_nationkey", "left")
     )
+    places = []
+    if located:
+        joined = _with_airports(spark, joined)
+        places = ["source", "src_lat", "src_lon", "destination", "dst_lat", "dst_lon"]
 
     hour = (F.col("l_orderkey") % 24).cast("int")
     travel = (F.col("l_orderkey") % 24 + F.col("l_quantity")).cast("int")
@@ -62,7 +68,7 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         _null_every(17, F.col("s_name")).alias("airline"),
-        "source", "src_lat", "src_lon", "destination", "dst_lat", "dst_lon",
+        *places,
         (F.col("l_shipdate") + F.make_dt_interval(hours=hour)).alias("departure_ts"),
         (F.col("l_shipdate") + F.make_dt_interval(hours=travel)).alias("arrival_ts"),
         F.greatest(F.lit(0), lead).alias("days_before"),
