@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridlark.operators.columns import numeric_columns, ref
-from gridlark.operators.ranking import add_bucket_levels, before, running_counts
+from gridlark.operators.ranking import before, ranked_values
 
 METHODS = ("pearson", "spearman", "kendall")
 
@@ -58,25 +58,25 @@ def pair_points(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return present.groupBy("pair", "x", "y").agg(F.count("*").alias("weight"))
 
 
-def _ranks(points: DataFrame, axis: str, weight: str) -> DataFrame:
-    """Per pair and value of one axis: ``before_`` (summed weight of smaller values) and
-    ``ties_`` (rows with the value). Weight ``one`` counts distinct values (dense rank).
+def _ranks(points: DataFrame, axis: str) -> DataFrame:
+    """Per pair and value of one axis: ``before_`` (rows with a smaller value), ``ties_``
+    (rows with the value) and ``rank_`` (distinct smaller values).
     """
     counts = points.groupBy("pair", F.col(axis).alias("value")).agg(F.sum("weight").alias("weight"))
-    leveled = add_bucket_levels(counts, ["pair"]).withColumn("one", F.lit(1).cast("bigint"))
-    return running_counts(leveled, ["pair"], ["b1", "b2"], weight).select(
+    return ranked_values(counts, ["pair"]).select(
         "pair",
         F.col("value").alias(axis),
         F.col("smaller").alias(f"before_{axis}"),
         F.col("weight").alias(f"ties_{axis}"),
+        F.col("rank").alias(f"rank_{axis}"),
     )
 
 
 def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation with average ranks, each pair ranked over its complete rows."""
     points = pair_points(df, columns)
-    ranked = points.join(_ranks(points, "x", "weight"), ["pair", "x"]).join(
-        _ranks(points, "y", "weight"), ["pair", "y"]
+    ranked = points.join(_ranks(points, "x"), ["pair", "x"]).join(
+        _ranks(points, "y"), ["pair", "y"]
     )
     # Ranks of a pair have mean (n + 1) / 2; taking it off first avoids cancellation.
     totals = points.groupBy("pair").agg(F.sum("weight").alias("n"))
@@ -122,20 +122,20 @@ def kendall_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     with block totals carried forward, so no task holds a whole family.
     """
     points = pair_points(df, columns)
-    x_ranks, y_ranks = _ranks(points, "x", "one"), _ranks(points, "y", "one")
-    ranked = points.join(x_ranks.select("pair", "x", "before_x"), ["pair", "x"]).join(
-        y_ranks.select("pair", "y", "before_y"), ["pair", "y"]
+    x_ranks, y_ranks = _ranks(points, "x"), _ranks(points, "y")
+    ranked = points.join(x_ranks.select("pair", "x", "rank_x"), ["pair", "x"]).join(
+        y_ranks.select("pair", "y", "rank_y"), ["pair", "y"]
     )
     bits = F.sequence(F.lit(0), F.lit(62))
-    top = F.broadcast(x_ranks.groupBy("pair").agg(F.max("before_x").alias("top")))
+    top = F.broadcast(x_ranks.groupBy("pair").agg(F.max("rank_x").alias("top")))
     # Bits above the largest rank decide nothing.
     used = F.filter(bits, lambda b: F.call_function("shiftright", F.col("top"), b) > 0)
-    spread = ranked.join(top, "pair").select("pair", "before_x", "before_y", "weight", F.explode(used).alias("bit"))
-    shifted = F.call_function("shiftright", F.col("before_x"), F.col("bit"))
+    spread = ranked.join(top, "pair").select("pair", "rank_x", "rank_y", "weight", F.explode(used).alias("bit"))
+    shifted = F.call_function("shiftright", F.col("rank_x"), F.col("bit"))
     one = shifted.bitwiseAND(F.lit(1).cast("bigint")) == 1
     family = ["pair", "bit", "prefix"]
     cells = spread.groupBy(
-        "pair", "bit", F.floor(shifted / 2).alias("prefix"), F.col("before_y"), F.floor(F.col("before_y") / BLOCK).alias("block")
+        "pair", "bit", F.floor(shifted / 2).alias("prefix"), F.col("rank_y"), F.floor(F.col("rank_y") / BLOCK).alias("block")
     ).agg(
         F.sum(F.when(one, F.lit(0)).otherwise(F.col("weight"))).alias("zeros"),
         F.sum(F.when(one, F.col("weight")).otherwise(F.lit(0))).alias("ones"),
@@ -146,7 +146,7 @@ def kendall_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum("block_zeros").over(before(family, "block")), F.lit(0)).alias("carried"),
         F.sum("block_zeros").over(W.partitionBy(*family)).alias("all_zeros"),
     )
-    inside = F.coalesce(F.sum("zeros").over(before([*family, "block"], "before_y")), F.lit(0))
+    inside = F.coalesce(F.sum("zeros").over(before([*family, "block"], "rank_y")), F.lit(0))
     placed = cells.withColumn("inside", inside).where("ones > 0").join(blocks, [*family, "block"])
     below = (F.col("carried") + F.col("inside")).cast("double")
     above = F.col("all_zeros") - below - F.col("zeros")

@@ -18,15 +18,18 @@ from gridlark.operators.columns import ref
 # Buckets per factor e of the value (first level) and equal-width parts of each (second).
 LOG_STEPS = 256
 LINEAR_STEPS = 4096
+MISSING_BUCKET = -(1 << 40)
 
 
 def coarse_bucket(value: Column) -> Column:
     """Order-preserving bucket of a double by sign and magnitude.
 
-    There are at most ``2 * 710 * LOG_STEPS`` buckets, whatever the data.
+    There are at most ``2 * 710 * LOG_STEPS`` buckets, whatever the data. A missing value
+    has a bucket of its own: as the result is never null, a join on it adds no filter
+    below a shuffle, and all uses of the bucketed rows stay one plan.
     """
     size = F.floor(F.log1p(F.abs(value)) * LOG_STEPS)
-    return F.when(value < 0, -size).otherwise(size)
+    return F.coalesce(F.when(value < 0, -size).otherwise(size), F.lit(MISSING_BUCKET))
 
 
 def fine_bucket(value: Column, low: Column, high: Column) -> Column:
@@ -44,26 +47,42 @@ def running(weight: str, partition: Sequence[str], order: str) -> Column:
     return F.coalesce(F.sum(weight).over(before(partition, order)), F.lit(0).cast("bigint"))
 
 
-def value_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct ``(keys, value)`` of the non-missing values with their counts.
+def ranked_values(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Append ``smaller`` (rows with a smaller value) and ``rank`` (distinct smaller values).
 
-    Counts are summed on the map side, and the shuffle key includes the value: neither
-    a hot key nor a hot value lands in one task.
-    """
-    present = df.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    return present.groupBy(*keys, "value").agg(F.count("*").alias("weight"))
-
-
-def add_bucket_levels(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Append the bucket levels ``b1`` and ``b2`` to ``(keys, value, weight)`` rows.
-
-    ``keys`` must be names with a known, small number of values (column names or
-    column pairs), which bounds the broadcast bucket ranges.
+    ``counts`` are ``(keys, value, weight)`` rows of distinct values. ``keys`` must be
+    names with a known, small number of values (column pairs), which bounds the
+    broadcast bucket totals. Rows are ordered within one part of one bucket only.
     """
+    keys = list(keys)
     coarse = counts.withColumn("b1", coarse_bucket(F.col("value")))
-    ranges = coarse.groupBy(*keys, "b1").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    return coarse.join(F.broadcast(ranges), [*keys, "b1"]).select(
-        *keys, "value", "weight", "b1", fine_bucket(F.col("value"), F.col("low"), F.col("high")).alias("b2")
+    totals = coarse.groupBy(*keys, "b1").agg(
+        F.sum("weight").alias("rows"), F.count("*").alias("values"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    totals = totals.select(
+        *keys, "b1", "low", "high",
+        running("rows", keys, "b1").alias("rows1"), running("values", keys, "b1").alias("values1"),
+    )
+    parted = coarse.join(F.broadcast(totals), [*keys, "b1"]).withColumn(
+        "b2", fine_bucket(F.col("value"), F.col("low"), F.col("high"))
+    )
+    path, parent = [*keys, "b1", "b2"], [*keys, "b1"]
+    # The two totals only follow the bucket; grouping by them too keeps this use of
+    # ``parted`` the same plan as the one below, so the bucket totals are made once.
+    fine = parted.groupBy(*path, "rows1", "values1").agg(F.sum("weight").alias("rows"), F.count("*").alias("values"))
+    fine = fine.select(
+        *path, running("rows", parent, "b2").alias("rows2"), running("values", parent, "b2").alias("values2")
+    )
+    placed = parted.withColumns(
+        {
+            "rows3": running("weight", path, "value"),
+            "values3": F.row_number().over(W.partitionBy(*path).orderBy("value")) - 1,
+        }
+    ).join(fine, path)
+    return placed.select(
+        *counts.columns,
+        (F.col("rows1") + F.col("rows2") + F.col("rows3")).alias("smaller"),
+        (F.col("values1") + F.col("values2") + F.col("values3")).alias("rank"),
     )
 
 
@@ -137,7 +156,10 @@ def order_statistics(
         F.sum("size").over(whole).alias("n"),
         F.try_divide(F.sum(F.col("middle") * F.col("size")).over(whole), F.sum("size").over(whole)).alias("mean"),
     )
-    found = _pick(rows, coarse, positions, keys, few_keys)
+    # The lookup carries two columns it does not use itself: so it and the moments read
+    # the same bucket counts, and Spark scans and shuffles them once.
+    carried = ["middle", "spread"] if moments and few_keys else []
+    found = _pick(rows, coarse, positions, keys, few_keys, carried)
     if not moments:
         return found
     if few_keys:
@@ -174,6 +196,7 @@ def _pick(
     positions: dict[str, Callable[[Column], Column]],
     keys: list[str],
     few_keys: bool,
+    carried: list[str],
 ) -> DataFrame:
     """Look the positions up: bucket, part of the bucket, value."""
     spots = {
@@ -184,12 +207,14 @@ def _pick(
     def holds_a_rank(start: Column, size: Column) -> Column:
         return F.exists(ranks, lambda r: (r >= start) & (r < start + size))
 
-    wanted = coarse.where(holds_a_rank(F.col("start"), F.col("size"))).select(*keys, "b1", "low", "high", "start", "n")
+    wanted = coarse.where(holds_a_rank(F.col("start"), F.col("size"))).select(
+        *keys, "b1", "low", "high", "start", "n", *carried
+    )
     hits = rows.join(F.broadcast(wanted) if few_keys else wanted, [*keys, "b1"])
     path = [*keys, "b1", "b2"]
     counted = (
         hits.withColumn("b2", fine_bucket(F.col("value"), F.col("low"), F.col("high")))
-        .groupBy(*path, "start", "n", "value")
+        .groupBy(*path, "start", "n", *carried, "value")
         .agg(F.sum("weight").alias("weight"))
     )
     fine = counted.groupBy(*path, "start", "n").agg(F.sum("weight").alias("size"))
