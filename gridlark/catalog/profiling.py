@@ -324,11 +324,17 @@ def kendall_pairs(spark, d):
 _LIMITS = "(SELECT min(value) AS lo, max(value) AS hi FROM {t})"
 
 
+def _binned(table: str, bins: int) -> str:
+    """Rows per bin; a value on an edge belongs to the bin that starts there."""
+    return f"""(SELECT CASE WHEN value < lo + step * g THEN g - 1 WHEN g < {bins - 1} AND value >= lo + step * (g + 1) THEN g + 1 ELSE g END AS bin,
+      count(*) AS n FROM (SELECT value, lo, step, least(floor((value - lo) / step), {bins - 1})::INT AS g FROM {table},
+      (SELECT min(value) AS lo, (max(value) - min(value)) / {bins} AS step FROM {table}) WHERE value IS NOT NULL) GROUP BY 1)"""
+
+
 def _histogram(table: str, bins: int) -> str:
     return f"""SELECT b.bin, {r(f'lo + (hi - lo) / {bins} * b.bin')} AS low, {r(f'lo + (hi - lo) / {bins} * (b.bin + 1)')} AS high,
-      coalesce(n, 0) AS "count" FROM (SELECT unnest(range({bins}))::INT AS bin) b, {_LIMITS.format(t=table)} LEFT JOIN
-      (SELECT least(floor((value - lo) / (hi - lo) * {bins}), {bins - 1})::INT AS bin, count(*) AS n
-       FROM {table}, {_LIMITS.format(t=table)} WHERE value IS NOT NULL GROUP BY 1) c ON c.bin = b.bin"""
+      coalesce(n, 0) AS "count" FROM (SELECT unnest(range({bins}))::INT AS bin) b, {_LIMITS.format(t=table)}
+      LEFT JOIN {_binned(table, bins)} c ON c.bin = b.bin"""
 
 
 @register("histogram", _histogram("events", 30))
@@ -406,10 +412,9 @@ def box_order(spark, d):
 @register(
     "density",
     f"""WITH f AS (SELECT count(*) AS n, stddev_samp(value) * pow(count(*), -0.2) AS h, min(value) AS lo, max(value) AS hi FROM events),
-    cells AS (SELECT least(floor((value - lo) / (hi - lo) * 2048), 2047) AS bin, count(*) AS c FROM events, f GROUP BY 1),
-    centres AS (SELECT lo + (hi - lo) / 2048 * (bin + 0.5) AS x0, c FROM cells, f),
+    centres AS (SELECT lo + (hi - lo) / 2048 * (bin + 0.5) AS x0, n AS c FROM {_binned('events', 2048)}, f),
     grid AS (SELECT lo + (hi - lo) / 199 * i AS x FROM f, (SELECT unnest(range(200)) AS i))
-    SELECT {r('x')} AS x, {r('sum(c * exp(-0.5 * ((x - x0) / h) * ((x - x0) / h))) / max(n * h) / sqrt(2 * pi())', 8)} AS density
+    SELECT {r('x')} AS x, {r('sum(c * exp(-0.5 * ((x - x0) / h) * ((x - x0) / h))) / max(f.n * h) / sqrt(2 * pi())', 8)} AS density
     FROM grid, centres, f GROUP BY x""",
 )
 def density(spark, d):

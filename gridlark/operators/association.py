@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,6 +23,13 @@ def _no_pairs(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], "column_a string, column_b string, r double")
 
 
+def _pearson(a: Column, b: Column) -> Column:
+    """Correlation over the rows with both values; null where ``corr`` would divide by 0."""
+    a_spread = F.stddev_pop(F.when(b.isNotNull(), a))
+    b_spread = F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), a_spread * b_spread)
+
+
 def pearson_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_a, column_b, r)`` of all pairs a before b, in one aggregate.
 
@@ -30,11 +37,9 @@ def pearson_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     pairs = list(combinations(columns, 2))
     values = df.select([F.nanvl(ref(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
-    one_row = values.agg(*[F.corr(ref(a), ref(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    one_row = values.agg(*[_pearson(ref(a), ref(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = [
-        F.struct(
-            F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.nanvl(F.col(f"r{i}"), F.lit(None)).alias("r")
-        )
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)
     ]
     return one_row.select(F.inline(F.array(*rows)))

@@ -32,10 +32,20 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
         F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
     )
-    edges = limits.select(F.struct("low", "high")).scalar()
-    share = F.try_divide(F.col("value") - F.col("edges.low"), F.col("edges.high") - F.col("edges.low"))
-    bin_of = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
-    counted = values.withColumn("edges", edges).groupBy(bin_of.alias("bin")).agg(F.count("*").alias("count"))
+    step = (F.col("high") - F.col("low")) / bins
+    edges = limits.select(F.struct("low", step.alias("step"))).scalar()
+    low, step = F.col("edges.low"), F.col("edges.step")
+    placed = values.withColumn("edges", edges)
+    # The division may be off by one bin at an edge; comparing with the edges settles it.
+    guess = F.least(F.floor(F.try_divide(F.col("value") - low, step)), F.lit(bins - 1)).cast("int")
+    placed = placed.withColumn("guess", guess)
+    guess = F.col("guess")
+    bin_of = (
+        F.when(F.col("value") < low + step * guess, guess - 1)
+        .when((guess < bins - 1) & (F.col("value") >= low + step * (guess + 1)), guess + 1)
+        .otherwise(guess)
+    )
+    counted = placed.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("count"))
     all_bins = limits.where(F.col("low").isNotNull()).select(
         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "low", "high"
     )

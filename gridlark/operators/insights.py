@@ -21,6 +21,11 @@ def _finding(rows: DataFrame, rule: str, column: str, value: Column, when: Colum
     )
 
 
+def _quoted(column: str) -> str:
+    """A column name inside a format pattern."""
+    return "'" + column.replace("%", "%%") + "'"
+
+
 def target_insights(df: DataFrame, target: str) -> DataFrame:
     """Skewed target (``abs > 1``) and high variation (``std / mean > 0.5``)."""
     value = ref(target).cast("double")
@@ -50,11 +55,11 @@ def category_insights(df: DataFrame, column: str) -> DataFrame:
     kinds, share = F.col("kinds"), F.col("share")
     many = _finding(
         shape, "high_cardinality", column, kinds, kinds > MANY_CATEGORIES,
-        F.format_string(f"Feature '{column}' has high cardinality (%d unique values)", kinds),
+        F.format_string(f"Feature {_quoted(column)} has high cardinality (%d unique values)", kinds),
     )
     dominant = _finding(
         shape, "dominant_category", column, share, share > 0.5,
-        F.format_string(f"Feature '{column}' is dominated by one category (%s: %.1f%%)", F.col("top"), share * 100),
+        F.format_string(f"Feature {_quoted(column)} is dominated by one category (%s: %.1f%%)", F.col("top"), share * 100),
     )
     return many.unionByName(dominant)
 
@@ -68,7 +73,7 @@ def group_insights(df: DataFrame, target: str, column: str) -> DataFrame:
     spread = F.col("spread")
     return _finding(
         shape, "strong_group_effect", column, spread, F.try_divide(spread, F.col("overall")) > 0.5,
-        F.format_string(f"Feature '{column}' shows strong variation in target (range: %.2f)", spread),
+        F.format_string(f"Feature {_quoted(column)} shows strong variation in target (range: %.2f)", spread),
     )
 
 

@@ -118,15 +118,16 @@ def descriptive_statistics(df: DataFrame) -> DataFrame:
 
 
 def corrected_skewness(value: Column) -> Column:
-    """Bias-corrected sample skewness; null below three values."""
+    """Bias-corrected sample skewness; 0 for a constant, null below three values."""
     n = F.count(value).cast("double")
-    return F.when(n > 2, F.skewness(value) * F.sqrt(n * (n - 1)) / (n - 2))
+    return F.when(n > 2, F.coalesce(F.skewness(value), F.lit(0.0)) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
 def corrected_kurtosis(value: Column) -> Column:
-    """Bias-corrected excess kurtosis; null below four values."""
+    """Bias-corrected excess kurtosis; 0 for a constant, null below four values."""
     n = F.count(value).cast("double")
-    return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(value) + 6))
+    corrected = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(value) + 6)
+    return F.when(n > 3, F.coalesce(corrected, F.lit(0.0)))
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
