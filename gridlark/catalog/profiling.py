@@ -412,7 +412,7 @@ def box_order(spark, d):
 @register(
     "density",
     f"""WITH f AS (SELECT count(*) AS n, stddev_samp(value) * pow(count(*), -0.2) AS h, min(value) AS lo, max(value) AS hi FROM events),
-    centres AS (SELECT lo + (hi - lo) / 2048 * (bin + 0.5) AS x0, n AS c FROM {_binned('events', 2048)}, f),
+    centres AS (SELECT lo + (hi - lo) / 2048 * (bin + 0.5) AS x0, b.n AS c FROM {_binned('events', 2048)} b, f),
     grid AS (SELECT lo + (hi - lo) / 199 * i AS x FROM f, (SELECT unnest(range(200)) AS i))
     SELECT {r('x')} AS x, {r('sum(c * exp(-0.5 * ((x - x0) / h) * ((x - x0) / h))) / max(f.n * h) / sqrt(2 * pi())', 8)} AS density
     FROM grid, centres, f GROUP BY x""",
