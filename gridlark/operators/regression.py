@@ -97,8 +97,8 @@ def baselines(trees: int = 100, rounds: int = 100, forest_depth: int | None = No
         "Lasso (alpha=1.0)": lasso(1.0),
         "Decision Tree": decision_tree(10),
         "Random Forest": random_forest(trees, forest_depth),
-        "XGBoost": boosted_trees(rounds),
-        "LightGBM": boosted_leaves(rounds),
+        "Gradient Boosting (by depth)": boosted_trees(rounds),
+        "Gradient Boosting (by leaves)": boosted_leaves(rounds),
     }
 
 
@@ -149,7 +149,8 @@ def cross_validate(estimator: Estimator, df: DataFrame, fold: str = "fold", fold
     return fold_summary(fold_metrics(estimator, df, fold, folds))
 
 
-# Search grids per model kind, with the published parameter names.
+# Search grids per model kind, with the published kind and parameter names.
+# The two boosting kinds are both Spark's gradient-boosted trees; see ``_tree_params``.
 GRIDS = {
     "ridge": {"alpha": [0.1, 1.0, 10.0, 100.0]},
     "lasso": {"alpha": [0.01, 0.1, 1.0, 10.0]},
