@@ -12,6 +12,7 @@ from gridlark.plans.features import drop_leaks, outside_domain, prefixed, reques
 from gridlark.plans.trips import trips
 from gridlark.functions.calendar import temporal_features
 from gridlark.sources.csv import read_csv
+from gridlark.sources.fares import production_names, read_fares
 from gridlark.sources.metrics import write_csv, write_json, write_split
 from gridlark.sources.shared import shared_folder
 from gridlark.sources.tables import read_table
@@ -74,6 +75,23 @@ def csv_inferred_schema(spark, d):
     )
 
 
+_FARE_COLUMNS = ("airline", "source", "destination", "departure_ts", "arrival_ts", "duration_hrs", "stopovers", "class", "booking_source", "base_fare", "tax", "total_fare")
+
+
+@register(
+    "production_csv",
+    on_trips(
+        f"""SELECT {', '.join(_FARE_COLUMNS)}, days_before::BIGINT AS days_before, NULL::VARCHAR AS source_name, NULL::VARCHAR AS destination_name,
+        NULL::VARCHAR AS aircraft_type, NULL::VARCHAR AS seasonality FROM trips"""
+    ),
+)
+def production_csv(spark, d):
+    """All trips as a CSV file with the production titles, read back under short names."""
+    path = new_folder(spark, "fares")
+    write_csv(production_names(trips(spark, d, located=True)), path)
+    return read_fares(spark, path)
+
+
 @register(
     "json_round_trip",
     "SELECT event_id, user_id, event_type, value FROM events",

@@ -317,3 +317,15 @@ def model_round_trip(spark, d):
     first = model.transform(rows).select("p_partkey", "x", "label", F.col("prediction").alias("before"))
     both = again.transform(first.drop("features"))
     return both.agg(F.count("*").alias("n"), F.max(F.abs(F.col("prediction") - F.col("before"))).alias("largest_change"))
+
+
+@register("retraining")
+def retraining(spark, d):
+    """The whole job on all trips: row gate, training, promotion gate, pointer."""
+    from gridlark.plans.training import current_run_id, retrain
+
+    raw = trips(spark, d, located=True).drop("airline", "src_lat", "src_lon", "dst_lat", "dst_lon")
+    folder = new_folder(spark, "runs")
+    decision = retrain(spark, raw, folder, "first", "2024-01-01", keys=KEYS, estimators={"Linear Regression": M.linear()})
+    rows = [("first", decision, current_run_id(spark, folder) == "first")]
+    return spark.createDataFrame(rows, "run_id string, decision string, current boolean")

@@ -350,6 +350,7 @@ def center_lines(spark, d):
     return round_all(H.center_lines(read_table(spark, d, "events"), "value"))
 
 
+POINT_HASH = "(l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 1299709)"
 # A prediction every table has: the fare without its tax.
 SCORED = "scored AS (SELECT l_orderkey, l_linenumber, l_partkey, total_fare AS label, base_fare AS prediction FROM trips)"
 
@@ -383,6 +384,15 @@ def identity_line(spark, d):
     return H.identity_line(scored(spark, d))
 
 
+@register(
+    "scatter_sample",
+    on_trips(f"SELECT * FROM scored WHERE {POINT_HASH} % 1000000 < 50000", SCORED),
+)
+def scatter_sample(spark, d):
+    """A twentieth of the points of the chart, chosen by a hash."""
+    return H.sample_points(scored(spark, d), 0.05, F.expr(POINT_HASH))
+
+
 @register(
     "box_statistics",
     on_trips(

@@ -84,9 +84,9 @@ def identity_line(df: DataFrame, label: str = "label", prediction: str = "predic
     )
 
 
-def sample_points(df: DataFrame, key: Column, share: float) -> DataFrame:
-    """Repeatable sample of points for a scatter chart, by a hash of ``key``."""
-    return df.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000))
+def sample_points(df: DataFrame, share: float, hashed: Column) -> DataFrame:
+    """Repeatable sample of points for a scatter chart, by a whole-number hash of a row."""
+    return df.where(F.pmod(hashed, F.lit(1_000_000)) < round(share * 1_000_000))
 
 
 def top_counts(df: DataFrame, column: str, n: int = 15) -> DataFrame:

@@ -31,8 +31,10 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the cluster's checkpoint folder; set a local one only where none is set."""
+    """Keep the cluster's checkpoint folder; set a local one only in local mode."""
     context = spark.sparkContext
     if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
         return
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="gridlark-checkpoint-"))

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from gridlark.operators import regression as M
 from gridlark.plans.features import outside_domain, request_errors
-from gridlark.plans.scoring import model_info, score
+from gridlark.plans.scoring import model_info, requests_frame, score
 from gridlark.plans.training import current_run_id, point_to, retrain, train_and_compare
 from gridlark.plans.trips import trips
 from gridlark.sources.csv import read_csv
+from gridlark.sources.fares import fare_schema, read_fares
 from gridlark.sources.metrics import read_metrics, write_metrics
 from gridlark.sources.shared import materialize
 from gridlark.streaming.scoring import request_stream, run_available
@@ -88,6 +89,25 @@ def test_request_errors(spark):
     assert [len(r["errors"]) for r in request_errors(df, now).collect()] == [0, 1, 1, 3]
 
 
+def test_requests_from_a_form(spark):
+    form = dict(
+        airline="Air Astra", source="DAC", destination="CGP", departure_datetime=dt.datetime(2030, 1, 2, 8),
+        arrival_datetime=dt.datetime(2030, 1, 2, 9), stopovers="Direct", aircraft_type="Boeing 737",
+        travel_class="Economy", booking_source="Travel Agency",
+    )
+    row = requests_frame(spark, [form]).first()
+    assert (row["class"], row["source_name"], row["departure_ts"]) == ("Economy", "", dt.datetime(2030, 1, 2, 8))
+    with pytest.raises(ValueError):
+        requests_frame(spark, [{"airline": "Air Astra"}])
+
+
+def test_production_csv(spark, tmp_path):
+    titles = ",".join(f.name for f in fare_schema().fields)
+    line = "Vistara,DAC,Dhaka,DEL,Delhi,2025-01-02 08:00:00,not a date,2.5,Direct,Boeing 737,Economy,Travel Agency,1.5,0.5,2.0,Regular,7"
+    row = read_fares(spark, write(tmp_path / "f.csv", f"{titles}\n{line}\n")).first()
+    assert (row["departure_ts"], row["arrival_ts"], row["total_fare"], row["days_before"]) == (dt.datetime(2025, 1, 2, 8), None, 2.0, 7)
+
+
 def test_outside_domain(spark):
     df = spark.createDataFrame([("Economy",), ("Premium",), (None,)], "class string")
     assert [r["class_known"] for r in outside_domain(df, {"class": ["Economy"]}).collect()] == [True, False, False]

@@ -7,7 +7,7 @@ from tests.oracle import compare, connect
 
 SQL = oracle_sql()
 # Fits of tree ensembles are checked on their own, not on all trips.
-SLOW = {"baseline_models", "random_search"}
+SLOW = {"baseline_models", "random_search", "retraining"}
 
 
 @pytest.fixture(scope="module")
