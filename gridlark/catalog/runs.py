@@ -11,7 +11,7 @@ from gridlark.functions.calendar import temporal_features
 from gridlark.operators import promotion as G
 from gridlark.operators import regression as M
 from gridlark.operators.metrics import regression_metrics
-from gridlark.plans.features import apply_features, derive_features, fit_features, request_columns
+from gridlark.plans.features import apply_features, fit_features, request_columns
 from gridlark.plans.scoring import score
 from gridlark.plans.trips import trips
 from gridlark.sources.tables import read_table
