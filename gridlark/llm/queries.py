@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlark.llm import decontamination, packing, sharding, simhash
+from gridlark.llm import decontamination, packing, quality, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_simhash": simhash.op2_simhash,
+    "op3_quality": quality.op3_quality,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_sharding": sharding.op7_sharding,
     "op8_packing": packing.op8_packing,
 }
