@@ -45,3 +45,20 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
         if np.abs(step).max() < 1e-8:
             break
     return b
+
+
+def pick(docs: DataFrame, most: int) -> DataFrame:
+    """``pick, text`` of at most ``most`` documents with text, by a hash of their text's digest.
+
+    The picked digests are bounded by the parameter and broadcast; equal texts count once.
+    """
+    digest = F.xxhash64("text")
+    order = F.xxhash64("digest", F.lit(29))
+    picked = docs.where("text IS NOT NULL").select(digest.alias("digest")).distinct().orderBy(order).limit(most)
+    rows = docs.where("text IS NOT NULL").select(digest.alias("digest"), "text").join(F.broadcast(picked), "digest")
+    return materialize(rows.groupBy("digest").agg(F.min("text").alias("text")).select(F.col("digest").alias("pick"), "text"))
+
+
+def span_text(spans: list[tuple[str, int, int]], kinds: tuple[str, ...]) -> str:
+    """``kind:start:end`` by start, then kind as listed, comma-joined."""
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (s[1], kinds.index(s[0]), s[2])))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlark.llm import decontamination, packing, quality, sharding, simhash, toxicity
+from gridlark.llm import decontamination, packing, pii, quality, secrets, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -15,6 +15,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_sharding": sharding.op7_sharding,
     "op8_packing": packing.op8_packing,
+    "op9_pii": pii.op9_pii,
+    "op10_secrets": secrets.op10_secrets,
 }
 
 ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL}
