@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlark.llm import decontamination, packing, pii, quality, secrets, sharding, simhash, toxicity
+from gridlark.llm import decontamination, packing, pii, quality, repeats, secrets, sharding, simhash, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_simhash": simhash.op2_simhash,
     "op3_quality": quality.op3_quality,
+    "op4_topk": topk.op4_topk,
+    "op5_repeats": repeats.op5_repeats,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_sharding": sharding.op7_sharding,
     "op8_packing": packing.op8_packing,
@@ -19,4 +21,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": secrets.op10_secrets,
 }
 
-ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL}
+ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL, "op4_topk": topk.SQL}
