@@ -32,7 +32,7 @@ GRAM = 20
 SPAN = DEPTH - GRAM + 1
 CHUNK_BYTES = 2 << 20
 # Text per bucket of anchors; about one byte in sixteen is an anchor.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 SLICE = 1 << 21
 _PLACE = np.uint64((1 << 22) - 1)
 _FACTOR = 0x9E3779B97F4A7C15
@@ -63,7 +63,7 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 class Runs:
-    """Runs of consecutive windows with one anchor: first and last start, anchor hash, document."""
+    """Runs of consecutive windows with one anchor: first and last start, hash, document, place of the anchor."""
 
     def __init__(self, data: np.ndarray, sizes: np.ndarray) -> None:
         ends = np.cumsum(sizes)
@@ -92,9 +92,9 @@ class Runs:
             mine = anchor[starts]
             new = np.flatnonzero(np.concatenate([[True], (np.diff(mine) != 0) | (np.diff(starts) != 1)]))
             last = np.append(new[1:], len(starts)) - 1
-            out.append((starts[new].astype(np.int64) + at, starts[last].astype(np.int64) + at, hashes[mine[new]], owner[starts[new]]))
-        empty = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32)]
-        self.first, self.last, self.hash, self.doc = [np.concatenate(c) for c in zip(*out)] if out else empty
+            out.append((starts[new].astype(np.int64) + at, starts[last].astype(np.int64) + at, hashes[mine[new]], owner[starts[new]], (mine - starts)[new]))
+        empty = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.first, self.last, self.hash, self.doc, self.offset = [np.concatenate(c) for c in zip(*out)] if out else empty
 
     def buckets(self, n: int) -> np.ndarray:
         return (((self.hash >> np.uint64(40)) * np.uint64(n)) >> np.uint64(24)).astype(np.int64)
@@ -213,9 +213,11 @@ class _Contexts:
         seen: dict[bytes, int] = {}
         self.texts: list[bytes] = []
         self.lowest: list[int] = []
+        self.offsets: list[int] = []
         self.slot = np.empty(len(picked), np.int64)
         at, where = -1, []
-        for i, (a, z, b, own) in enumerate(zip(runs.first[picked].tolist(), runs.last[picked].tolist(), self.bucket.tolist(), self.owner.tolist())):
+        rows = (runs.first[picked], runs.last[picked], runs.offset[picked], self.bucket, self.owner)
+        for i, (a, z, offset, b, own) in enumerate(zip(*(r.tolist() for r in rows))):
             if b != at:
                 seen, at = {}, b
             context = raw[a : z + DEPTH]
@@ -224,6 +226,7 @@ class _Contexts:
                 k = seen[context] = len(self.texts)
                 self.texts.append(context)
                 self.lowest.append(own)
+                self.offsets.append(offset)
                 where.append(b)
             elif own < self.lowest[k]:
                 self.lowest[k] = own
@@ -243,7 +246,8 @@ def _context_lists(buckets: int):
                 for b in np.flatnonzero(np.diff(found.cuts)).tolist():
                     lo, hi = found.cuts[b], found.cuts[b + 1]
                     sizes_b = np.array([len(t) for t in found.texts[lo:hi]], np.uint8)
-                    body = sizes_b.tobytes() + np.array(found.lowest[lo:hi], "<i8").tobytes() + b"".join(found.texts[lo:hi])
+                    offsets = np.array(found.offsets[lo:hi], np.uint8)
+                    body = sizes_b.tobytes() + offsets.tobytes() + np.array(found.lowest[lo:hi], "<i8").tobytes() + b"".join(found.texts[lo:hi])
                     rows.append((b, int(hi - lo), press.compress(body)))
                 yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk] * len(rows), pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int32()), "n": pa.array([r[1] for r in rows], pa.int32()), "body": pa.array([r[2] for r in rows], pa.binary())})
 
@@ -272,24 +276,63 @@ def earlier_matches(text: np.ndarray, starts: np.ndarray, owner: np.ndarray) ->
     return out
 
 
+def _spread(counts: np.ndarray) -> np.ndarray:
+    """``0 .. count - 1`` for each of the counts."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def _matched_windows(table: pa.Table) -> pa.Table:
-    """Round two, at a bucket: which windows of each chunk's contexts occur in an earlier document."""
-    texts, sizes, owners = [], [], []
+    """Round two, at a bucket: which windows of each chunk's contexts occur in an earlier document.
+
+    Equal contexts are one from here on, for their smallest owner. Only contexts that share
+    their anchor's gram with another one can share some windows but not all; the windows of
+    those are sorted as suffixes.
+    """
+    slots: dict[bytes, int] = {}
+    lowest: list[int] = []
+    grams: list[bytes] = []
+    slot, owners, sizes = [], [], []
     for n, body in zip(table.column("n").to_pylist(), table.column("body").to_pylist()):
         body = zstandard.ZstdDecompressor().decompress(body)
-        sizes.append(np.frombuffer(body, np.uint8, n).astype(np.int64))
-        owners.append(np.frombuffer(body, "<i8", n, n))
-        texts.append(np.frombuffer(body, np.uint8, -1, 9 * n))
-    lengths, owner = np.concatenate(sizes), np.concatenate(owners)
+        owner = np.frombuffer(body, "<i8", n, 2 * n)
+        at = 10 * n
+        for size, offset, own in zip(body[:n], body[n : 2 * n], owner.tolist()):
+            context = body[at : at + size]
+            at += size
+            k = slots.get(context)
+            if k is None:
+                k = slots[context] = len(lowest)
+                lowest.append(own)
+                grams.append(context[offset : offset + GRAM])
+            elif own < lowest[k]:
+                lowest[k] = own
+            slot.append(k)
+        owners.append(owner)
+        sizes.append(n)
+    counts: dict[bytes, int] = {}
+    for g in grams:
+        counts[g] = counts.get(g, 0) + 1
+    least = np.array(lowest, np.int64)
+    lengths = np.fromiter(map(len, slots), np.int64, len(slots))
     windows = lengths - DEPTH + 1
-    begins = np.cumsum(lengths) - lengths
-    within = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    found = earlier_matches(np.concatenate(texts), np.repeat(begins, windows) + within, np.repeat(owner, windows))
+    offset = np.cumsum(windows) - windows
+    matched = np.zeros(int(windows.sum()), bool)
+    mixed = np.flatnonzero(np.fromiter((counts[g] > 1 for g in grams), bool, len(grams)))
+    if len(mixed):
+        each = windows[mixed]
+        chosen = set(mixed.tolist())
+        text = np.frombuffer(b"".join(c for k, c in enumerate(slots) if k in chosen), np.uint8)
+        begins = np.cumsum(lengths[mixed]) - lengths[mixed]
+        within = _spread(each)
+        found = earlier_matches(text, np.repeat(begins, each) + within, np.repeat(least[mixed], each))
+        matched[np.repeat(offset[mixed], each) + within] = found
     masks, done = [], 0
-    for s in sizes:
-        n = int((s - DEPTH + 1).sum())
-        masks.append(_packed_bits(found[done : done + n]))
+    for n, owner in zip(sizes, owners):
+        mine = np.array(slot[done : done + n], np.int64)
         done += n
+        each = windows[mine]
+        bits = matched[np.repeat(offset[mine], each) + _spread(each)] | np.repeat(owner > least[mine], each)
+        masks.append(_packed_bits(bits))
     return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "mask": pa.array(masks, pa.binary())})
 
 
@@ -304,7 +347,7 @@ def _removed(found: _Contexts, replies: list, size: int) -> np.ndarray:
         matched[offset[lo] : offset[lo] + n] = _bits(mask, n)
     runs, picked = found.runs, found.picked
     each = runs.last[picked] - runs.first[picked] + 1
-    inside = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    inside = _spread(each)
     lowest = np.array(found.lowest, np.int64)
     # Copies in one chunk repeat their smallest id's; that one asks the other chunks.
     copy = found.owner > lowest[found.slot] if len(picked) else np.zeros(0, bool)
@@ -351,13 +394,15 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     size = chunks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
     buckets = max(8, -(-size // BUCKET_BYTES))
     anchors = chunks.mapInArrow(_anchor_lists(buckets), "chunk long, bucket int, anchors binary")
-    masks = anchors.groupBy("bucket").applyInArrow(_shared_anchors, "chunk long, bucket int, mask binary")
+    # The work is Python's and not seen in bytes, so the number of tasks is given.
+    masks = anchors.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared_anchors, "chunk long, bucket int, mask binary")
     first = materialize(_by_chunk(masks, "masks"))
-    asked = chunks.join(first, "chunk", "left")
+    spread = chunks.repartition(buckets, "chunk")
+    asked = spread.join(first, "chunk", "left")
     contexts = asked.mapInArrow(_context_lists(buckets), "chunk long, bucket int, n int, body binary")
-    replies = contexts.groupBy("bucket").applyInArrow(_matched_windows, "chunk long, bucket int, mask binary")
+    replies = contexts.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_matched_windows, "chunk long, bucket int, mask binary")
     second = _by_chunk(replies, "replies")
-    answered = chunks.join(first, "chunk", "left").join(second, "chunk", "left")
+    answered = spread.join(first, "chunk", "left").join(second, "chunk", "left")
     kind = "binary" if keep_text else "string"
     return answered.mapInArrow(_cleaned(buckets, keep_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {kind}")
 
