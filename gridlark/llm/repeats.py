@@ -94,7 +94,10 @@ class Runs:
             last = np.append(new[1:], len(starts)) - 1
             out.append((starts[new].astype(np.int64) + at, starts[last].astype(np.int64) + at, hashes[mine[new]], owner[starts[new]], (mine - starts)[new]))
         empty = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
-        self.first, self.last, self.hash, self.doc, self.offset = [np.concatenate(c) for c in zip(*out)] if out else empty
+        self.first, self.last, chosen, self.doc, self.offset = [np.concatenate(c) for c in zip(*out)] if out else empty
+        # Anchors have small hashes; mixed once more they are even over the buckets.
+        chosen = (chosen ^ (chosen >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        self.hash = (chosen ^ (chosen >> np.uint64(32))) * np.uint64(_FACTOR)
 
     def buckets(self, n: int) -> np.ndarray:
         return (((self.hash >> np.uint64(40)) * np.uint64(n)) >> np.uint64(24)).astype(np.int64)
