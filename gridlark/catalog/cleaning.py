@@ -59,6 +59,24 @@ def csv_round_trip(spark, d):
     return read_csv(spark, path, rows.schema)
 
 
+@register(
+    "csv_dialect",
+    """SELECT p_retailprice, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_type END AS kind,
+      concat('a "', p_name, '", ', p_brand) AS label, p_partkey FROM part""",
+)
+def csv_dialect(spark, d):
+    """Quotes, separators and missing marks in fields; columns in another order than the header's."""
+    part = read_table(spark, d, "part").select(
+        "p_partkey",
+        F.concat(F.lit('a "'), "p_name", F.lit('", '), "p_brand").alias("label"),
+        F.when(F.col("p_partkey") % 7 == 0, "NA").otherwise(F.col("p_type")).alias("kind"),
+        "p_retailprice",
+    )
+    path = new_folder(spark, "csv")
+    write_csv(part, path)
+    return read_csv(spark, path, part.select("p_retailprice", "kind", "label", "p_partkey").schema)
+
+
 @register(
     "csv_inferred_schema",
     on_trips(

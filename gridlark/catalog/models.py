@@ -74,8 +74,7 @@ def candidate_metrics(spark, d) -> DataFrame:
     rows = trips(spark, d).select("class", "booking_source", "base_fare", F.col("total_fare").alias("label"))
 
     def group_mean(group: str, name: str) -> DataFrame:
-        # A handful of groups each (fixed lists of classes and booking channels).
-        return F.broadcast(rows.groupBy(group).agg(F.avg("label").alias(name)))
+        return rows.groupBy(group).agg(F.avg("label").alias(name))
 
     predicted = (
         rows.join(group_mean("class", "class_mean"), "class")

@@ -171,7 +171,7 @@ def _group_stats(group: str, name: str, extremes: bool = True, value: str = "tot
 
 
 def target_by_class(spark, d):
-    """Flagship: fares without invalid values, by travel class."""
+    """Flagship: fares by travel class."""
     return round_all(P.target_by_category(trips(spark, d), "total_fare", "class", digits=None, few_groups=True))
 
 
@@ -458,7 +458,7 @@ def insight_rules(spark, d):
     "multicollinearity_insight",
     on_trips(
         "SELECT 'multicollinearity' AS rule, '*' AS \"column\", count(*)::DOUBLE AS value, "
-        "format('High multicollinearity detected between {} feature pairs', count(*)) AS message "
+        "format('{} column pairs move together', count(*)) AS message "
         "FROM pairs WHERE abs(r) > 0.8 HAVING count(*) > 0",
         _PEARSON,
     ),

@@ -119,15 +119,11 @@ def box_statistics(df: DataFrame, category: str, value: str, n: int = 10) -> Dat
     )
 
 
-def box_order(df: DataFrame, category: str, value: str, limit: int = 15) -> DataFrame:
-    """Categories by rising median; empty when there are more than ``limit`` of them.
-
-    A null category counts towards the limit but has no box.
-    """
+def box_order(df: DataFrame, category: str, value: str, n: int | None = None) -> DataFrame:
+    """Categories by rising median; a chart may take the first ``n``. A null category has no box."""
     require(df, category, value)
-    kinds = df.groupBy(ref(category)).agg(F.count("*")).agg(F.count("*")).scalar()
-    medians = group_quantiles(df, value, category, {"median": 0.5})
-    return medians.where(kinds <= limit).orderBy("median", ref(category))
+    ordered = group_quantiles(df, value, category, {"median": 0.5}).orderBy("median", ref(category))
+    return ordered if n is None else ordered.limit(n)
 
 
 def density(df: DataFrame, column: str, points: int = 200, cells: int = 2048) -> DataFrame:

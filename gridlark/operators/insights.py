@@ -35,10 +35,10 @@ def target_insights(df: DataFrame, target: str) -> DataFrame:
     skew, cv = F.col("skew"), F.col("cv")
     skewed = _finding(
         shape, "skewed_target", target, skew, F.abs(skew) > 1,
-        F.format_string("Target variable is highly skewed (%.2f). Consider transformation.", skew),
+        F.format_string("the target leans to one side, skewness %.2f", skew),
     )
     varied = _finding(
-        shape, "high_variance", target, cv, cv > 0.5, F.format_string("Target variable has high variance (CV=%.2f)", cv)
+        shape, "high_variance", target, cv, cv > 0.5, F.format_string("the target varies widely, %.2f standard deviations per mean", cv)
     )
     return skewed.unionByName(varied)
 
@@ -55,11 +55,11 @@ def category_insights(df: DataFrame, column: str) -> DataFrame:
     kinds, share = F.col("kinds"), F.col("share")
     many = _finding(
         shape, "high_cardinality", column, kinds, kinds > MANY_CATEGORIES,
-        F.format_string(f"Feature {_quoted(column)} has high cardinality (%d unique values)", kinds),
+        F.format_string(f"{_quoted(column)} takes %d different values", kinds),
     )
     dominant = _finding(
         shape, "dominant_category", column, share, share > 0.5,
-        F.format_string(f"Feature {_quoted(column)} is dominated by one category (%s: %.1f%%)", F.col("top"), share * 100),
+        F.format_string(f"{_quoted(column)} is mostly %s, in %.1f%% of the rows", F.col("top"), share * 100),
     )
     return many.unionByName(dominant)
 
@@ -73,7 +73,7 @@ def group_insights(df: DataFrame, target: str, column: str) -> DataFrame:
     spread = F.col("spread")
     return _finding(
         shape, "strong_group_effect", column, spread, F.try_divide(spread, F.col("overall")) > 0.5,
-        F.format_string(f"Feature {_quoted(column)} shows strong variation in target (range: %.2f)", spread),
+        F.format_string(f"the means by {_quoted(column)} lie %.2f apart", spread),
     )
 
 
@@ -83,7 +83,7 @@ def correlation_insights(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = F.col("pairs")
     return _finding(
         shape, "multicollinearity", "*", pairs, pairs > 0,
-        F.format_string("High multicollinearity detected between %d feature pairs", pairs),
+        F.format_string("%d column pairs move together", pairs),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlark.functions.calendar import season, to_ntz
-from gridlark.operators.columns import is_missing, long_form, numeric_columns, ref, require, string_columns
+from gridlark.operators.columns import is_missing, long_form, nan_to_null, numeric_columns, ref, require, string_columns
 from gridlark.operators.ranking import column_quantiles, group_quantiles, quantiles
 
 QUARTERS = {"q25": 0.25, "median": 0.5, "q75": 0.75}
@@ -72,20 +72,26 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def _frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    values = long_form(df, columns, "string").where(F.col("value").isNotNull())
+    values = long_form(nan_to_null(df.select(*map(ref, columns))), columns, "string").where(F.col("value").isNotNull())
     return values.groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
+def _for_each(df: DataFrame, columns: Sequence[str], found: DataFrame) -> DataFrame:
+    """A row for every column, also where ``found`` has none; both sides have one row per column at most."""
+    names = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("column"))
+    return names.join(F.broadcast(found), "column", "left")
+
+
 def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per text column: count, distinct values, most frequent value and its count."""
+    """Per text column: count, distinct values, most frequent value and its count.
+
+    A column without values has a row of zeros, and no most frequent value.
+    """
     columns = columns or string_columns(df)
     best = F.min(F.struct((-F.col("n")).alias("rank"), F.col("value").alias("top")))
-    return (
-        _frequencies(df, columns)
-        .groupBy("column")
-        .agg(F.sum("n").alias("count"), F.count("*").alias("unique"), best.alias("best"))
-        .select("column", "count", "unique", F.col("best.top").alias("top"), (-F.col("best.rank")).alias("freq"))
-    )
+    found = _frequencies(df, columns).groupBy("column").agg(F.sum("n").alias("count"), F.count("*").alias("unique"), best.alias("best"))
+    counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("count", "unique")]
+    return _for_each(df, columns, found).select("column", *counts, F.col("best.top").alias("top"), (-F.col("best.rank")).alias("freq"))
 
 
 def basic_statistics(df: DataFrame) -> DataFrame:
@@ -94,7 +100,7 @@ def basic_statistics(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
-    """``(column, unique)``: distinct non-null values per column.
+    """``(column, unique)``: distinct non-missing values per column; NaN is missing, none are 0.
 
     Exact counts go through (column, value) groups: one shuffle for all columns and no
     row per column and aggregate. ``approximate`` uses one sketch per column instead.
@@ -103,7 +109,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approxi
     if approximate:
         return unpivot_aggregates(df, columns, {"unique": {c: F.approx_count_distinct(ref(c)) for c in columns}})
     present = _frequencies(df, columns).groupBy("column").agg(F.count("*").alias("unique"))
-    return present
+    return _for_each(df, columns, present).select("column", F.coalesce("unique", F.lit(0)).alias("unique"))
 
 
 def descriptive_statistics(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlark.operators import regression as M
 from gridlark.plans.features import outside_domain, request_errors
@@ -61,6 +62,22 @@ def test_csv_quoted_separators(spark, tmp_path):
     assert df.first() == ("x, y", 1)
 
 
+def test_csv_dialect(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'name,n,fare\n"a ""q"" b",1,2.5\n"a, ""q"", b",NA,3\nN/A,2,null\n')
+    df = read_csv(spark, path)
+    assert df.dtypes == [("name", "string"), ("n", "double"), ("fare", "double")]
+    assert [tuple(r) for r in df.collect()] == [('a "q" b', 1.0, 2.5), ('a, "q", b', None, 3.0), (None, 2.0, None)]
+    named = read_csv(spark, path, T.StructType.fromDDL("fare double, name string"))
+    assert [tuple(r) for r in named.collect()] == [(2.5, 'a "q" b'), (3.0, 'a, "q", b'), (None, None)]
+    with pytest.raises(ValueError, match="not in the header"):
+        read_csv(spark, path, T.StructType.fromDDL("price double"))
+
+
+def test_csv_line_breaks_in_quotes(spark, tmp_path):
+    df = read_csv(spark, write(tmp_path / "a.csv", 'a,b\n"x\ny",1\nz,2\n'), multi_line=True)
+    assert [tuple(r) for r in df.collect()] == [("x\ny", 1), ("z", 2)]
+
+
 def test_metrics_round_trip(spark, tmp_path):
     table = spark.createDataFrame([("m", "rmse", 1.25), ("m", "mape", None)], "model string, metric string, value double")
     write_metrics(table, str(tmp_path / "m"))

@@ -88,10 +88,10 @@ def test_box_statistics(spark):
     assert row["q1"] == np.quantile(values, 0.25)
 
 
-def test_box_order_gives_up_above_the_limit(spark):
+def test_box_order_has_all_categories(spark):
     df = spark.createDataFrame([("a", 2.0), ("b", 1.0), (None, 0.0)], "c string, v double")
-    assert [r["c"] for r in H.box_order(df, "c", "v", 3).collect()] == ["b", "a"]
-    assert H.box_order(df, "c", "v", 2).count() == 0
+    assert [r["c"] for r in H.box_order(df, "c", "v").collect()] == ["b", "a"]
+    assert H.box_order(df, "c", "v", 1).count() == 1
 
 
 def test_density_integrates_to_about_one(spark):
@@ -111,5 +111,11 @@ def test_insights(spark):
         ("skewed_target", "v"), ("high_variance", "v"), ("high_cardinality", "c"), ("dominant_category", "c"),
         ("strong_group_effect", "c"), ("multicollinearity", "*"),
     }
-    assert found[("high_cardinality", "c")] == "Feature 'c' has high cardinality (76 unique values)"
-    assert found[("multicollinearity", "*")] == "High multicollinearity detected between 1 feature pairs"
+    assert found[("high_cardinality", "c")] == "'c' takes 76 different values"
+    assert found[("multicollinearity", "*")] == "1 column pairs move together"
+
+
+def test_missing_values_and_empty_columns_are_profiled(spark):
+    df = spark.createDataFrame([(1.0, None), (float("nan"), None), (2.0, None)], "x double, t string")
+    assert {r["column"]: r["unique"] for r in P.distinct_counts(df).collect()} == {"x": 2, "t": 0}
+    assert [tuple(r) for r in P.describe_text(df).collect()] == [("t", 0, 0, None, None)]
