@@ -1,7 +1,8 @@
 """Exact ranks, running counts and quantiles that never sort a whole group in one task.
 
-Values are cut into order-preserving buckets. Bucket counts are small, so the running
-totals over them are cheap; rows are only ordered within one bucket. Equal values are
+Values are cut into buckets by the leading bits of their place in the order of all doubles
+or 64-bit integers. Running totals go over bucket counts; rows are only ordered within one
+part of a bucket, which has a fixed number of possible values whatever the distribution. Equal values are
 counted before they are moved, so a value held by a third of all rows is one row.
 """
 
@@ -12,30 +13,52 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlark.operators.columns import ref
 
-# Buckets per factor e of the value (first level) and equal-width parts of each (second).
-LOG_STEPS = 256
-LINEAR_STEPS = 4096
+# Bits of a value's place in the order that lie below the first and the second level of
+# buckets. Whatever the data, a level has at most 2 ** 23 parts of one bucket.
+COARSE_BITS = 45
+FINE_BITS = 22
 MISSING_BUCKET = -(1 << 40)
+MANTISSA = 1 << 52
+LEAST_NORMAL = 2.0**-1022
 
 
-def coarse_bucket(value: Column) -> Column:
-    """Order-preserving bucket of a double by sign and magnitude.
+def order_key(value: Column) -> Column:
+    """64-bit whole number that orders doubles as their values do, and tells all of them apart.
 
-    There are at most ``2 * 710 * LOG_STEPS`` buckets, whatever the data. A missing value
-    has a bucket of its own: as the result is never null, a join on it adds no filter
-    below a shuffle, and all uses of the bucketed rows stay one plan.
+    Exponent and mantissa side by side, negated below zero; powers of two divide exactly.
     """
-    size = F.floor(F.log1p(F.abs(value)) * LOG_STEPS)
-    return F.coalesce(F.when(value < 0, -size).otherwise(size), F.lit(MISSING_BUCKET))
+    size, two = F.abs(value), F.lit(2.0)
+    guess = F.floor(F.log2(size))
+    # The logarithm may be off by one at a power of two.
+    exponent = (
+        F.when(size < F.pow(two, guess), guess - 1).when(size >= F.pow(two, guess + 1), guess + 1).otherwise(guess)
+    )
+    normal = (exponent + 1022) * F.lit(MANTISSA) + (size / F.pow(two, exponent) * MANTISSA).try_cast("bigint")
+    place = (
+        F.when(size < LEAST_NORMAL, (size / LEAST_NORMAL * MANTISSA).try_cast("bigint"))
+        .when(size == float("inf"), F.lit(2047 * MANTISSA))
+        .otherwise(normal)
+    )
+    return F.when(value < 0, -place).otherwise(place)
+
+
+def coarse_bucket(key: Column) -> Column:
+    """First level: at most ``2 ** 19`` buckets.
+
+    A missing value has a bucket of its own: as the result is never null, a join on it
+    adds no filter below a shuffle, and all uses of the bucketed rows stay one plan.
+    """
+    return F.coalesce(F.shiftright(key, COARSE_BITS), F.lit(MISSING_BUCKET))
 
 
-def fine_bucket(value: Column, low: Column, high: Column) -> Column:
-    """Equal-width part of ``[low, high]`` that holds ``value``."""
-    share = F.try_divide(value - low, high - low)
-    return F.coalesce(F.floor(share * LINEAR_STEPS), F.lit(0).cast("bigint"))
+def fine_bucket(key: Column) -> Column:
+    """Second level inside a bucket of the first."""
+    parts = (1 << (COARSE_BITS - FINE_BITS)) - 1
+    return F.coalesce(F.shiftright(key, FINE_BITS).bitwiseAND(F.lit(parts)), F.lit(0).cast("bigint"))
 
 
 def before(partition: Sequence[str], order: str) -> W:
@@ -55,16 +78,14 @@ def ranked_values(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     broadcast bucket totals. Rows are ordered within one part of one bucket only.
     """
     keys = list(keys)
-    coarse = counts.withColumn("b1", coarse_bucket(F.col("value")))
-    totals = coarse.groupBy(*keys, "b1").agg(
-        F.sum("weight").alias("rows"), F.count("*").alias("values"), F.min("value").alias("low"), F.max("value").alias("high")
-    )
+    coarse = counts.withColumn("b1", coarse_bucket(order_key(F.col("value"))))
+    totals = coarse.groupBy(*keys, "b1").agg(F.sum("weight").alias("rows"), F.count("*").alias("values"))
     totals = totals.select(
-        *keys, "b1", "low", "high",
+        *keys, "b1",
         running("rows", keys, "b1").alias("rows1"), running("values", keys, "b1").alias("values1"),
     )
     parted = coarse.join(F.broadcast(totals), [*keys, "b1"]).withColumn(
-        "b2", fine_bucket(F.col("value"), F.col("low"), F.col("high"))
+        "b2", fine_bucket(order_key(F.col("value")))
     )
     path, parent = [*keys, "b1", "b2"], [*keys, "b1"]
     # The two totals only follow the bucket; grouping by them too keeps this use of
@@ -86,27 +107,6 @@ def ranked_values(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def running_counts(counts: DataFrame, keys: Sequence[str], levels: Sequence[str], weight: str) -> DataFrame:
-    """Append ``smaller``: the summed ``weight`` of all smaller values in ``keys``.
-
-    ``levels`` are columns that order the values from coarse to fine. Each window only
-    spans the children of one parent bucket.
-    """
-    keys, levels = list(keys), list(levels)
-    offsets = None
-    for depth, level in enumerate(levels):
-        parent = keys + levels[:depth]
-        step = (
-            counts.groupBy(*parent, level)
-            .agg(F.sum(weight).alias("_total"))
-            .select(*parent, level, running("_total", parent, level).alias(f"_from{depth}"))
-        )
-        offsets = step if offsets is None else offsets.join(step, parent)
-    leaf = counts.withColumn("_inside", running(weight, keys + levels, "value"))
-    total = sum((F.col(f"_from{d}") for d in range(len(levels))), F.col("_inside"))
-    return leaf.join(offsets, keys + levels).select(*counts.columns, total.alias("smaller"))
-
-
 MOMENTS = ("count", "mean", "std", "min", "max")
 
 
@@ -119,7 +119,8 @@ def order_statistics(
 ) -> DataFrame:
     """Values at given positions of the sorted ``value`` column, interpolated linearly.
 
-    ``df`` has the key columns and a double column ``value``; missing values and null
+    ``df`` has the key columns and a double or 64-bit whole-number column ``value`` (then
+    positions are whole and values stay exact); missing values and null
     keys do not count, and a key without values has no positions. ``positions`` maps an output name to a function that gives the
     0-based position from ``n``, the number of values of the key. Exact for any
     distribution.
@@ -133,14 +134,16 @@ def order_statistics(
     """
     keys = list(keys)
     # Missing values weigh nothing; they only make their key known.
-    named = df.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
+    whole_numbers = df.schema["value"].dataType == T.LongType()
+    named = df if whole_numbers else df.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
+    place = F.col("value") if whole_numbers else order_key(F.col("value"))
     for key in keys:
         named = named.where(F.col(key).isNotNull())
     if few_keys:
         rows = named.select(*keys, "value", F.col("value").isNotNull().cast("bigint").alias("weight"))
     else:
         rows = named.groupBy(*keys, "value").agg(F.count("value").alias("weight"))
-    rows = rows.withColumn("b1", coarse_bucket(F.col("value")))
+    rows = rows.withColumn("b1", coarse_bucket(place))
 
     coarse = rows.groupBy(*keys, "b1").agg(
         F.sum("weight").alias("size"),
@@ -159,7 +162,7 @@ def order_statistics(
     # The lookup carries two columns it does not use itself: so it and the moments read
     # the same bucket counts, and Spark scans and shuffles them once.
     carried = ["middle", "spread"] if moments and few_keys else []
-    found = _pick(rows, coarse, positions, keys, few_keys, carried)
+    found = _pick(rows, coarse, positions, keys, few_keys, carried, place)
     if not moments:
         return found
     if few_keys:
@@ -197,6 +200,7 @@ def _pick(
     keys: list[str],
     few_keys: bool,
     carried: list[str],
+    place: Column,
 ) -> DataFrame:
     """Look the positions up: bucket, part of the bucket, value."""
     spots = {
@@ -208,12 +212,12 @@ def _pick(
         return F.exists(ranks, lambda r: (r >= start) & (r < start + size))
 
     wanted = coarse.where(holds_a_rank(F.col("start"), F.col("size"))).select(
-        *keys, "b1", "low", "high", "start", "n", *carried
+        *keys, "b1", "start", "n", *carried
     )
     hits = rows.join(F.broadcast(wanted) if few_keys else wanted, [*keys, "b1"])
     path = [*keys, "b1", "b2"]
     counted = (
-        hits.withColumn("b2", fine_bucket(F.col("value"), F.col("low"), F.col("high")))
+        hits.withColumn("b2", fine_bucket(place))
         .groupBy(*path, "start", "n", *carried, "value")
         .agg(F.sum("weight").alias("weight"))
     )
@@ -233,7 +237,8 @@ def _pick(
     out = []
     for i, (name, spot) in enumerate(spots.items()):
         a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
-        out.append((a + (b - a) * (spot - F.floor(spot))).alias(name))
+        between = a if rows.schema["value"].dataType == T.LongType() else a + (b - a) * (spot - F.floor(spot))
+        out.append(between.alias(name))
     return found.select(*keys, *out)
 
 

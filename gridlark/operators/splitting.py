@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlark.functions.domain import CV_FOLDS, SEED, TEST_FRACTION
 from gridlark.operators.columns import ref, require
@@ -46,8 +47,7 @@ def exact_split(
     require(df, target)
     fraction = test_fraction or TEST_FRACTION
     hashed = hash_column if hash_column is not None else row_hash(df, seed or SEED)
-    # A double holds 53 bits exactly; the top bits of the hash order the rows as well.
-    marked = df.withColumn("_hash", F.pmod(hashed, F.lit(1 << 53)).cast("double"))
+    marked = df.withColumn("_hash", hashed.cast("bigint"))
     limit = order_statistics(
         marked.select(F.col("_hash").alias("value")),
         {"limit": lambda n: F.ceil(F.lit(float(fraction)) * n) - 1},
@@ -91,7 +91,8 @@ def contiguous_folds(df: DataFrame, key: str, folds: int = CV_FOLDS) -> DataFram
 
         return position
 
-    values = df.select(ref(key).cast("double").alias("value"))
+    whole = isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    values = df.select(ref(key).cast("bigint" if whole else "double").alias("value"))
     names = [f"e{i}" for i in range(folds - 1)]
     ends = order_statistics(values, {name: last_of(i) for i, name in enumerate(names)})
     marked = df.withColumn("_ends", ends.select(F.struct(*names)).scalar())

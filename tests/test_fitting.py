@@ -99,6 +99,18 @@ def test_contiguous_folds(spark, n, folds):
     assert got == [i for i, size in enumerate(sizes) for _ in range(size)]
 
 
+def test_contiguous_folds_of_wide_keys(spark):
+    df = spark.range(1 << 60, (1 << 60) + 1000).select(F.col("id").alias("key"))
+    sizes = X.contiguous_folds(df, "key", 5).groupBy("fold").count().collect()
+    assert sorted(tuple(r) for r in sizes) == [(i, 200) for i in range(5)]
+
+
+def test_labels_with_a_long_common_prefix(spark):
+    values = [f"{'https://example.org/one/long/common/path/'}{i:05d}" for i in range(3000)]
+    dictionary = E.label_dictionary(texts(spark, values), ["c"])
+    assert [r["value"] for r in dictionary.orderBy("code").collect()] == sorted(values)
+
+
 def test_feature_state_round_trip(spark, tmp_path):
     train = spark.createDataFrame([(1.0, "a", 10.0), (3.0, "b", 20.0), (5.0, "c d", 30.0)], "n double, `Text (x)` string, label double")
     state = fit_features(train)

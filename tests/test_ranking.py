@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridlark.operators import association as A
 from gridlark.operators.profiling import grouped_statistics
-from gridlark.operators.ranking import order_statistics, quantiles, ranked_values
+from gridlark.operators.ranking import coarse_bucket, fine_bucket, order_key, order_statistics, quantiles, ranked_values
 
 PROBS = {"p0": 0.0, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
 
@@ -29,6 +29,8 @@ def hard_cases():
     yield "narrow band", 1e6 + rng.normal(scale=1e-7, size=1000)
     yield "signs and zeros", np.concatenate([-rng.lognormal(size=500), np.zeros(100), rng.lognormal(size=401)])
     yield "huge range", np.array([-1e300, -1.0, -1e-300, 0.0, 1e-300, 1.0, 1e300])
+    yield "tiny magnitudes", 10.0 ** rng.uniform(-12, -3, size=2000)
+    yield "one far value", np.concatenate([1.0 + rng.uniform(0, 1e-9, size=500), [1e12]])
     yield "single", np.array([42.0])
 
 
@@ -40,6 +42,30 @@ def test_quantiles_are_exact(spark, name, values, few_keys):
         assert row[column] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-300), (name, column)
 
 
+def test_order_key_is_the_order_of_doubles(spark):
+    rng = np.random.default_rng(5)
+    powers = 2.0 ** np.arange(-1074, 1024)
+    near = np.concatenate([np.nextafter(powers, 0), powers, np.nextafter(powers, np.inf)])
+    values = np.unique(np.concatenate([near, -near, rng.normal(size=500), [0.0, np.inf, -np.inf]]))
+    rows = frame(spark, values).select("value", order_key(F.col("value")).alias("key")).collect()
+    keys = [key for _, key in sorted((r["value"], r["key"]) for r in rows)]
+    assert all(a < b for a, b in zip(keys, keys[1:]))
+
+
+def test_parts_stay_small_for_tiny_magnitudes(spark):
+    """Values spread over many magnitudes fall into many buckets: no window holds most of them."""
+    df = spark.range(100_000).select(F.pow(F.lit(10.0), F.col("id") / 100_000 * 9 - 12).alias("value"))
+    key = order_key(F.col("value"))
+    sizes = df.groupBy(coarse_bucket(key).alias("b1"), fine_bucket(key).alias("b2")).count()
+    assert sizes.agg(F.max("count")).first()[0] == 1
+
+
+def test_whole_numbers_stay_exact(spark):
+    df = spark.range(1 << 60, (1 << 60) + 1000).select(F.col("id").alias("value"))
+    row = order_statistics(df, {"third": lambda n: F.lit(2), "last": lambda n: n - 1}).first()
+    assert (row["third"], row["last"]) == ((1 << 60) + 2, (1 << 60) + 999)
+
+
 def test_missing_values_do_not_count(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "value double")
     assert quantiles(df, {"m": 0.5}).first()["m"] == 2.0
