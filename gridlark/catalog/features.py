@@ -192,7 +192,7 @@ def currency_text(spark, d):
     return read_table(spark, d, "orders").select("o_orderkey", currency(F.round("o_totalprice", 2)).alias("price"))
 
 
-DERIVED_SQL = f"""derived AS (SELECT {KEYS_SQL}, total_fare, booking_source, segment, duration_hrs, days_before, source, destination,
+DERIVED_SQL = f"""derived AS (SELECT {KEYS_SQL}, total_fare, airline, booking_source, segment, duration_hrs, days_before, source, destination,
   CASE class WHEN 'Economy' THEN 0 WHEN 'Business' THEN 1 WHEN 'First Class' THEN 2 ELSE 0 END AS class,
   CASE WHEN stopovers = 'Direct' THEN 0 ELSE 1 END AS stopovers, {temporal_sql('departure_ts', 'dep_')},
   {temporal_sql('arrival_ts', 'arr_')}, {DISTANCE_SQL} AS route_distance, {ROUTE_TYPE_SQL} AS route_type,
@@ -202,5 +202,5 @@ DERIVED_SQL = f"""derived AS (SELECT {KEYS_SQL}, total_fare, booking_source, seg
 @register("derive_features", on_trips(f"SELECT * REPLACE ({r('route_distance')} AS route_distance) FROM derived", DERIVED_SQL))
 def derived(spark, d):
     """The whole feature chain before encoding."""
-    rows = derive_features(trips(spark, d, located=True).drop("airline", "src_lat", "src_lon", "dst_lat", "dst_lon"))
+    rows = derive_features(trips(spark, d, located=True).drop("src_lat", "src_lon", "dst_lat", "dst_lon"))
     return rows.withColumn("route_distance", rnd("route_distance"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from gridlark.catalog.cleaning import KEYS, KEYS_SQL, SPLIT_HASH, new_folder
@@ -10,7 +12,7 @@ from gridlark.catalog.registry import on_trips, r, register, rnd, round_all
 from gridlark.operators import encoding as E
 from gridlark.operators import scaling as S
 from gridlark.operators import splitting as X
-from gridlark.plans.features import apply_features, derive_features, fit_features, load_state, save_state
+from gridlark.plans.features import apply_features, apply_vectors, derive_features, fit_features, fit_vectors, load_state, save_state
 from gridlark.plans.trips import trips
 from gridlark.sources.shared import materialize
 from gridlark.sources.tables import read_table
@@ -124,8 +126,6 @@ def label_dictionary(spark, d):
 )
 def one_hot_vectors(spark, d):
     """Sparse indicators; shown as the position of the one, null for none."""
-    from pyspark.ml.functions import vector_to_array
-
     rows = trips(spark, d).select("airline")
     dictionary = materialize(E.label_dictionary(rows, ["airline"]))
     model = E.fit_one_hot_vectors(dictionary, "airline")
@@ -205,20 +205,23 @@ def fit_on_train_apply_to_test(spark, d):
     "feature_matrix_profile",
     on_trips(
         """SELECT CAST(18 + sum(k - 1) AS INT) AS n_features, (SELECT count(*) FROM trips) AS n, 0.0::DOUBLE AS worst_mean,
-        1.0::DOUBLE AS worst_std FROM (SELECT unnest([count(DISTINCT source), count(DISTINCT destination), count(DISTINCT booking_source),
+        1.0::DOUBLE AS worst_std FROM (SELECT unnest([count(DISTINCT airline), count(DISTINCT source), count(DISTINCT destination), count(DISTINCT booking_source),
         count(DISTINCT segment), count(DISTINCT dep_season), count(DISTINCT arr_season), count(DISTINCT route_type)]) AS k FROM derived)""",
         DERIVED_SQL,
     ),
 )
 def feature_matrix_profile(spark, d):
     """All features of all trips: scaled columns have mean 0 and deviation 1."""
-    rows = derive_features(trips(spark, d, located=True).drop(*KEYS, "airline", "src_lat", "src_lon", "dst_lat", "dst_lon"))
+    rows = derive_features(trips(spark, d, located=True).drop(*KEYS, "src_lat", "src_lon", "dst_lat", "dst_lon"))
     rows = rows.withColumnRenamed("total_fare", "label").na.fill(0.0, ["duration_hrs"])
-    state = fit_features(rows)
-    features = apply_features(rows, state)
-    scaled = [c for c in state.scaler]
-    return features.agg(
-        F.count("*").alias("n"),
-        rnd(F.greatest(*[F.abs(F.avg(c)) for c in scaled]), 6).alias("worst_mean"),
-        rnd(F.greatest(*[F.stddev_pop(c) for c in scaled]), 6).alias("worst_std"),
-    ).withColumn("n_features", F.lit(len(state.features)))
+    state = fit_vectors(rows)
+    facts = apply_vectors(rows, state).select(Summarizer.metrics("count", "mean", "variance").summary(F.col("vector")).alias("s"))
+    means = F.slice(vector_to_array("s.mean"), 1, len(state.scaler))
+    spreads = F.slice(vector_to_array("s.variance"), 1, len(state.scaler))
+    n = F.col("s.count")
+    return facts.select(
+        n.alias("n"),
+        rnd(F.array_max(F.transform(means, F.abs)), 6).alias("worst_mean"),
+        rnd(F.sqrt(F.array_max(spreads) * (n - 1) / n), 6).alias("worst_std"),
+        F.lit(state.size).alias("n_features"),
+    )

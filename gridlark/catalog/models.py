@@ -10,9 +10,10 @@ from gridlark.catalog.cleaning import KEYS, SPLIT_HASH, new_folder
 from gridlark.catalog.registry import on_trips, r, register, rnd, round_all
 from gridlark.operators import leaderboard as L
 from gridlark.operators import regression as M
+from gridlark.operators.cleaning import fill_missing
 from gridlark.operators.metrics import metrics_of_predictions, regression_metrics
 from gridlark.operators.splitting import hash_folds, train_test, with_split
-from gridlark.plans.features import apply_features, derive_features, fit_features
+from gridlark.plans.features import VectorState, apply_vectors, derive_features, fit_vectors, vector_names
 from gridlark.plans.trips import trips
 from gridlark.sources.metrics import read_metrics, write_csv, write_metrics
 from gridlark.sources.shared import materialize
@@ -260,44 +261,49 @@ def grid_search(spark, d):
     return round_all(spark.createDataFrame(table, "alpha double, mse double, best boolean"), 3)
 
 
-def _ready(spark, d) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Scaled and encoded train and test rows of all trips, written once."""
-    rows = derive_features(trips(spark, d, located=True).drop("airline", "src_lat", "src_lon", "dst_lat", "dst_lon"))
-    rows = rows.withColumnRenamed("total_fare", "label").na.fill(0.0, ["duration_hrs"])
-    marked = materialize(with_split(rows, "label", 0.2, hash_column=F.expr(SPLIT_HASH), slices=1000).drop(*KEYS))
+def _ready(spark, d) -> tuple[DataFrame, DataFrame, VectorState]:
+    """Train and test vectors of all trips, each written once; missing trip lengths are the median."""
+    rows = trips(spark, d, located=True).drop("src_lat", "src_lon", "dst_lat", "dst_lon")
+    filled = materialize(rows).transform(fill_missing, columns=["duration_hrs"])
+    derived = derive_features(filled).withColumnRenamed("total_fare", "label")
+    marked = with_split(derived, "label", 0.2, hash_column=F.expr(SPLIT_HASH), slices=1000).drop(*KEYS)
     train, test = train_test(marked)
-    state = fit_features(train)
-    return apply_features(train, state, ["label"]), apply_features(test, state, ["label"]), state.features
+    state = fit_vectors(train)
+    return materialize(apply_vectors(train, state, ["label"])), apply_vectors(test, state, ["label"]), state
+
+
+# Fewer trees and rounds than ``baselines()`` has by default (100 each, forest of any depth).
+SMALL = {"trees": 5, "rounds": 3, "forest_depth": 6}
 
 
 @register("baseline_models")
 def baseline_models(spark, d):
     """All seven regressors (small ensembles) on the train side, metrics on the test side."""
-    train, test, features = _ready(spark, d)
-    models = M.train(train, features, M.baselines(trees=5, rounds=3, forest_depth=6))
+    train, test, state = _ready(spark, d)
+    models = M.train(train, state.features, M.baselines(**SMALL))
     return M.evaluate(models, test)
 
 
 @register("training_metrics")
 def training_metrics(spark, d):
     """Metrics of a tree and a linear model on their own training rows."""
-    train, _, features = _ready(spark, d)
-    models = M.train(train, features, {"Linear Regression": M.linear(), "Decision Tree": M.decision_tree(5)})
+    train, _, state = _ready(spark, d)
+    models = M.train(train, state.features, {"Linear Regression": M.linear(), "Decision Tree": M.decision_tree(10)})
     return M.training_metrics(models, train)
 
 
 @register("feature_importance")
 def feature_importance(spark, d):
-    train, _, features = _ready(spark, d)
-    models = M.train(train, features, {"Decision Tree": M.decision_tree(6)})
-    return M.feature_importance(models["Decision Tree"], features, train, top=15)
+    train, _, state = _ready(spark, d)
+    models = M.train(train, state.features, {"Decision Tree": M.decision_tree(10)})
+    return M.feature_importance(models["Decision Tree"], vector_names(spark, state), train, top=15)
 
 
 @register("random_search")
 def random_search(spark, d):
     """Random search of tree settings; the points that were tried and their MSE."""
-    rows = hash_folds(parts(spark, d), 3, hash_column=F.col("p_partkey"))
-    found = M.tune("decision_tree", M.assembler(["x"]).transform(rows), search="random", folds=3, parallelism=4)
+    rows = hash_folds(parts(spark, d), hash_column=F.col("p_partkey"))
+    found = M.tune("decision_tree", M.assembler(["x"]).transform(rows), search="random", parallelism=4)
     table = [(str(sorted(p.items(), key=str)), mse, p == found.point) for p, mse in found.scores]
     return spark.createDataFrame(table, "point string, mse double, best boolean")
 
@@ -323,8 +329,10 @@ def retraining(spark, d):
     """The whole job on all trips: row gate, training, promotion gate, pointer."""
     from gridlark.plans.training import current_run_id, retrain
 
-    raw = trips(spark, d, located=True).drop("airline", "src_lat", "src_lon", "dst_lat", "dst_lon")
+    raw = trips(spark, d, located=True).drop("src_lat", "src_lon", "dst_lat", "dst_lon")
     folder = new_folder(spark, "runs")
-    decision = retrain(spark, raw, folder, "first", "2024-01-01", keys=KEYS, estimators={"Linear Regression": M.linear()})
+    decision = retrain(
+        spark, raw, folder, "first", "2024-01-01", keys=KEYS, estimators=M.baselines(**SMALL), tuned={"ridge": {}}
+    )
     rows = [("first", decision, current_run_id(spark, folder) == "first")]
     return spark.createDataFrame(rows, "run_id string, decision string, current boolean")

@@ -421,15 +421,14 @@ def box_order(spark, d):
 
 @register(
     "density",
-    f"""WITH f AS (SELECT count(*) AS n, stddev_samp(value) * pow(count(*), -0.2) AS h, min(value) AS lo, max(value) AS hi FROM events),
-    centres AS (SELECT lo + (hi - lo) / 2048 * (bin + 0.5) AS x0, b.n AS c FROM {_binned('events', 2048)} b, f),
-    grid AS (SELECT lo + (hi - lo) / 199 * i AS x FROM f, (SELECT unnest(range(200)) AS i))
-    SELECT {r('x')} AS x, {r('sum(c * exp(-0.5 * ((x - x0) / h) * ((x - x0) / h))) / max(f.n * h) / sqrt(2 * pi())', 8)} AS density
-    FROM grid, centres, f GROUP BY x""",
+    f"""WITH f AS (SELECT count(value) AS n, stddev_samp(value) * pow(count(value), -0.2) AS h, min(value) AS lo, max(value) AS hi FROM events),
+    grid AS (SELECT lo + (hi - lo) / 199 * i AS x, n, h FROM f, (SELECT unnest(range(200)) AS i))
+    SELECT {r('x')} AS x, {r('sum(exp(-0.5 * ((x - value) / h) * ((x - value) / h))) / max(n * h) / sqrt(2 * pi())', 7)} AS density
+    FROM grid, events WHERE value IS NOT NULL GROUP BY x""",
 )
 def density(spark, d):
     curve = H.density(read_table(spark, d, "events"), "value")
-    return curve.select(rnd("x").alias("x"), rnd("density", 8).alias("density"))
+    return curve.select(rnd("x").alias("x"), rnd("density", 7).alias("density"))
 
 
 INSIGHT_SQL = """SELECT 'skewed_target' AS rule, 'value' AS "column", skewness(value) AS v FROM events HAVING abs(skewness(value)) > 1

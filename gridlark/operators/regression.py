@@ -37,7 +37,8 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
 
 
 def linear() -> LinearRegression:
-    return LinearRegression(regParam=0.0, solver="normal")
+    """Exact normal equations up to the 4096 features Spark solves so, L-BFGS beyond."""
+    return LinearRegression(regParam=0.0, solver="auto", maxIter=500, tol=1e-9)
 
 
 class Ridge(Estimator):
@@ -56,7 +57,7 @@ class Ridge(Estimator):
     def _fit(self, dataset: DataFrame) -> Model:
         facts = dataset.agg(F.count("label").alias("n"), F.stddev_pop("label").alias("std")).first()
         penalty = self.getOrDefault(self.alpha) * (facts["std"] or 1.0) / max(facts["n"], 1)
-        solver = LinearRegression(regParam=penalty, elasticNetParam=0.0, standardization=False, solver="normal")
+        solver = LinearRegression(regParam=penalty, elasticNetParam=0.0, standardization=False, solver="auto", maxIter=500, tol=1e-9)
         return solver.fit(dataset)
 
 
@@ -294,10 +295,13 @@ def tune(
     return Tuned(fitted.bestModel, points[best], math.sqrt(scores[best][1]), scores)
 
 
-def feature_importance(model: Model, features: Sequence[str], df: DataFrame, top: int | None = None) -> DataFrame:
+def feature_importance(
+    model: Model, features: Sequence[str] | DataFrame, df: DataFrame, top: int | None = None
+) -> DataFrame:
     """``(feature, importance)``, largest first: tree importances or absolute coefficients.
 
-    Empty for a model that has neither.
+    ``features`` are names in order, or a table ``(position, feature)``. Empty for a model
+    that has neither kind of weight.
     """
     last = model.stages[-1] if isinstance(model, PipelineModel) else model
     if hasattr(last, "featureImportances"):
@@ -306,8 +310,12 @@ def feature_importance(model: Model, features: Sequence[str], df: DataFrame, top
         weights = [abs(float(w)) for w in last.coefficients.toArray()]
     else:
         weights = []
-    rows = list(zip(features, weights))
-    table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    if isinstance(features, DataFrame):
+        placed = df.sparkSession.createDataFrame(list(enumerate(weights)), "position int, importance double")
+        table = features.join(placed, "position").select("feature", "importance")
+    else:
+        rows = list(zip(features, weights))
+        table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
     ranked = table.orderBy(F.desc("importance"), "feature")
     return ranked.limit(top) if top else ranked
 

@@ -6,6 +6,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +14,10 @@ from gridlark.functions.calendar import days_until, duration_hours, seasonality,
 from gridlark.functions.codes import class_rank, hour_bin, stop_flag
 from gridlark.operators.cleaning import drop_columns, with_clean_names
 from gridlark.operators.columns import numeric_columns, ref, string_columns
-from gridlark.operators.encoding import OneHot, apply_one_hot, fit_one_hot
+from gridlark.operators.encoding import OneHot, apply_one_hot, fit_one_hot, label_dictionary
 from gridlark.operators.lookup import route_features
 from gridlark.operators.scaling import Scaler, apply_scaler, fit_scaler
+from gridlark.sources.shared import materialize
 
 DEPARTURE, ARRIVAL, TARGET = "departure_ts", "arrival_ts", "total_fare"
 # Parts of the target; a model that sees them predicts nothing.
@@ -78,12 +80,16 @@ def outside_domain(df: DataFrame, allowed: dict[str, Sequence[str]]) -> DataFram
 
 @dataclass(frozen=True)
 class FeatureState:
-    """All that was learned from the training rows, small enough for one JSON row."""
+    """What was learned for named indicator columns, small enough for one JSON row."""
 
     one_hot: dict[str, list[str]]
     scaler: dict[str, tuple[float, float]]
     features: list[str]
 
+    @property
+    def size(self) -> int:
+        return len(self.features)
+
     def to_json(self) -> str:
         return json.dumps(asdict(self))
 
@@ -131,3 +137,108 @@ def save_state(spark: SparkSession, state: FeatureState, path: str) -> None:
 def load_state(spark: SparkSession, path: str) -> FeatureState:
     """The saved state; a missing one is an error, never a fresh, unfitted one."""
     return FeatureState.from_json(spark.read.schema("state string").parquet(path).first()["state"])
+
+
+# The one input column that ``apply_vectors`` makes for a regressor.
+VECTOR = "vector"
+
+
+@dataclass(frozen=True)
+class VectorState:
+    """What was learned for sparse feature vectors, for any number of categories.
+
+    The categories stay a table ``(column, value, code)``; only their number per column and
+    the scaling are held here. A vector has the scaled numbers first, then the indicators
+    of each text column in the order of ``categories``.
+    """
+
+    categories: dict[str, int]
+    scaler: dict[str, tuple[float, float]]
+    dictionary: DataFrame
+
+    @property
+    def features(self) -> list[str]:
+        return [VECTOR]
+
+    @property
+    def size(self) -> int:
+        return len(self.scaler) + sum(max(n - 1, 0) for n in self.categories.values())
+
+
+def fit_vectors(train: DataFrame, target: str = "label", method: str = "standard", exclude: Sequence[str] = ()) -> VectorState:
+    """Learn the categories of the text columns and the scaling of the numeric ones.
+
+    One number per text column is read back, never a category.
+    """
+    features = train.drop(target, *exclude)
+    text = string_columns(features)
+    dictionary = materialize(label_dictionary(features, text, null_class=False)) if text else None
+    if dictionary is None:
+        dictionary = train.sparkSession.createDataFrame([], "column string, value string, code int")
+    found = {r["column"]: r["n"] for r in dictionary.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    scaler = fit_scaler(features, numeric_columns(features), method)
+    return VectorState({c: found.get(c, 0) for c in text}, scaler.parameters, dictionary)
+
+
+def apply_vectors(df: DataFrame, state: VectorState, keep: Sequence[str] = ()) -> DataFrame:
+    """The learned features of any frame as one sparse ``vector``, and the ``keep`` columns.
+
+    A null, unseen or first category has no indicator. The dictionary has one row per
+    value, so each text column is a join that repeats no row; Spark broadcasts a small
+    dictionary by its size and may split a hot value of the left side of a large one.
+    """
+    needed = [c for c in (*state.categories, *state.scaler) if c not in df.columns]
+    if needed:
+        raise ValueError(f"columns not found: {needed}")
+    scaled = apply_scaler(df.select(*[ref(c) for c in state.scaler], *[
+        ref(c).alias(f"_keep{i}") for i, c in enumerate(keep)], *[
+        ref(c).alias(f"_text{i}") for i, c in enumerate(state.categories)]), Scaler(state.scaler))
+    work = scaled.withColumnsRenamed({c: f"_number{i}" for i, c in enumerate(state.scaler)})
+    coded = {}
+    for i, (column, count) in enumerate(state.categories.items()):
+        if count < 2:
+            continue
+        codes = state.dictionary.where(F.col("column") == column).select(
+            F.col("value").alias(f"_text{i}"), F.col("code").alias(f"_code{i}")
+        )
+        nowhere = F.lit(float(count - 1))
+        place = F.when(F.col(f"_code{i}") > 0, F.col(f"_code{i}") - 1.0).otherwise(nowhere)
+        work = work.join(codes, f"_text{i}", "left").withColumn(f"_place{i}", F.coalesce(place, nowhere))
+        coded[f"_place{i}"] = (f"_vector{i}", float(count - 2))
+    if coded:
+        # Fitted on one row with the last position of each column: their sizes are known.
+        last = df.sparkSession.createDataFrame([tuple(size for _, size in coded.values())], list(coded))
+        names = [name for name, _ in coded.values()]
+        encoder = OneHotEncoder(inputCols=list(coded), outputCols=names, handleInvalid="keep", dropLast=True)
+        work = encoder.fit(last).transform(work)
+    inputs = [f"_number{i}" for i in range(len(state.scaler))] + [name for name, _ in coded.values()]
+    vectors = VectorAssembler(inputCols=inputs, outputCol=VECTOR, handleInvalid="error").transform(work)
+    return vectors.select(VECTOR, *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)])
+
+
+def vector_names(spark: SparkSession, state: VectorState) -> DataFrame:
+    """``(position, feature)`` of the vector's places; names need not be different."""
+    numbers = spark.createDataFrame(list(enumerate(state.scaler)), "position int, feature string")
+    offsets, start = [], len(state.scaler)
+    for column, count in state.categories.items():
+        offsets.append((column, start))
+        start += max(count - 1, 0)
+    starts = spark.createDataFrame(offsets, "column string, start int")
+    names = state.dictionary.where("code > 0").join(F.broadcast(starts), "column")
+    tidy = F.regexp_replace(F.concat_ws("_", "column", "value"), "[^a-zA-Z0-9]+", "_")
+    return numbers.unionByName(names.select((F.col("start") + F.col("code") - 1).alias("position"), tidy.alias("feature")))
+
+
+def save_vectors(state: VectorState, path: str) -> None:
+    """The dictionary and one JSON row, each as a table."""
+    spark = state.dictionary.sparkSession
+    text = json.dumps({"categories": state.categories, "scaler": state.scaler})
+    state.dictionary.write.parquet(f"{path}/dictionary")
+    spark.createDataFrame([(text,)], "state string").write.parquet(f"{path}/state")
+
+
+def load_vectors(spark: SparkSession, path: str) -> VectorState:
+    """The saved state; a missing one is an error, never a fresh, unfitted one."""
+    raw = json.loads(spark.read.schema("state string").parquet(f"{path}/state").first()["state"])
+    dictionary = spark.read.parquet(f"{path}/dictionary")
+    return VectorState(raw["categories"], {c: tuple(p) for c, p in raw["scaler"].items()}, dictionary)

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 from gridlark.operators import encoding as E
 from gridlark.operators import scaling as S
 from gridlark.operators import splitting as X
-from gridlark.plans.features import apply_features, fit_features, load_state, save_state
+from gridlark.operators import regression as M
+from gridlark.plans.features import (
+    apply_features, apply_vectors, fit_features, fit_vectors, load_state, load_vectors, save_state, save_vectors, vector_names,
+)
 
 
 def texts(spark, values, name="c"):
@@ -123,6 +126,36 @@ def test_feature_state_round_trip(spark, tmp_path):
         apply_features(new.drop("n"), again)
 
 
+def test_vectors_equal_the_columns(spark, tmp_path):
+    rows = [(1.0, "A-B", 1), (2.0, "A B", 2), (4.0, None, 3), (5.0, "z", 4)]
+    train = spark.createDataFrame(rows, "n double, c string, id int").withColumn("one", F.lit("same")).withColumn("none", F.lit(None).cast("string"))
+    state = fit_vectors(train, exclude=["id"])
+    save_vectors(state, str(tmp_path / "state"))
+    again = load_vectors(spark, str(tmp_path / "state"))
+    assert again.categories == {"c": 3, "one": 1, "none": 0} and again.size == 3
+    new = train.unionByName(train.limit(1).withColumns({"c": F.lit("new"), "id": F.lit(5), "n": F.lit(3.0)}))
+    got = {r["id"]: [round(x, 6) for x in r["v"]] for r in apply_vectors(new, again, ["id"]).select("id", vector_to_array("vector").alias("v")).collect()}
+    assert {k: v[1:] for k, v in got.items()} == {1: [1.0, 0.0], 2: [0.0, 0.0], 3: [0.0, 0.0], 4: [0.0, 1.0], 5: [0.0, 0.0]}
+    assert got[5][0] == 0.0
+    names = vector_names(spark, again).orderBy("position").collect()
+    assert [tuple(r) for r in names] == [(0, "n"), (1, "c_A_B"), (2, "c_z")]
+    with pytest.raises(ValueError):
+        apply_vectors(new.drop("c"), again)
+
+
+def test_thousands_of_categories_train_and_score(spark):
+    rows = spark.range(10_000).select(
+        "id", F.concat(F.lit("plane "), F.col("id") % 5000).alias("plane"), (F.col("id") % 5000 % 7).cast("double").alias("label")
+    )
+    state = fit_vectors(rows, exclude=["id"])
+    fitted = {"Linear Regression": M.linear(), "Lasso": M.lasso(1e-5)}
+    models = M.train(apply_vectors(rows, state, ["label"]), state.features, fitted)
+    assert state.size == 4999
+    scored = models["Linear Regression"].transform(apply_vectors(rows, state, ["id", "label"]))
+    assert scored.where(F.abs(F.col("prediction") - F.col("label")) < 0.05).count() == 10_000
+    assert M.feature_importance(models["Lasso"], vector_names(spark, state), rows).count() == 4999
+
+
 def test_missing_state_is_an_error(spark, tmp_path):
     with pytest.raises(Exception):
         load_state(spark, str(tmp_path / "nothing"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from gridlark.operators import regression as M
 from gridlark.plans.features import outside_domain, request_errors
 from gridlark.plans.scoring import model_info, requests_frame, score
-from gridlark.plans.training import current_run_id, point_to, retrain, train_and_compare
+from gridlark.plans.training import current_run_id, load_run, point_to, retrain, train_and_compare
 from gridlark.plans.trips import trips
 from gridlark.sources.csv import read_csv
 from gridlark.sources.fares import fare_schema, read_fares
@@ -132,8 +132,8 @@ def test_outside_domain(spark):
 
 @pytest.fixture(scope="module")
 def sample(spark, small):
-    """A training table of the smallest tables; suppliers are not a feature here."""
-    return trips(spark, small, located=True).drop("airline", "src_lat", "src_lon", "dst_lat", "dst_lon")
+    """A training table of the smallest tables."""
+    return trips(spark, small, located=True).drop("src_lat", "src_lon", "dst_lat", "dst_lon")
 
 
 @pytest.fixture(scope="module")
@@ -144,11 +144,12 @@ def trained(spark, sample):
 
 def test_training_ranks_all_models(trained):
     assert trained.metrics.count() == 2 * 4 and trained.best in trained.models
-    assert not {"base_fare", "tax", "label"} & set(trained.state.features)
+    assert not {"base_fare", "tax", "label"} & {*trained.state.scaler, *trained.state.categories}
+    assert "airline" in trained.state.categories
 
 
 def scoring_columns(df):
-    return df.select(*KEYS, "source", "destination", "departure_ts", "arrival_ts", "stopovers", "class", "booking_source", "segment", "duration_hrs", "days_before")
+    return df.select(*KEYS, "source", "destination", "departure_ts", "arrival_ts", "stopovers", "class", "airline", "booking_source", "segment", "duration_hrs", "days_before")
 
 
 def start_of_1995():
@@ -183,11 +184,23 @@ def test_stream_scores_equal_batch_scores(spark, sample, trained, tmp_path):
 
 def test_retraining_promotes_keeps_and_rolls_back(spark, sample, tmp_path):
     folder = str(tmp_path / "runs")
-    first = retrain(spark, sample, folder, "r1", "2024-01-01", keys=KEYS, estimators={"Decision Tree": M.decision_tree(2)})
+    with pytest.raises(ValueError, match="no run"):
+        load_run(spark, folder)
+    first = retrain(
+        spark, sample, folder, "r1", "2024-01-01", keys=KEYS, estimators={"Decision Tree": M.decision_tree(2)},
+        tuned={"decision_tree": {"max_depth": [1, 2]}},
+    )
     second = retrain(spark, sample, folder, "r2", "2024-01-08", keys=KEYS, estimators={"Decision Tree": M.decision_tree(2)})
     assert (first, second, current_run_id(spark, folder)) == ("deploy", "keep", "r1")
-    assert {"model", "features", "metrics"} <= set(os.listdir(f"{folder}/run_id=r2"))
+    assert {"model", "features", "metrics", "comparison", "summary", "importance"} <= set(os.listdir(f"{folder}/run_id=r2"))
     point_to(spark, folder, "r2", "2024-01-09")
     assert current_run_id(spark, folder) == "r2"
+    assert {r["model"] for r in read_metrics(spark, f"{folder}/run_id=r1/metrics").collect()} == {"Decision Tree", "decision_tree (tuned)"}
+    run = load_run(spark, folder)
+    rows = scoring_columns(sample).na.fill("BUILDING", ["segment"])
+    scored = score(rows, run.model, run.state, start_of_1995(), KEYS)
+    assert run.run_id == "r2" and scored.where("prediction IS NOT NULL").count() == rows.count()
+    importance = spark.read.parquet(f"{folder}/run_id=r2/importance")
+    assert importance.count() == run.state.size
     with pytest.raises(ValueError):
         retrain(spark, sample.where("l_orderkey < 0"), folder, "r3", "2024-01-15", keys=KEYS)
