@@ -264,7 +264,7 @@ def grid_search(spark, d):
 def _ready(spark, d) -> tuple[DataFrame, DataFrame, VectorState]:
     """Train and test vectors of all trips, each written once; missing trip lengths are the median."""
     rows = trips(spark, d, located=True).drop("src_lat", "src_lon", "dst_lat", "dst_lon")
-    filled = materialize(rows).transform(fill_missing, columns=["duration_hrs"])
+    filled = materialize(rows, spread=True).transform(fill_missing, columns=["duration_hrs"])
     derived = derive_features(filled).withColumnRenamed("total_fare", "label")
     marked = with_split(derived, "label", 0.2, hash_column=F.expr(SPLIT_HASH), slices=1000).drop(*KEYS)
     train, test = train_test(marked)

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlark.operators.columns import ref, require
-from gridlark.operators.lookup import in_top_categories
 from gridlark.operators.profiling import top_categories
-from gridlark.operators.ranking import column_quantiles, group_quantiles
+from gridlark.operators.ranking import column_quantiles, group_quantiles, quantiles
 
 
 def _present(df: DataFrame, column: str) -> DataFrame:
@@ -101,22 +100,33 @@ def box_statistics(df: DataFrame, category: str, value: str, n: int = 10) -> Dat
     number of boxes is at most ``n``, which bounds the broadcast of the fences.
     """
     require(df, category, value)
-    rows = df.select(ref(category).alias(category), ref(value).cast("double").alias("value"))
-    top = top_categories(rows, category, n)
-    kept = in_top_categories(rows, category, top).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    quarters = group_quantiles(
-        kept, "value", category, {"q1": 0.25, "median": 0.5, "q3": 0.75}, few_keys=True
+    number = F.nanvl(ref(value).cast("double"), F.lit(None).cast("double"))
+    # Counted once; ranking, quartiles, whiskers and outliers all follow from the counts.
+    # Nothing below filters on ``value``, so that every use is the same exchange.
+    counts = (
+        df.where(ref(category).isNotNull())
+        .select(ref(category).alias(category), number.alias("value"))
+        .groupBy(category, "value")
+        .agg(F.count("*").alias("rows"), F.count("value").alias("weight"))
+    )
+    top = counts.groupBy(category).agg(F.sum("rows").alias("rows")).orderBy(F.desc("rows"), category).limit(n)
+    # An inner join: a semi join would be moved below the counts.
+    kept = counts.join(F.broadcast(top.select(category)), category)
+    quarters = quantiles(
+        kept.select(category, "value", "weight"), {"q1": 0.25, "median": 0.5, "q3": 0.75}, [category], weighted=True
     )
     reach = (F.col("q3") - F.col("q1")) * 1.5
     fences = quarters.withColumns({"lower": F.col("q1") - reach, "upper": F.col("q3") + reach})
     inside = F.col("value").between(F.col("lower"), F.col("upper"))
-    joined = kept.join(F.broadcast(fences), category)
-    return joined.groupBy(category, "q1", "median", "q3").agg(
-        F.count("*").alias("count"),
+    joined = counts.join(F.broadcast(fences), category)
+    boxes = joined.groupBy(category, "q1", "median", "q3").agg(
+        F.sum("weight").alias("count"),
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
+        F.coalesce(F.sum(F.when(~inside, F.col("weight"))), F.lit(0)).alias("outliers"),
     )
+    # A category without values has no box.
+    return boxes.where(F.col("count") > 0)
 
 
 def box_order(df: DataFrame, category: str, value: str, n: int | None = None) -> DataFrame:

@@ -116,6 +116,8 @@ def order_statistics(
     keys: Sequence[str] = (),
     few_keys: bool = True,
     moments: bool = False,
+    weighted: bool = False,
+    places: bool = False,
 ) -> DataFrame:
     """Values at given positions of the sorted ``value`` column, interpolated linearly.
 
@@ -131,18 +133,26 @@ def order_statistics(
 
     ``moments`` adds count, mean, sample standard deviation, min and max. With
     ``few_keys`` they are put together from the bucket counts: no further scan.
+
+    ``weighted``: ``df`` also has ``weight``, how many rows a row stands for (no moments).
+
+    ``places`` adds ``n`` and, per position, ``<name>_before``: the rows with a smaller value.
     """
     keys = list(keys)
+    if weighted and moments:
+        raise ValueError("no moments of weighted rows")
     # Missing values weigh nothing; they only make their key known.
     whole_numbers = df.schema["value"].dataType == T.LongType()
     named = df if whole_numbers else df.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
     place = F.col("value") if whole_numbers else order_key(F.col("value"))
     for key in keys:
         named = named.where(F.col(key).isNotNull())
+    present = F.col("value").isNotNull().cast("bigint")
+    weight = F.col("weight") * present if weighted else present
     if few_keys:
-        rows = named.select(*keys, "value", F.col("value").isNotNull().cast("bigint").alias("weight"))
+        rows = named.select(*keys, "value", weight.alias("weight"))
     else:
-        rows = named.groupBy(*keys, "value").agg(F.count("value").alias("weight"))
+        rows = named.groupBy(*keys, "value").agg(F.sum(weight).alias("weight"))
     rows = rows.withColumn("b1", coarse_bucket(place))
 
     coarse = rows.groupBy(*keys, "b1").agg(
@@ -162,7 +172,7 @@ def order_statistics(
     # The lookup carries two columns it does not use itself: so it and the moments read
     # the same bucket counts, and Spark scans and shuffles them once.
     carried = ["middle", "spread"] if moments and few_keys else []
-    found = _pick(rows, coarse, positions, keys, few_keys, carried, place)
+    found = _pick(rows, coarse, positions, keys, few_keys, carried, place, places)
     if not moments:
         return found
     if few_keys:
@@ -201,6 +211,7 @@ def _pick(
     few_keys: bool,
     carried: list[str],
     place: Column,
+    places: bool = False,
 ) -> DataFrame:
     """Look the positions up: bucket, part of the bucket, value."""
     spots = {
@@ -226,28 +237,35 @@ def _pick(
     fine = fine.where(holds_a_rank(F.col("start"), F.col("size"))).select(*path, F.col("start").alias("first"))
     placed = counted.join(fine, path).withColumn("first", F.col("first") + running("weight", path, "value"))
 
-    def value_at(rank: Column) -> Column:
+    def at(rank: Column, what: str) -> Column:
         here = (rank >= F.col("first")) & (rank < F.col("first") + F.col("weight"))
-        return F.max(F.when(here, F.col("value")))
+        return F.max(F.when(here, F.col(what)))
 
     picks = [F.max("n").alias("n")]
     for i, spot in enumerate(spots.values()):
-        picks += [value_at(F.floor(spot)).alias(f"_a{i}"), value_at(F.ceil(spot)).alias(f"_b{i}")]
+        picks += [at(F.floor(spot), "value").alias(f"_a{i}"), at(F.ceil(spot), "value").alias(f"_b{i}")]
+        if places:
+            picks.append(at(F.floor(spot), "first").alias(f"_first{i}"))
     found = placed.groupBy(*keys).agg(*picks)
     out = []
     for i, (name, spot) in enumerate(spots.items()):
         a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
         between = a if rows.schema["value"].dataType == T.LongType() else a + (b - a) * (spot - F.floor(spot))
         out.append(between.alias(name))
+        if places:
+            out.append(F.col(f"_first{i}").alias(f"{name}_before"))
+    if places:
+        out.append(F.col("n"))
     return found.select(*keys, *out)
 
 
 def quantiles(
-    df: DataFrame, probs: dict[str, float], keys: Sequence[str] = (), few_keys: bool = True, moments: bool = False
+    df: DataFrame, probs: dict[str, float], keys: Sequence[str] = (), few_keys: bool = True, moments: bool = False,
+    weighted: bool = False,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per key, one column per name."""
     positions = {name: (lambda n, p=p: F.lit(float(p)) * (n - 1)) for name, p in probs.items()}
-    return order_statistics(df, positions, keys, few_keys, moments)
+    return order_statistics(df, positions, keys, few_keys, moments, weighted)
 
 
 def column_quantiles(df: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:

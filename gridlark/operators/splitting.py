@@ -39,8 +39,8 @@ def exact_split(
 ) -> DataFrame:
     """Append ``is_test`` so that exactly ``ceil(n * fraction)`` rows are true.
 
-    The test rows are those with the smallest hashes. The limit is found by an exact
-    order statistic (bucket counts, no global sort); only rows whose hash equals the
+    The test rows are those with the smallest hashes. The limit, and how many rows lie
+    below it, are found by an exact order statistic (bucket counts, no global sort); only rows whose hash equals the
     limit are ordered, by their columns. Rows should be distinct, as they are after
     de-duplication: then that group has a hash collision at most.
     """
@@ -48,21 +48,20 @@ def exact_split(
     fraction = test_fraction or TEST_FRACTION
     hashed = hash_column if hash_column is not None else row_hash(df, seed or SEED)
     marked = df.withColumn("_hash", hashed.cast("bigint"))
+    share = F.lit(float(fraction))
     limit = order_statistics(
-        marked.select(F.col("_hash").alias("value")),
-        {"limit": lambda n: F.ceil(F.lit(float(fraction)) * n) - 1},
-    ).scalar()
-    marked = marked.withColumn("_limit", limit)
-    sizes = marked.agg(
-        F.count("*").alias("n"), F.count_if(F.col("_hash") < F.col("_limit")).alias("below")
-    ).select((F.ceil(F.lit(float(fraction)) * F.col("n")) - F.col("below")).alias("open")).scalar()
-    at_limit = F.col("_hash") == F.col("_limit")
+        marked.select(F.col("_hash").alias("value")), {"limit": lambda n: F.ceil(share * n) - 1}, places=True
+    )
+    # How many rows with the limit itself are still to be taken.
+    open_places = (F.ceil(share * F.col("n")) - F.col("limit_before")).alias("open")
+    marked = marked.withColumn("_at", limit.select(F.struct("limit", open_places)).scalar())
+    at_limit = F.col("_hash") == F.col("_at.limit")
     ties = marked.where(at_limit).withColumn(
         "_place", F.row_number().over(W.partitionBy("_hash").orderBy(*[ref(c) for c in df.columns]))
     )
     columns = [ref(c) for c in df.columns]
-    sure = marked.where(~at_limit).select(*columns, (F.col("_hash") < F.col("_limit")).alias("is_test"))
-    return sure.unionByName(ties.select(*columns, (F.col("_place") <= sizes).alias("is_test")))
+    sure = marked.where(~at_limit).select(*columns, (F.col("_hash") < F.col("_at.limit")).alias("is_test"))
+    return sure.unionByName(ties.select(*columns, (F.col("_place") <= F.col("_at.open")).alias("is_test")))
 
 
 def train_test(df: DataFrame, flag: str = "is_test") -> tuple[DataFrame, DataFrame]:

@@ -15,12 +15,20 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, spread: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Unlike a cache it outlives lost executors, and unlike a checkpointed RDD later
     passes still read only the columns they need and know the table's size.
+
+    ``spread`` deals the rows evenly over the cluster before the write, so that a few
+    input row groups do not set the width of everything that follows: worth one shuffle
+    before repeated passes, such as fits.
     """
-    folder = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    if spread:
+        width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        df = df.repartition(width)
+    folder = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
+    return spark.read.parquet(folder)

@@ -11,7 +11,8 @@ from gridlark.operators import ranking as R
 FITTED = {
     "baseline_models", "random_search", "retraining", "training_metrics", "feature_importance", "grid_search", "cross_validation",
     "linear_regression", "ridge_regression", "lasso_regression", "model_round_trip", "score_requests", "stream_scores",
-    "feature_matrix_profile", "fit_on_train_apply_to_test",
+    "feature_matrix_profile", "fit_on_train_apply_to_test", "tree_predictions", "tree_training_metrics", "linear_importance",
+    "tree_importance", "random_search_of_groups",
 }
 LAZY = sorted(set(QUERIES) - FITTED)
 
@@ -47,6 +48,13 @@ def test_ranks_scan_their_input_once(spark, small):
     assert final.count("FileScan parquet [l_orderkey") == 1
 
 
+def test_boxes_share_one_count_table(spark, small):
+    df = QUERIES["box_statistics"](spark, small)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet [l_orderkey") <= 2 and "ReusedExchange" in final
+
+
 def test_bucket_numbers_are_bounded(spark):
     values = [0.0, 1.7976931348623157e308, -1.7976931348623157e308, 5e-324, float("inf"), float("-inf")]
     df = spark.createDataFrame([(v,) for v in values], "value double")

@@ -88,6 +88,15 @@ def test_box_statistics(spark):
     assert row["q1"] == np.quantile(values, 0.25)
 
 
+def test_boxes_without_values(spark):
+    rows = [("a", 1.0), ("a", float("nan")), ("a", None), ("b", None), ("b", None), ("b", None), ("b", None), (None, 9.0)]
+    df = spark.createDataFrame(rows, "c string, v double")
+    got = H.box_statistics(df, "c", "v").collect()
+    assert [(r["c"], r["count"], r["median"], r["whisker_low"], r["whisker_high"], r["outliers"]) for r in got] == [("a", 1, 1.0, 1.0, 1.0, 0)]
+    assert H.box_statistics(df, "c", "v", 1).collect() == []
+    assert H.box_statistics(df.limit(0), "c", "v").collect() == []
+
+
 def test_box_order_has_all_categories(spark):
     df = spark.createDataFrame([("a", 2.0), ("b", 1.0), (None, 0.0)], "c string, v double")
     assert [r["c"] for r in H.box_order(df, "c", "v").collect()] == ["b", "a"]
