@@ -102,12 +102,13 @@ def box_statistics(df: DataFrame, category: str, value: str, n: int = 10) -> Dat
     require(df, category, value)
     number = F.nanvl(ref(value).cast("double"), F.lit(None).cast("double"))
     # Counted once; ranking, quartiles, whiskers and outliers all follow from the counts.
-    # Nothing below filters on ``value``, so that every use is the same exchange.
+    # Nothing below filters on ``value`` or needs another aggregate: every use is the same exchange.
     counts = (
         df.where(ref(category).isNotNull())
         .select(ref(category).alias(category), number.alias("value"))
         .groupBy(category, "value")
-        .agg(F.count("*").alias("rows"), F.count("value").alias("weight"))
+        .agg(F.count("*").alias("rows"))
+        .withColumn("weight", F.col("rows") * F.col("value").isNotNull().cast("bigint"))
     )
     top = counts.groupBy(category).agg(F.sum("rows").alias("rows")).orderBy(F.desc("rows"), category).limit(n)
     # An inner join: a semi join would be moved below the counts.

@@ -52,7 +52,7 @@ def test_boxes_share_one_count_table(spark, small):
     df = QUERIES["box_statistics"](spark, small)
     df.collect()
     final = plan(df).split("== Initial Plan ==")[0]
-    assert final.count("FileScan parquet [l_orderkey") <= 2 and "ReusedExchange" in final
+    assert final.count("FileScan parquet [l_orderkey") == 1 and "ReusedExchange" in final
 
 
 def test_bucket_numbers_are_bounded(spark):
