@@ -73,8 +73,11 @@ class Shard:
         most, least = np.maximum(*ends), np.minimum(*ends)
         order = np.argsort(least - most, kind="stable")
         if len(self.ids) > SEEDS:
-            first = np.where(self.ids[:SEEDS] != query_id, self.cells[:SEEDS, :dims] @ query, -np.inf)
-            threshold = max(threshold, np.partition(first, -k)[-k])
+            others = np.flatnonzero(self.ids[:SEEDS] != query_id)
+            # Results count by id, so the k-th best is that of k different ids.
+            _, first = _best(self.ids[others], self.cells[others, :dims] @ query, k)
+            if len(first) == k:
+                threshold = max(threshold, first[-1])
         # Without its essential terms a vector has at most the least of them and the most of the rest.
         reach = least.sum() + np.append(np.cumsum((most - least)[order][::-1])[::-1], 0)
         essential = int(np.searchsorted(-reach, -threshold, side="right")) if np.isfinite(threshold) else dims

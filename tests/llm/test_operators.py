@@ -261,6 +261,24 @@ def test_top_k(spark, monkeypatch):
     assert [r.vec_id for r in topk.top_k(big).orderBy("rank").collect()] == [2, 1]
 
 
+def test_top_k_of_repeated_ids_among_the_seeds():
+    best = [0, 1, 1, 1, 1, 2, 3, 4]
+    ids = np.array([*best, *range(1000, 1000 + topk.SEEDS), 5])
+    assert len(ids) > topk.SEEDS
+    values = np.array([[100.0 - i if i < 9 else 1.0, 2.0] for i in ids])
+    found, scores = topk.Shard(ids, values).top(0, np.array([1.0, 1.0]), 5, -np.inf)
+    assert list(zip(found.tolist(), scores.tolist())) == [(i, 102.0 - i) for i in (1, 2, 3, 4, 5)]
+
+
+@pytest.mark.parametrize("copies", [2, 30, 200])
+def test_top_k_with_repeated_rows_in_large_shards(spark, copies):
+    rng = np.random.default_rng(7)
+    rows = [(int(i), [float(x) for x in np.round(rng.normal(size=12), 1)]) for i in range(300)]
+    rows = [*rows[:20] * copies, *rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    assert {tuple(r) for r in topk.top_k(df).collect()} == plain_top(rows)
+
+
 # repeats
 
 
