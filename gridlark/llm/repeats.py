@@ -11,6 +11,10 @@ equal anchors. Round one counts anchors: a window whose anchor occurs in one doc
 can't repeat. Round two sorts the windows of the other anchors, bucket by bucket, in suffix
 order, and finds those with an earlier match. Between the rounds only bit masks travel
 back to the text, which is kept in packed chunks.
+
+Round one also counts the contexts of each anchor. The windows of an anchor with more than
+``HOT`` of them are dealt out one by one, by a hash of the whole window, into buckets of
+their own, so no bucket holds all that surrounds a common phrase.
 """
 
 from __future__ import annotations
@@ -33,6 +37,9 @@ SPAN = DEPTH - GRAM + 1
 CHUNK_BYTES = 2 << 20
 # Text per bucket of anchors; about one byte in sixteen is an anchor.
 BUCKET_BYTES = 8 << 20
+# Contexts (of up to 80 bytes) of one anchor in one bucket, and windows in a bucket for those of anchors with more.
+HOT = 1 << 15
+HOT_WINDOWS = 1 << 19
 SLICE = 1 << 21
 _PLACE = np.uint64((1 << 22) - 1)
 _FACTOR = 0x9E3779B97F4A7C15
@@ -165,62 +172,106 @@ def _cut(bucket: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(bucket, np.arange(buckets + 1))
 
 
+def _context_counts(runs: Runs, place: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """How many different contexts each of a chunk's ``n`` anchors has."""
+    counts = np.bincount(place, minlength=n)
+    many = np.flatnonzero(counts[place] > 1)
+    raw = text.tobytes()
+    rows = zip(runs.first[many].tolist(), runs.last[many].tolist(), place[many].tolist())
+    # Equal contexts have equal anchors.
+    found = {raw[a : z + DEPTH]: p for a, z, p in rows}
+    distinct = np.bincount(np.fromiter(found.values(), np.int64, len(found)), minlength=n)
+    return np.where(counts > 1, distinct, counts)
+
+
 def _anchor_lists(buckets: int):
-    """Round one, at the text: each chunk's distinct anchors, six bytes each, by bucket."""
+    """Round one, at the text: each chunk's distinct anchors, six bytes each, and their counts of contexts, by bucket."""
 
     def run(parts):
         for batch in parts:
             for chunk, ids, sizes, data in zip(*(c.to_pylist() for c in batch.columns)):
                 order, lengths, text = _opened(ids, sizes, data)
-                hashes, bucket, _, _ = _distinct(Runs(text, lengths), order, buckets)
+                runs = Runs(text, lengths)
+                hashes, bucket, place, _ = _distinct(runs, order, buckets)
+                counts = _context_counts(runs, place, text, len(hashes)).astype("<u4")
                 cuts = _cut(bucket, buckets)
                 low = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                rows = [(b, low[cuts[b] : cuts[b + 1]].tobytes()) for b in range(buckets) if cuts[b] < cuts[b + 1]]
-                yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk] * len(rows), pa.int64()), "bucket": pa.array([b for b, _ in rows], pa.int32()), "anchors": pa.array([a for _, a in rows], pa.binary())})
+                rows = [(b, *(x[cuts[b] : cuts[b + 1]].tobytes() for x in (low, counts))) for b in range(buckets) if cuts[b] < cuts[b + 1]]
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk] * len(rows), pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int32()), "anchors": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
 
     return run
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """Round one, at a bucket: which anchors of each chunk other chunks have too."""
-    lists = [np.frombuffer(a, np.uint8).reshape(-1, 6) for a in table.column("anchors").to_pylist()]
-    wide = np.zeros((sum(map(len, lists)), 8), np.uint8)
-    wide[:, :6] = np.concatenate(lists)
-    _, place, counts = np.unique(wide.view("<u8").ravel(), return_inverse=True, return_counts=True)
-    again = counts[place] > 1
-    ends = np.cumsum([len(x) for x in lists])
-    masks = [_packed_bits(again[end - len(x) : end]) for x, end in zip(lists, ends)]
-    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "mask": pa.array(masks, pa.binary())})
+def _shared_anchors(hot: int):
+    """Round one, at a bucket: which anchors of each chunk other chunks have too, and which are hot everywhere."""
+
+    def run(table: pa.Table) -> pa.Table:
+        lists = [np.frombuffer(a, np.uint8).reshape(-1, 6) for a in table.column("anchors").to_pylist()]
+        wide = np.zeros((sum(map(len, lists)), 8), np.uint8)
+        wide[:, :6] = np.concatenate(lists)
+        _, place, counts = np.unique(wide.view("<u8").ravel(), return_inverse=True, return_counts=True)
+        contexts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4")
+        again, many = counts[place] > 1, (np.bincount(place, contexts) > hot)[place]
+        masks, hots, n_hot = [], [], []
+        ends = np.cumsum([len(x) for x in lists])
+        for x, end in zip(lists, ends):
+            mine = slice(end - len(x), end)
+            masks.append(_packed_bits(again[mine]))
+            hots.append(_packed_bits(many[mine]) if many[mine].any() else b"")
+            n_hot.append(int(contexts[mine][many[mine]].sum()))
+        cells = {"mask": pa.array(masks, pa.binary()), "hot": pa.array(hots, pa.binary()), "n_hot": pa.array(n_hot, pa.int64())}
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), **cells})
+
+    return run
+
+
+def _window_hashes(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A hash of the ``DEPTH`` bytes at each start."""
+    out = np.zeros(len(starts), np.uint64)
+    for j in range(DEPTH):
+        out = out * np.uint64(_FACTOR) + text[starts + j] + np.uint64(1)
+    out = (out ^ (out >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return out ^ (out >> np.uint64(32))
 
 
 class _Contexts:
     """The windows of a chunk's shared anchors as contexts, by bucket.
 
     Equal contexts of a chunk travel once, for their smallest id; the others are known to
-    repeat.
+    repeat. Each window of a hot anchor is a context of its own, in one of the ``extra``
+    buckets after the others.
     """
 
-    def __init__(self, order: np.ndarray, sizes: np.ndarray, text: np.ndarray, masks: list, buckets: int) -> None:
-        self.runs = runs = Runs(text, sizes)
+    def __init__(self, order: np.ndarray, sizes: np.ndarray, text: np.ndarray, masks: list, buckets: int, extra: int) -> None:
+        runs = Runs(text, sizes)
         hashes, bucket, place, several = _distinct(runs, order, buckets)
-        shared = several
+        shared, hot = several, np.zeros(len(hashes), bool)
         cuts = _cut(bucket, buckets)
-        for b, mask in masks:
+        for b, mask, hots in masks:
             n = cuts[b + 1] - cuts[b]
             shared[cuts[b] : cuts[b + 1]] |= _bits(mask, n)
+            if hots:
+                hot[cuts[b] : cuts[b + 1]] = _bits(hots, n)
         picked = np.flatnonzero(shared[place])
-        picked = picked[np.argsort(bucket[place[picked]], kind="stable")]
-        self.picked, self.owner = picked, order[runs.doc[picked]]
-        self.bucket = bucket[place[picked]]
+        single = hot[place[picked]]
+        each = np.where(single, runs.last[picked] - runs.first[picked] + 1, 1)
+        inside, single, picked = _spread(each), np.repeat(single, each), np.repeat(picked, each)
+        first = runs.first[picked] + inside
+        last, offset, at_bucket = np.where(single, first, runs.last[picked]), runs.offset[picked] - inside, bucket[place[picked]]
+        if single.any():
+            at_bucket[single] = buckets + (_window_hashes(text, first[single]) % np.uint64(extra)).astype(np.int64)
+        by_bucket = np.argsort(at_bucket, kind="stable")
+        self.first, self.last, self.bucket = first[by_bucket], last[by_bucket], at_bucket[by_bucket]
+        self.owner, offset = order[runs.doc[picked[by_bucket]]], offset[by_bucket]
         raw = text.tobytes()
         seen: dict[bytes, int] = {}
         self.texts: list[bytes] = []
         self.lowest: list[int] = []
         self.offsets: list[int] = []
-        self.slot = np.empty(len(picked), np.int64)
+        self.slot = np.empty(len(self.first), np.int64)
         at, where = -1, []
-        rows = (runs.first[picked], runs.last[picked], runs.offset[picked], self.bucket, self.owner)
-        for i, (a, z, offset, b, own) in enumerate(zip(*(r.tolist() for r in rows))):
+        rows = (self.first, self.last, offset, self.bucket, self.owner)
+        for i, (a, z, into, b, own) in enumerate(zip(*(r.tolist() for r in rows))):
             if b != at:
                 seen, at = {}, b
             context = raw[a : z + DEPTH]
@@ -229,22 +280,22 @@ class _Contexts:
                 k = seen[context] = len(self.texts)
                 self.texts.append(context)
                 self.lowest.append(own)
-                self.offsets.append(offset)
+                self.offsets.append(into)
                 where.append(b)
             elif own < self.lowest[k]:
                 self.lowest[k] = own
             self.slot[i] = k
-        self.cuts = _cut(np.array(where, np.int64), buckets)
+        self.cuts = _cut(np.array(where, np.int64), buckets + extra)
 
 
-def _context_lists(buckets: int):
+def _context_lists(buckets: int, extra: int):
     """Round two, at the text: contexts with their smallest id, by bucket."""
 
     def run(parts):
         press = zstandard.ZstdCompressor(level=3)
         for batch in parts:
             for chunk, ids, sizes, data, masks in zip(*(c.to_pylist() for c in batch.columns)):
-                found = _Contexts(*_opened(ids, sizes, data), [(m["bucket"], m["mask"]) for m in masks or []], buckets)
+                found = _Contexts(*_opened(ids, sizes, data), [(m["bucket"], m["mask"], m["hot"]) for m in masks or []], buckets, extra)
                 rows = []
                 for b in np.flatnonzero(np.diff(found.cuts)).tolist():
                     lo, hi = found.cuts[b], found.cuts[b + 1]
@@ -289,7 +340,8 @@ def _matched_windows(table: pa.Table) -> pa.Table:
 
     Equal contexts are one from here on, for their smallest owner. Only contexts that share
     their anchor's gram with another one can share some windows but not all; the windows of
-    those are sorted as suffixes.
+    those are sorted as suffixes. Where all contexts of a gram are single windows, as those
+    of hot anchors are, different ones share none.
     """
     slots: dict[bytes, int] = {}
     lowest: list[int] = []
@@ -320,7 +372,8 @@ def _matched_windows(table: pa.Table) -> pa.Table:
     windows = lengths - DEPTH + 1
     offset = np.cumsum(windows) - windows
     matched = np.zeros(int(windows.sum()), bool)
-    mixed = np.flatnonzero(np.fromiter((counts[g] > 1 for g in grams), bool, len(grams)))
+    wide = {g for g, n in zip(grams, windows.tolist()) if n > 1}
+    mixed = np.flatnonzero(np.fromiter((counts[g] > 1 and g in wide for g in grams), bool, len(grams)))
     if len(mixed):
         each = windows[mixed]
         chosen = set(mixed.tolist())
@@ -348,26 +401,25 @@ def _removed(found: _Contexts, replies: list, size: int) -> np.ndarray:
         lo, hi = found.cuts[b], found.cuts[b + 1]
         n = int(counts[lo:hi].sum())
         matched[offset[lo] : offset[lo] + n] = _bits(mask, n)
-    runs, picked = found.runs, found.picked
-    each = runs.last[picked] - runs.first[picked] + 1
+    each = found.last - found.first + 1
     inside = _spread(each)
     lowest = np.array(found.lowest, np.int64)
     # Copies in one chunk repeat their smallest id's; that one asks the other chunks.
-    copy = found.owner > lowest[found.slot] if len(picked) else np.zeros(0, bool)
-    hit = matched[np.repeat(offset[found.slot], each) + inside] | np.repeat(copy, each) if len(picked) else np.zeros(0, bool)
-    starts = (np.repeat(runs.first[picked], each) + inside)[hit]
+    copy = found.owner > lowest[found.slot] if len(each) else np.zeros(0, bool)
+    hit = matched[np.repeat(offset[found.slot], each) + inside] | np.repeat(copy, each) if len(each) else np.zeros(0, bool)
+    starts = (np.repeat(found.first, each) + inside)[hit]
     change = np.zeros(size + 1, np.int32)
     np.add.at(change, starts, 1)
     np.add.at(change, starts + DEPTH, -1)
     return np.cumsum(change[:-1]) > 0
 
 
-def _cleaned(buckets: int, keep_text: bool):
+def _cleaned(buckets: int, extra: int, keep_text: bool):
     def run(parts):
         for batch in parts:
             for _, ids, sizes, data, masks, replies in zip(*(c.to_pylist() for c in batch.columns)):
                 order, lengths, text = _opened(ids, sizes, data)
-                found = _Contexts(order, lengths, text, [(m["bucket"], m["mask"]) for m in masks or []], buckets)
+                found = _Contexts(order, lengths, text, [(m["bucket"], m["mask"], m["hot"]) for m in masks or []], buckets, extra)
                 gone = _removed(found, [(m["bucket"], m["mask"]) for m in replies or []], len(text))
                 out: dict[str, list] = {"doc_id": ids, "n_bytes": sizes, "n_removed": [], "n_spans": [], "kept": []}
                 at = 0
@@ -385,34 +437,37 @@ def _cleaned(buckets: int, keep_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep_text: bool = True, hot: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every document.
 
     ``kept`` holds the remaining bytes, or their SHA-256 in hex if not ``keep_text``. Null
     texts are empty; texts shorter than ``DEPTH`` bytes stay. Rows with one id are one
     document to each other: equal ids aren't smaller. Rows without an id come after all
-    others, and aren't smaller than each other. No rows give no rows.
+    others, and aren't smaller than each other. No rows give no rows. Anchors with more
+    than ``hot`` contexts are dealt out by window.
     """
     chunks = materialize(_chunks(docs))
     size = chunks.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
     buckets = max(8, -(-size // BUCKET_BYTES))
-    anchors = chunks.mapInArrow(_anchor_lists(buckets), "chunk long, bucket int, anchors binary")
+    anchors = chunks.mapInArrow(_anchor_lists(buckets), "chunk long, bucket int, anchors binary, counts binary")
     # The work is Python's and not seen in bytes, so the number of tasks is given.
-    masks = anchors.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared_anchors, "chunk long, bucket int, mask binary")
-    first = materialize(_by_chunk(masks, "masks"))
+    masks = anchors.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared_anchors(hot), "chunk long, bucket int, mask binary, hot binary, n_hot long")
+    first = materialize(_by_chunk(masks, "masks", "mask", "hot", "n_hot"))
+    n_hot = first.select(F.sum(F.aggregate("masks", F.lit(0).cast("long"), lambda s, m: s + m["n_hot"]))).first()[0] or 0
+    extra = -(-n_hot * SPAN // HOT_WINDOWS)
     spread = chunks.repartition(buckets, "chunk")
     asked = spread.join(first, "chunk", "left")
-    contexts = asked.mapInArrow(_context_lists(buckets), "chunk long, bucket int, n int, body binary")
-    replies = contexts.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_matched_windows, "chunk long, bucket int, mask binary")
-    second = _by_chunk(replies, "replies")
+    contexts = asked.mapInArrow(_context_lists(buckets, extra), "chunk long, bucket int, n int, body binary")
+    replies = contexts.repartition(buckets + extra, "bucket").groupBy("bucket").applyInArrow(_matched_windows, "chunk long, bucket int, mask binary")
+    second = _by_chunk(replies, "replies", "mask")
     answered = spread.join(first, "chunk", "left").join(second, "chunk", "left")
     kind = "binary" if keep_text else "string"
-    return answered.mapInArrow(_cleaned(buckets, keep_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {kind}")
+    return answered.mapInArrow(_cleaned(buckets, extra, keep_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {kind}")
 
 
-def _by_chunk(masks: DataFrame, name: str) -> DataFrame:
+def _by_chunk(masks: DataFrame, name: str, *cells: str) -> DataFrame:
     """One row of bit masks per chunk; bounded by a bit for each window of a chunk."""
-    return masks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "mask")).alias(name))
+    return masks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", *cells)).alias(name))
 
 
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

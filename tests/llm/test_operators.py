@@ -7,8 +7,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 
 from gridlark.llm import components, crf, decontamination, packing, pii, quality, repeats, secrets, sharding, simhash, topk, toxicity
 from gridlark.llm.queries import QUERIES
@@ -307,6 +309,38 @@ def test_repeats(docs, rows, none, chunk, slice_bytes, monkeypatch):
     assert repeats.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("hot", [0, 20])
+def test_repeats_around_a_common_phrase(spark, docs, rows, hot, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 3000)
+    rng = random.Random(4)
+    side = lambda: "".join(rng.choice("abcdefgh ") for _ in range(60))
+    made = [f"{side()}The phrase that all of these documents hold.{side()}" for _ in range(120)]
+    made += [made[3], f"{side()}{made[5][40:]}", f"{made[9][20:130]}{side()}"]
+    numbers = list(range(len(made)))
+    rng.shuffle(numbers)
+    rows = [*rows, *((1000 + i, t, "en", None, 0, 1, "x") for i, t in zip(numbers, made))]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, DOCS).repartition(3), keep_text=False, hot=hot)
+    assert Counter(tuple(r) for r in got.collect()) == plain_repeats(rows)
+
+
+def test_no_bucket_holds_all_contexts_of_a_hot_anchor():
+    rng = np.random.default_rng(2)
+    phrase = b"The phrase that all of these documents hold."
+    texts = [bytes(rng.integers(97, 123, 60, np.uint8)) + phrase + bytes(rng.integers(97, 123, 60, np.uint8)) for _ in range(300)]
+    sizes, text = np.array([len(t) for t in texts]), np.frombuffer(b"".join(texts), np.uint8)
+    ids, largest = np.arange(300), []
+    for hot in (10**6, 20):
+        [anchors] = repeats._anchor_lists(1)([pa.RecordBatch.from_pydict({"chunk": [7], "ids": [ids.tolist()], "sizes": [sizes.tolist()], "data": [zstandard.compress(text.tobytes())]})])
+        reply = repeats._shared_anchors(hot)(pa.Table.from_batches([anchors])).to_pylist()
+        masks = [(r["bucket"], r["mask"], r["hot"]) for r in reply]
+        assert (sum(r["n_hot"] for r in reply) > 0) == (hot == 20)
+        found = repeats._Contexts(ids, sizes, text, masks, 1, 64)
+        windows = [sum(len(t) - repeats.DEPTH + 1 for t in found.texts[a:z]) for a, z in zip(found.cuts, found.cuts[1:])]
+        assert sum(windows) > 300
+        largest.append(max(windows) / sum(windows))
+    assert largest[0] == 1 and largest[1] < 0.1
+
+
 def test_windows_have_one_anchor():
     rng = np.random.default_rng(4)
     text = rng.integers(97, 99, 400).astype(np.uint8)
