@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlark.llm.common import batches, fresh, read_table, text_bytes
+from gridlark.sources.shared import materialize
 
 WINDOW = 10
 # A document of which more than this share of words is hit is no longer worth keeping.
@@ -228,44 +229,77 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE, limit: int = MAX_ITEM_WORDS
+) -> DataFrame:
     """The documents without benchmark passages; all columns and clean rows stay as they are.
 
     Hit runs are cut from the text (``n_chars``, if there, follows). A document of which
-    more than ``max_coverage`` of the words is hit goes altogether. Null texts stay.
+    more than ``max_coverage`` of the words is hit goes altogether. Null texts stay. With
+    more than ``limit`` item words the runs of all automata are found on the original
+    text, and judged and cut together at the last; one automaton is held at a time.
     """
-    values = list(_automata(benchmark, window, MAX_ITEM_WORDS))
-    out = docs
+    spans, shared = "_gridlark_spans", None
+    out = docs.withColumn(spans, F.array().cast("array<long>"))
+    for value in _automata(benchmark, window, limit):
+        if shared is not None:
+            # Written, so that the tasks of a later pass don't load this automaton again.
+            out = materialize(out.withColumn(spans, _gathered(shared)(F.col("text").cast("binary"), spans)))
+            shared.destroy()
+        shared = fresh(docs.sparkSession, value)
+        del value
+    if shared is None:
+        return docs
+
+    @F.pandas_udf("binary")
+    def cleaned(texts, earlier):
+        import pandas as pd
 
-    def clean(texts, value):
-        automaton, _ = value
+        automaton, _ = shared.value
         result = []
-        for text in texts:
+        for text, before in zip(texts, earlier):
             words = words_of(text)
-            spans, _ = automaton.matches(words)
-            gone = sum(b - a for a, b in spans) > max_coverage * len(words)
-            result.append(text if not spans else None if gone else _cut(text, spans))
-        return result
-
-    for value in values:
-        shared = fresh(docs.sparkSession, value)
-
-        @F.pandas_udf("binary")
-        def cleaned(texts):
-            import pandas as pd
-
-            return pd.Series(clean(texts, shared.value), dtype=object)
-
-        # A null result for a text that isn't null says that the document goes.
-        text = F.decode(cleaned(F.col("text").cast("binary")), "UTF-8")
-        changed = out.select("*", F.struct(text.alias("t")).alias("_gridlark_cleaned"))
-        changed = changed.where(F.col("text").isNull() | F.col("_gridlark_cleaned.t").isNotNull())
-        new = {"text": F.col("_gridlark_cleaned.t")}
-        if "n_chars" in docs.columns:
-            same = F.col("_gridlark_cleaned.t").eqNullSafe(F.col("text"))
-            new["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.length("_gridlark_cleaned.t")).cast(dict(docs.dtypes)["n_chars"])
-        out = changed.withColumns(new).select(*docs.columns)
-    return out
+            runs = _united(automaton.matches(words)[0], before)
+            gone = sum(b - a for a, b in runs) > max_coverage * len(words)
+            result.append(text if not runs else None if gone else _cut(text, runs))
+        return pd.Series(result, dtype=object)
+
+    # A null result for a text that isn't null says that the document goes.
+    text = F.decode(cleaned(F.col("text").cast("binary"), spans), "UTF-8")
+    changed = out.select("*", F.struct(text.alias("t")).alias("_gridlark_cleaned"))
+    changed = changed.where(F.col("text").isNull() | F.col("_gridlark_cleaned.t").isNotNull())
+    new = {"text": F.col("_gridlark_cleaned.t")}
+    if "n_chars" in docs.columns:
+        same = F.col("_gridlark_cleaned.t").eqNullSafe(F.col("text"))
+        new["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.length("_gridlark_cleaned.t")).cast(dict(docs.dtypes)["n_chars"])
+    return changed.withColumns(new).select(*docs.columns)
+
+
+def _united(spans: list[tuple[int, int]], before) -> list[tuple[int, int]]:
+    """Hit runs together with those of earlier passes, given as ``start, end, start, end, ...``."""
+    if not len(before):
+        return spans
+    runs: list[tuple[int, int]] = []
+    for a, b in sorted([*spans, *zip(before[::2].tolist(), before[1::2].tolist())]):
+        if runs and a <= runs[-1][1]:
+            runs[-1] = runs[-1][0], max(b, runs[-1][1])
+        else:
+            runs.append((a, b))
+    return runs
+
+
+def _gathered(shared):
+    """The hit runs of one more automaton, united with the earlier ones."""
+
+    @F.pandas_udf("array<long>")
+    def found(texts, earlier):
+        import pandas as pd
+
+        automaton, _ = shared.value
+        rows = [_united(automaton.matches(words_of(t))[0], before) for t, before in zip(texts, earlier)]
+        return pd.Series([[x for run in runs for x in run] for runs in rows], dtype=object)
+
+    return found
 
 
 SQL = r"""

@@ -126,6 +126,18 @@ def test_decontaminate_cuts_and_keeps(spark, docs, rows, none):
     assert decontamination.report(docs, benchmark.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontaminate_judges_all_passes_together(spark):
+    words = [f"w{i}" for i in range(100)]
+    join = " ".join
+    items = [(1, join(words[:30])), (2, join(words[50:80])), (3, join(words[20:35])), (4, None)]
+    docs = [(1, join(words)), (2, None), (3, join([*"abcdefghijklmnopqrstuvwxyz", *words[:35], *"ABCDEFGHIJKLMNOPQRSTUVWXYZ"])), (4, "a b"), (5, "")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    one, many = (sorted(tuple(r) for r in decontamination.decontaminate(df, benchmark, limit=n).collect()) for n in (10**6, 1))
+    letters = f"{join('abcdefghijklmnopqrstuvwxyz')}  {join('ABCDEFGHIJKLMNOPQRSTUVWXYZ')}"
+    assert one == many == [(2, None), (3, letters), (4, "a b"), (5, "")]
+
+
 # SimHash
 
 
