@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlark.llm import decontamination, packing, pii, quality, repeats, secrets, sharding, simhash, topk, toxicity
+from gridlark.llm import (
+    codes, conversations, decontamination, packing, pii, quality, repeats, secrets, sharding, simhash, topk, toxicity, urls
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -19,6 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.op8_packing,
     "op9_pii": pii.op9_pii,
     "op10_secrets": secrets.op10_secrets,
+    "op11_conversations": conversations.op11_conversations,
+    "op12_codes": codes.op12_codes,
+    "op13_urls": urls.op13_urls,
 }
 
-ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL, "op4_topk": topk.SQL}
+ORACLES: dict[str, str] = {"op1_decontamination": decontamination.SQL, "op4_topk": topk.SQL, "op11_conversations": conversations.SQL, "op12_codes": codes.SQL}
