@@ -264,8 +264,9 @@ def decontaminate(
             result.append(text if not runs else None if gone else _cut(text, runs))
         return pd.Series(result, dtype=object)
 
-    # A null result for a text that isn't null says that the document goes.
-    text = F.decode(cleaned(F.col("text").cast("binary"), spans), "UTF-8")
+    # A null result for a text that isn't null says that the document goes. Spark would push
+    # the filter below the projection and match every text twice; it leaves such functions be.
+    text = F.decode(cleaned.asNondeterministic()(F.col("text").cast("binary"), spans), "UTF-8")
     changed = out.select("*", F.struct(text.alias("t")).alias("_gridlark_cleaned"))
     changed = changed.where(F.col("text").isNull() | F.col("_gridlark_cleaned.t").isNotNull())
     new = {"text": F.col("_gridlark_cleaned.t")}

@@ -11,6 +11,7 @@ the pieces of its length.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -25,6 +26,9 @@ from gridlark.sources.shared import materialize
 
 CAPACITY = 1024
 END_ID = 2
+# Longer runs of whitespace are more than the fast encoder's pattern can look back over.
+_LONG_RUN = 100_000
+_LONG_BLANK = re.compile(rf"\s{{{_LONG_RUN}}}")
 
 
 @lru_cache(maxsize=2)
@@ -44,7 +48,7 @@ def _encoder(json_path: str, ranks_path: str | None, pattern: str | None):
 
     def encode(text: str) -> list[int]:
         # Special tokens spelled in a text are ids of their own for the tokenizer file.
-        if any(s in text for s in special):
+        if any(s in text for s in special) or (len(text) >= _LONG_RUN and _LONG_BLANK.search(text)):
             return slow.encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
@@ -63,6 +67,7 @@ def pieces(docs: DataFrame, files: tuple = (), capacity: int = CAPACITY) -> Data
 
     A document is its ids and the end id. A longer one than ``capacity`` is cut into full
     pieces, of which the first may be shorter. Null and empty texts have the end id only.
+    A very long text takes memory in proportion to its length in the task that has it.
     """
     files = tuple(files) or tokenizer_files()
 

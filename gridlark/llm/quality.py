@@ -88,12 +88,15 @@ class Terms:
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Damped counts times rarity, words and marks each of length one (or zero)."""
-    words = np.log1p(counts[:, :WORDS]) * idf[:WORDS]
+    out = np.empty_like(counts)
+    words, marks = out[:, :WORDS], out[:, WORDS:]
+    np.log1p(counts[:, :WORDS], out=words)
     # Marks are shares of the document's tokens.
-    marks = np.sqrt(counts[:, WORDS:]) * idf[WORDS:]
+    np.sqrt(counts[:, WORDS:], out=marks)
+    out *= idf
     words /= np.maximum(np.linalg.norm(words, axis=1, keepdims=True), 1e-9) / WORD_WEIGHT
     marks /= np.maximum(np.linalg.norm(marks, axis=1, keepdims=True), 1e-9)
-    return np.concatenate([words, marks], axis=1)
+    return out
 
 
 def fit(counts: np.ndarray, labels: np.ndarray) -> dict:
@@ -142,12 +145,23 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds:
     rows, _ = sample(docs, labels, "quality", fold(folds) != 0, per_class)
 
     def vectors(ids, marks, texts):
-        counts = Terms().matrix(texts)
-        return {"pick": ids, "label": marks, "counts": [r.astype("<f4").tobytes() for r in counts]}
+        out = {"pick": ids, "label": marks, "places": [], "counts": []}
+        for i in range(0, len(texts), BLOCK):
+            for row in Terms().matrix(texts[i : i + BLOCK]):
+                places = np.flatnonzero(row)
+                out["places"].append(places.astype("<u2").tobytes())
+                out["counts"].append(row[places].astype("<f4").tobytes())
+        return out
 
-    found = batches(rows.select("pick", "label", "text"), vectors, "pick long, label int, counts binary").orderBy("pick").collect()
-    counts = np.array([np.frombuffer(r[2], "<f4") for r in found], np.float32).reshape(-1, WORDS + MARKS)
-    return fit(counts, np.array([r[1] for r in found], np.float32))
+    # Most places of a document are empty, so the driver gets a tenth of the whole vectors.
+    found = batches(rows.select("pick", "label", "text"), vectors, "pick long, label int, places binary, counts binary")
+    found = found.orderBy("pick").collect()
+    counts = np.zeros((len(found), WORDS + MARKS), np.float32)
+    for row, r in zip(counts, found):
+        row[np.frombuffer(r[2], "<u2")] = np.frombuffer(r[3], "<f4")
+    labels = np.array([r[1] for r in found], np.float32)
+    del found
+    return fit(counts, labels)
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:

@@ -200,12 +200,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Repeated rows of that document count as its copies; one of them stays.
     """
     groups = near_duplicates(docs)
-    row = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("first_id"), F.col("digest").alias("first_digest"), "fp")
+    mine = ["_gridlark_first_id", "_gridlark_first_digest"]
+    row = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias(mine[0]), F.col("digest").alias(mine[1]), "fp")
     # A component's fingerprints are told apart by its id, or, without ids, by the fingerprint.
     alone = F.when(F.col("component_id").isNull(), F.col("fp"))
-    first = groups.groupBy("component_id", alone).agg(F.min(row).alias("row")).select("row.first_id", "row.first_digest")
+    first = groups.groupBy("component_id", alone).agg(F.min(row).alias("row")).select(*(f"row.{c}" for c in mine))
     marked = docs.select("*", F.struct("doc_id", F.xxhash64("text").alias("digest")).alias("_gridlark_row"))
-    same = F.col("_gridlark_row.doc_id").eqNullSafe(F.col("first_id")) & (F.col("_gridlark_row.digest") == F.col("first_digest"))
+    same = F.col("_gridlark_row.doc_id").eqNullSafe(F.col(mine[0])) & (F.col("_gridlark_row.digest") == F.col(mine[1]))
     copies = Window.partitionBy("_gridlark_row.doc_id", "_gridlark_row.digest").orderBy("_gridlark_row.digest")
     kept = marked.join(first, same, "left_semi").withColumn("_gridlark_copy", F.row_number().over(copies))
     return kept.where("_gridlark_copy = 1").select(*docs.columns)

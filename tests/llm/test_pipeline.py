@@ -40,3 +40,27 @@ def test_sql(spark, small, name):
     from gridlark.llm.queries import ORACLES, QUERIES
 
     assert compare(spark, connect(small), name, QUERIES[name], ORACLES[name], small)[0] == ""
+
+
+def test_long_texts_pack(spark):
+    """Runs that are longer than the fast encoder can look back over."""
+    from gridlark.llm import packing
+
+    long = [" " * 1_000_000, "\n" * 1_000_000, "\t" * 1_000_000, "a" * 1_000_000, "a " + " \n" * 300_000 + "b", "7" * 1_000_000]
+    slow = packing._encoder(packing.tokenizer_files()[0], None, None)
+    got = packing.pieces(spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")).collect()
+    for i, text in enumerate(long):
+        assert sum(r.length for r in got if r.doc_id == i) == len(slow(text)) + 1
+
+
+def test_keep_one_with_clashing_names(spark):
+    rows = [(1, "a b c d", "x", 5, 6, 7), (2, "a b c d", "y", 5, 6, 7), (3, "other words are here now", "z", 5, 6, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, first_id string, first_digest long, digest long, bucket_rows int")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_decontamination_matches_each_text_once(spark, small):
+    docs, benchmark = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
+    plan = decontamination.decontaminate(docs, benchmark)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
