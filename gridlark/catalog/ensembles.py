@@ -1,8 +1,9 @@
 """Queries: trees, forests, boosting, search and splits where SQL can give the exact answer.
 
-On one feature with few values a tree that is deep enough predicts the mean of each value;
-so does a forest without bootstrap, and boosting by squared error, whose first tree leaves
-no residual.
+On features with few values a tree of any depth predicts the mean of each combination, and
+so does a forest without bootstrap. On one such feature boosting closes a known share of the
+distance from the overall mean to each value's mean. A few best-first splits can be found in
+SQL by trying all of them.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from gridlark.operators.splitting import hash_folds, with_split
 from gridlark.plans.trips import trips
 from gridlark.sources.tables import read_table
 
-# Few rounds: after the first tree the residuals are zero.
+# Few rounds: what is left of a residual after them shows in the result.
 ROUNDS = 5
 GROUPED = {
     "Decision Tree": lambda: M.decision_tree(10),
@@ -43,14 +44,21 @@ def _grouped_models(spark, d):
     return rows, M.train(rows, ["x"], {name: make() for name, make in GROUPED.items()})
 
 
-_NAMES = ", ".join(f"'{name}'" for name in GROUPED)
+# The share of its distance that a value of n rows has still to go after all rounds: each round
+# closes the rate, less what the ridge holds back.
+_SHARES = {
+    "Decision Tree": "0.0::DOUBLE",
+    "Random Forest": "0.0::DOUBLE",
+    "Gradient Boosting (by depth)": f"pow(1 - 0.3 * n / (n + 1.0), {ROUNDS})",
+    "Gradient Boosting (by leaves)": f"pow(0.9, {ROUNDS})",
+}
+_LEARNED = "learned AS (SELECT l_linenumber, n, g, m, model, CASE model " + " ".join(
+    f"WHEN '{name}' THEN g + (m - g) * {share}" for name, share in _SHARES.items()
+) + f""" END AS p FROM (SELECT l_linenumber, count(*) AS n, avg(l_extendedprice) AS g FROM lineitem GROUP BY 1),
+    (SELECT avg(l_extendedprice) AS m FROM lineitem), (SELECT unnest([{", ".join(f"'{name}'" for name in GROUPED)}]) AS model))"""
 
 
-@register(
-    "tree_predictions",
-    f"""SELECT model, CAST(l_linenumber AS DOUBLE) AS x, count(*) AS n, {r('avg(l_extendedprice)')} AS prediction
-    FROM lineitem, (SELECT unnest([{_NAMES}]) AS model) GROUP BY 1, 2""",
-)
+@register("tree_predictions", f"WITH {_LEARNED} SELECT model, CAST(l_linenumber AS DOUBLE) AS x, n, {r('p')} AS prediction FROM learned")
 def tree_predictions(spark, d):
     """What each kind of tree model predicts for each line number."""
     rows, models = _grouped_models(spark, d)
@@ -61,11 +69,11 @@ def tree_predictions(spark, d):
 
 @register(
     "tree_training_metrics",
-    f"""WITH p AS (SELECT l_extendedprice AS y, avg(l_extendedprice) OVER (PARTITION BY l_linenumber) AS p FROM lineitem),
-    scores AS (SELECT 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2_score, sqrt(avg((y - p) * (y - p))) AS rmse,
-    avg(abs(y - p)) AS mae FROM p)
+    f"""WITH {_LEARNED}, p AS (SELECT model, l_extendedprice AS y, p FROM lineitem JOIN learned USING (l_linenumber)),
+    scores AS (SELECT model, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2_score, sqrt(avg((y - p) * (y - p))) AS rmse,
+    avg(abs(y - p)) AS mae FROM p GROUP BY 1)
     SELECT model, metric, round(value, 4) + 0.0 AS value FROM (SELECT model, unnest(['r2_score', 'rmse', 'mae']) AS metric,
-    unnest([r2_score, rmse, mae]) AS value FROM scores, (SELECT unnest([{_NAMES}]) AS model))""",
+    unnest([r2_score, rmse, mae]) AS value FROM scores)""",
 )
 def tree_training_metrics(spark, d):
     """Metrics of the tree models on their own training rows."""
@@ -73,6 +81,64 @@ def tree_training_metrics(spark, d):
     return round_all(M.training_metrics(models, rows))
 
 
+# Four features of few values, of which none alone tells the price.
+_CELLS = {"line": "l_linenumber", "tax": "l_tax", "discount": "l_discount", "month": "month(l_shipdate)"}
+
+
+def _cells(spark, d) -> DataFrame:
+    lines = read_table(spark, d, "lineitem")
+    return lines.select(*[F.expr(e).cast("double").alias(c) for c, e in _CELLS.items()], F.col("l_extendedprice").alias("label"))
+
+
+_CELLS_SQL = ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in _CELLS.items())
+
+
+@register(
+    "forest_of_combinations",
+    f"""SELECT {", ".join(_CELLS)}, count(*) AS n, {r('avg(label)', 6)} AS prediction
+    FROM (SELECT {_CELLS_SQL}, l_extendedprice AS label FROM lineitem) GROUP BY ALL""",
+)
+def forest_of_combinations(spark, d):
+    """An unlimited forest without bootstrap predicts the mean of every combination of four features."""
+    rows = _cells(spark, d)
+    model = M.train(rows, list(_CELLS), {"m": M.random_forest(4, None, bootstrap=False)})["m"]
+    groups = rows.groupBy(*_CELLS).agg(F.count("*").alias("n"))
+    # Six digits: no mean of fewer than 32 prices lies half way between two of them.
+    return model.transform(groups).select(*_CELLS, "n", rnd("prediction", 6).alias("prediction"))
+
+
+LEAVES = 5
+
+
+def _best_first_sql(leaves: int) -> str:
+    """Leaves named by the step that made them; every step tries all cuts of all leaves and takes the best gain."""
+    steps = ["t0 AS (SELECT line, tax, count(*) AS n, sum(label - m) AS s, 0 AS leaf FROM base, (SELECT avg(label) AS m FROM base) GROUP BY line, tax)"]
+    for k in range(leaves - 1):
+        ways = " UNION ALL ".join(
+            f"""SELECT leaf, '{f}' AS feature, {f} AS cut, sum(sum(n)) OVER w AS nl, sum(sum(s)) OVER w AS sl, sum(sum(n)) OVER p AS n, sum(sum(s)) OVER p AS s
+            FROM t{k} GROUP BY leaf, {f} WINDOW w AS (PARTITION BY leaf ORDER BY {f}), p AS (PARTITION BY leaf)"""
+            for f in ("line", "tax")
+        )
+        steps.append(f"""g{k} AS MATERIALIZED (SELECT leaf, feature, cut FROM ({ways}) WHERE n > nl AND least(nl, n - nl) >= 20
+          ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n DESC LIMIT 1)""")
+        steps.append(f"""t{k + 1} AS MATERIALIZED (SELECT line, tax, t.n, t.s, CASE WHEN t.leaf = g.leaf AND (CASE feature WHEN 'line' THEN line ELSE tax END) > cut
+          THEN {k + 1} ELSE t.leaf END AS leaf FROM t{k} t, g{k} g)""")
+    return f"""WITH base AS (SELECT CAST(l_linenumber AS DOUBLE) AS line, l_tax AS tax, l_extendedprice * (1 + (l_linenumber % 3) * l_tax) AS label FROM lineitem),
+      {", ".join(steps)}
+      SELECT line, tax, n, {r('(SELECT avg(label) FROM base) + 0.1 * sum(s) OVER (PARTITION BY leaf) / sum(n) OVER (PARTITION BY leaf)')} AS prediction FROM t{leaves - 1}"""
+
+
+@register("best_first_leaves", _best_first_sql(LEAVES))
+def best_first_leaves(spark, d):
+    """One boosting tree that is split best-first into a few leaves over two features."""
+    lines = read_table(spark, d, "lineitem")
+    label = F.col("l_extendedprice") * (1 + (F.col("l_linenumber") % 3) * F.col("l_tax"))
+    rows = lines.select(F.col("l_linenumber").cast("double").alias("line"), F.col("l_tax").alias("tax"), label.alias("label"))
+    model = M.train(rows, ["line", "tax"], {"m": M.boosted_leaves(1, LEAVES)})["m"]
+    groups = rows.groupBy("line", "tax").agg(F.count("*").alias("n"))
+    return model.transform(groups).select("line", "tax", "n", rnd("prediction").alias("prediction"))
+
+
 @register(
     "linear_importance",
     f"""WITH s AS (SELECT covar_pop(l_quantity, l_quantity) AS aa, covar_pop(l_tax, l_tax) AS bb, covar_pop(l_quantity, l_tax) AS ab,

@@ -272,26 +272,19 @@ def _ready(spark, d) -> tuple[DataFrame, DataFrame, VectorState]:
     return materialize(apply_vectors(train, state, ["label"])), apply_vectors(test, state, ["label"]), state
 
 
-# The documented numbers of trees and rounds; only the forest's depth is bounded.
-FULL = {"trees": 100, "rounds": 100, "forest_depth": 6}
-# Fewer trees and rounds than ``baselines()`` has by default (100 each, forest of any depth).
-SMALL = {"trees": 5, "rounds": 3, "forest_depth": 6}
-
-
 @register("baseline_models")
 def baseline_models(spark, d):
-    """All seven regressors on the train side, metrics on the test side."""
+    """All seven regressors at their documented sizes on the train side, metrics on the test side."""
     train, test, state = _ready(spark, d)
-    models = M.train(train, state.features, M.baselines(**FULL))
+    models = M.train(train, state.features, M.baselines())
     return M.evaluate(models, test)
 
 
 @register("training_metrics")
 def training_metrics(spark, d):
-    """Metrics of a tree and a linear model on their own training rows."""
+    """Metrics of all seven regressors on their own training rows."""
     train, _, state = _ready(spark, d)
-    models = M.train(train, state.features, {"Linear Regression": M.linear(), "Decision Tree": M.decision_tree(10)})
-    return M.training_metrics(models, train)
+    return M.training_metrics(M.train(train, state.features, M.baselines()), train)
 
 
 @register("feature_importance")
@@ -342,7 +335,7 @@ def retraining(spark, d):
     raw = trips(spark, d, located=True).drop("src_lat", "src_lon", "dst_lat", "dst_lon")
     folder = new_folder(spark, "runs")
     decision = retrain(
-        spark, raw, folder, "first", "2024-01-01", keys=KEYS, estimators=M.baselines(**SMALL), tuned={"ridge": {}}
+        spark, raw, folder, "first", "2024-01-01", keys=KEYS, tuned={"ridge": {}}
     )
     stored = read_metrics(spark, f"{folder}/run_id=first/metrics")
     r2 = stored.where("metric = 'r2_score'").select("model", "value")

@@ -14,21 +14,16 @@ from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlark.functions.domain import CV_FOLDS, SEED
 from gridlark.operators.metrics import fold_summary, metrics_of_predictions, regression_metrics
+from gridlark.operators.trees import Boosting, Forest
 
-# Deepest tree that Spark ML grows; stands for an unlimited depth.
-DEEPEST = 30
+UNLIMITED = -1
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -70,24 +65,24 @@ def lasso(alpha: float = 1.0) -> LinearRegression:
     return LinearRegression(regParam=alpha, elasticNetParam=1.0, standardization=False, maxIter=500, tol=1e-9)
 
 
-def decision_tree(depth: int | None = 10, seed: int = SEED, **params) -> DecisionTreeRegressor:
-    return DecisionTreeRegressor(maxDepth=DEEPEST if depth is None else depth, seed=seed, **params)
+def decision_tree(depth: int | None = 10, seed: int = SEED, **params) -> Forest:
+    return Forest(numTrees=1, bootstrap=False, maxDepth=UNLIMITED if depth is None else depth, seed=seed, **params)
 
 
-def random_forest(trees: int = 100, depth: int | None = None, seed: int = SEED, **params) -> RandomForestRegressor:
-    """Bagged trees that consider every feature at each node."""
-    params = {"featureSubsetStrategy": "all", **params}
-    return RandomForestRegressor(numTrees=trees, maxDepth=DEEPEST if depth is None else depth, seed=seed, **params)
+def random_forest(trees: int = 100, depth: int | None = None, seed: int = SEED, **params) -> Forest:
+    """Bagged trees that consider every feature at each node; no depth is any depth."""
+    return Forest(numTrees=trees, maxDepth=UNLIMITED if depth is None else depth, seed=seed, **params)
 
 
-def boosted_trees(rounds: int = 100, depth: int = 6, rate: float = 0.3, seed: int = SEED, **params) -> GBTRegressor:
-    """Gradient boosting, depth-wise profile."""
-    return GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, **params)
+def boosted_trees(rounds: int = 100, depth: int = 6, rate: float = 0.3, seed: int = SEED, **params) -> Boosting:
+    """Second-order boosting level by level, with a ridge of one on leaf values."""
+    return Boosting(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, **{"ridge": 1.0, "minWeight": 1.0, **params})
 
 
-def boosted_leaves(rounds: int = 100, leaves: int = 31, rate: float = 0.1, seed: int = SEED, **params) -> GBTRegressor:
-    """Gradient boosting, profile by leaf count (the depth that holds so many leaves)."""
-    return GBTRegressor(maxIter=rounds, maxDepth=math.ceil(math.log2(leaves)), stepSize=rate, seed=seed, **params)
+def boosted_leaves(rounds: int = 100, leaves: int = 31, rate: float = 0.1, seed: int = SEED, **params) -> Boosting:
+    """Second-order boosting best-first by gain, up to a number of leaves of 20 rows or more."""
+    params = {"ridge": 0.0, "minWeight": 1e-3, "minSamplesLeaf": 20, **params}
+    return Boosting(maxIter=rounds, maxDepth=UNLIMITED, numLeaves=leaves, stepSize=rate, seed=seed, **params)
 
 
 def baselines(trees: int = 100, rounds: int = 100, forest_depth: int | None = None) -> dict[str, Estimator]:
@@ -151,7 +146,6 @@ def cross_validate(estimator: Estimator, df: DataFrame, fold: str = "fold", fold
 
 
 # Search grids per model kind, with the published kind and parameter names.
-# The two boosting kinds are both Spark's gradient-boosted trees; see ``_tree_params``.
 GRIDS = {
     "ridge": {"alpha": [0.1, 1.0, 10.0, 100.0]},
     "lasso": {"alpha": [0.01, 0.1, 1.0, 10.0]},
@@ -192,24 +186,14 @@ def _lasso_params(point: Mapping) -> dict:
 
 
 def _tree_params(point: Mapping) -> dict:
-    """Spark ML settings for one point of a tree grid.
-
-    ``min_samples_split`` has no counterpart in Spark ML and is left out; feature shares
-    are drawn per node.
-    """
-    out: dict = {}
+    """Settings for one point of a tree grid; shares of rows and features are drawn per tree."""
+    names = {
+        "num_leaves": "numLeaves", "min_samples_split": "minSamplesSplit", "min_samples_leaf": "minSamplesLeaf",
+        "subsample": "subsample", "bagging_fraction": "subsample", "colsample_bytree": "colsample", "feature_fraction": "colsample",
+    }
+    out = {names[k]: v for k, v in point.items() if k in names}
     if "max_depth" in point:
-        out["maxDepth"] = DEEPEST if point["max_depth"] is None else point["max_depth"]
-    if "num_leaves" in point:
-        out["maxDepth"] = math.ceil(math.log2(point["num_leaves"]))
-    if "min_samples_leaf" in point:
-        out["minInstancesPerNode"] = point["min_samples_leaf"]
-    for name in ("subsample", "bagging_fraction"):
-        if name in point:
-            out["subsamplingRate"] = point[name]
-    for name in ("colsample_bytree", "feature_fraction"):
-        if name in point:
-            out["featureSubsetStrategy"] = "all" if point[name] == 1.0 else str(point[name])
+        out["maxDepth"] = UNLIMITED if point["max_depth"] is None else point["max_depth"]
     return out
 
 
@@ -265,8 +249,8 @@ def tune(
 ) -> Tuned:
     """Search the point with the least cross-validated MSE and refit it on all rows.
 
-    ``df`` has ``features``, ``label`` and a fold column 0..folds-1. Points that Spark ML
-    cannot tell apart are fitted once.
+    ``df`` has ``features``, ``label`` and a fold column 0..folds-1. Points with equal
+    settings are fitted once; tree ensembles grow those of one fold side by side.
     """
     if kind.lower() not in KINDS:
         raise ValueError(f"unknown model kind {kind!r}; one of {sorted(KINDS)}")

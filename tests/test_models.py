@@ -110,7 +110,7 @@ def test_grid_points_translate_to_settings(spark, kind):
             estimator.getParam(name).typeConverter(value)
     if kind == "random_forest":
         assert translate({"n_estimators": 200, "max_depth": None, "min_samples_leaf": 2}) == {
-            "numTrees": 200, "maxDepth": 30, "minInstancesPerNode": 2
+            "numTrees": 200, "maxDepth": -1, "minSamplesLeaf": 2
         }
 
 
