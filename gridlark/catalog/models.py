@@ -261,6 +261,50 @@ def grid_search(spark, d):
     return round_all(spark.createDataFrame(table, "alpha double, mse double, best boolean"), 3)
 
 
+_LASSO_CV = """grid AS (SELECT unnest([0.01, 0.1, 1.0, 10.0]::DOUBLE[]) AS alpha),
+  sums AS (SELECT f.k, covar_pop(label, x) AS c, var_pop(x) AS v, avg(label) AS my, avg(x) AS mx
+    FROM parts, (SELECT unnest(range(5)) AS k) f WHERE p_partkey % 5 <> f.k GROUP BY 1),
+  mses AS (SELECT alpha, k, avg(pow(label - (my + sign(c) * greatest(abs(c) - alpha, 0) / v * (x - mx)), 2)) AS mse
+    FROM parts JOIN sums ON k = p_partkey % 5, grid GROUP BY 1, 2)"""
+
+
+@register(
+    "lasso_search",
+    f"WITH {PARTS}, {_LASSO_CV} SELECT alpha, {r('avg(mse)', 3)} AS mse, avg(mse) = min(avg(mse)) OVER () AS best FROM mses GROUP BY 1",
+)
+def lasso_search(spark, d):
+    """Lasso over its whole grid, all folds and penalties from one scan."""
+    rows = hash_folds(parts(spark, d), 5, hash_column=F.col("p_partkey"))
+    found = M.tune("lasso", M.assembler(["x"]).transform(rows))
+    table = [(p["alpha"], mse, p == found.point) for p, mse in found.scores]
+    return round_all(spark.createDataFrame(table, "alpha double, mse double, best boolean"), 3)
+
+
+# Two features that go together, around their means, and the two normal equations of a fold.
+_TWO = "two AS (SELECT p_partkey % 5 AS fold, p_size::DOUBLE AS a, p_size * 0.5 + p_partkey / 1000.0 AS b, p_retailprice AS label FROM part)"
+_RIDGE_TWO = f"""{_TWO}, grid AS (SELECT unnest([0.1, 1.0, 10.0, 100.0]::DOUBLE[]) AS alpha),
+  sums AS (SELECT k, count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(label) AS my, var_pop(a) * count(*) AS aa, var_pop(b) * count(*) AS bb,
+    covar_pop(a, b) * count(*) AS ab, covar_pop(a, label) * count(*) AS ay, covar_pop(b, label) * count(*) AS b_y
+    FROM two, (SELECT unnest(range(5)) AS k) WHERE fold <> k GROUP BY 1),
+  lines AS (SELECT *, ((bb + alpha) * ay - ab * b_y) / ((aa + alpha) * (bb + alpha) - ab * ab) AS wa,
+    ((aa + alpha) * b_y - ab * ay) / ((aa + alpha) * (bb + alpha) - ab * ab) AS wb FROM sums, grid),
+  mses AS (SELECT alpha, k, avg(pow(label - my - wa * (a - ma) - wb * (b - mb), 2)) AS mse FROM two JOIN lines ON k = fold GROUP BY 1, 2)"""
+
+
+@register(
+    "ridge_search_two_features",
+    f"WITH {_RIDGE_TWO} SELECT alpha, {r('avg(mse)', 3)} AS mse, avg(mse) = min(avg(mse)) OVER () AS best FROM mses GROUP BY 1",
+)
+def ridge_search_two_features(spark, d):
+    """Ridge over its whole grid on two features that go together."""
+    part = read_table(spark, d, "part")
+    both = part.select("p_partkey", F.col("p_size").cast("double").alias("a"), (F.col("p_size") * 0.5 + F.col("p_partkey") / 1000.0).alias("b"), F.col("p_retailprice").alias("label"))
+    rows = hash_folds(both, 5, hash_column=F.col("p_partkey"))
+    found = M.tune("ridge", M.assembler(["a", "b"]).transform(rows))
+    table = [(p["alpha"], mse, p == found.point) for p, mse in found.scores]
+    return round_all(spark.createDataFrame(table, "alpha double, mse double, best boolean"), 3)
+
+
 def _ready(spark, d) -> tuple[DataFrame, DataFrame, VectorState]:
     """Train and test vectors of all trips, each written once; missing trip lengths are the median."""
     rows = trips(spark, d, located=True).drop("src_lat", "src_lon", "dst_lat", "dst_lon")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlark.functions.domain import CV_FOLDS, SEED
+from gridlark.operators import gram
 from gridlark.operators.metrics import fold_summary, metrics_of_predictions, regression_metrics
 from gridlark.operators.trees import Boosting, Forest
 
@@ -127,7 +128,16 @@ def fold_metrics(estimator: Estimator, df: DataFrame, fold: str = "fold", folds:
     """Metrics per fold; one fit per fold serves all metrics, one aggregate all folds.
 
     ``df`` has ``features``, ``label`` and the fold column; one row per fold is read back.
+    Least squares and ridge learn all folds from one scan of sufficient statistics.
     """
+    alpha = _penalty(estimator)
+    size = gram.width(df) if alpha is not None else 0
+    if alpha is not None and 0 < size <= gram.MOST_FEATURES:
+        parts = gram.fold_statistics(df, fold, folds, size)
+        lines = [found[0] for found in gram.held_out_lines(parts, gram.ridge_lines, [alpha])]
+        scored = gram.predict_by_fold(df, fold, lines).select(fold, "label", "prediction")
+        by_fold = regression_metrics(scored, by=[fold])
+        return df.sparkSession.createDataFrame(by_fold.collect(), by_fold.schema)
     rows = df.select("features", "label", fold).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scored = []
@@ -140,6 +150,15 @@ def fold_metrics(estimator: Estimator, df: DataFrame, fold: str = "fold", folds:
         rows.unpersist()
 
 
+def _penalty(estimator: Estimator) -> float | None:
+    """The weight of the squared coefficients of least squares or ridge; None for others."""
+    if isinstance(estimator, Ridge):
+        return estimator.getOrDefault(estimator.alpha)
+    if isinstance(estimator, LinearRegression) and estimator.getRegParam() == 0 and estimator.getFitIntercept() and estimator.getLoss() == "squaredError":
+        return 0.0
+    return None
+
+
 def cross_validate(estimator: Estimator, df: DataFrame, fold: str = "fold", folds: int = CV_FOLDS) -> DataFrame:
     """``(metric, mean, std)`` of R², RMSE and MAE over the folds."""
     return fold_summary(fold_metrics(estimator, df, fold, folds))
@@ -261,6 +280,15 @@ def tune(
         settings = translate(point)
         distinct.setdefault(tuple(sorted(settings.items())), (point, settings))
     points = [point for point, _ in distinct.values()]
+    solve = {"ridge": gram.ridge_lines, "lasso": gram.lasso_lines}.get(kind.lower())
+    size = gram.width(df) if solve else 0
+    if solve and 0 < size <= gram.MOST_FEATURES:
+        # All penalties and folds from one scan; only the best point is fitted on all rows.
+        errors = gram.search(gram.fold_statistics(df, fold, folds, size), solve, [p["alpha"] for p in points])
+        best = min(range(len(points)), key=lambda i: errors[i])
+        model = make().copy({estimator.getParam(k): v for k, v in translate(points[best]).items()})
+        fitted_best = model.fit(df.select("features", "label"))
+        return Tuned(fitted_best, points[best], math.sqrt(errors[best]), list(zip(points, errors)))
     maps = [{estimator.getParam(k): v for k, v in settings.items()} for _, settings in distinct.values()]
     rows = df.select("features", "label", fold).persist(StorageLevel.MEMORY_AND_DISK)
     try:
