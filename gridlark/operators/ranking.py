@@ -1,7 +1,7 @@
 """Exact ranks, running counts and quantiles that never sort a whole group in one task.
 
-Values are cut into buckets by the leading bits of their place in the order of all doubles
-or 64-bit integers. Running totals go over bucket counts; rows are only ordered within one
+Values are cut into buckets by the logarithm of their size (doubles) or their leading bits
+(whole numbers), and buckets into parts by their ratio to the bucket's lower end. Running totals go over bucket counts; rows are only ordered within one
 part of a bucket, which has a fixed number of possible values whatever the distribution. Equal values are
 counted before they are moved, so a value held by a third of all rows is one row.
 """
@@ -17,48 +17,45 @@ from pyspark.sql import types as T
 
 from gridlark.operators.columns import ref
 
-# Bits of a value's place in the order that lie below the first and the second level of
-# buckets. Whatever the data, a level has at most 2 ** 23 parts of one bucket.
+# Buckets of the first level: so many to a doubling of the value, or a run of whole numbers that
+# share all but the last bits.
+PER_DOUBLING = 64
+ZERO_AT = 1 << 20
 COARSE_BITS = 45
+# Parts of a bucket: steps of the value's ratio to the bucket's lower end, or further bits.
+FINE_STEPS = float(1 << 29)
 FINE_BITS = 22
 MISSING_BUCKET = -(1 << 40)
-MANTISSA = 1 << 52
-LEAST_NORMAL = 2.0**-1022
 
 
-def order_key(value: Column) -> Column:
-    """64-bit whole number that orders doubles as their values do, and tells all of them apart.
+def coarse_bucket(value: Column, whole_numbers: bool = False) -> Column:
+    """First level: a whole number that never falls as the value rises.
 
-    Exponent and mantissa side by side, negated below zero; powers of two divide exactly.
+    Doubles go by the logarithm of their size, one call a row: no more than ``2 ** 18``
+    buckets whatever the data. A missing value has a bucket of its own: as the result is
+    never null, a join on it adds no filter below a shuffle, and all uses of the bucketed
+    rows stay one plan. Generated code stays small enough to be compiled: a longer
+    expression here makes every pass several times slower.
     """
-    size, two = F.abs(value), F.lit(2.0)
-    guess = F.floor(F.log2(size))
-    # The logarithm may be off by one at a power of two.
-    exponent = (
-        F.when(size < F.pow(two, guess), guess - 1).when(size >= F.pow(two, guess + 1), guess + 1).otherwise(guess)
-    )
-    normal = (exponent + 1022) * F.lit(MANTISSA) + (size / F.pow(two, exponent) * MANTISSA).try_cast("bigint")
-    place = (
-        F.when(size < LEAST_NORMAL, (size / LEAST_NORMAL * MANTISSA).try_cast("bigint"))
-        .when(size == float("inf"), F.lit(2047 * MANTISSA))
-        .otherwise(normal)
-    )
-    return F.when(value < 0, -place).otherwise(place)
+    if whole_numbers:
+        return F.coalesce(F.shiftright(value, COARSE_BITS), F.lit(MISSING_BUCKET))
+    # The logarithm of zero is null; infinity's is taken as one above all others.
+    step = F.floor(F.least(F.log2(F.abs(value)), F.lit(2048.0)) * PER_DOUBLING) + ZERO_AT
+    return F.coalesce(F.signum(value).cast("bigint") * step, F.when(value.isNotNull(), 0).otherwise(MISSING_BUCKET))
 
 
-def coarse_bucket(key: Column) -> Column:
-    """First level: at most ``2 ** 19`` buckets.
+def fine_bucket(value: Column, coarse: Column, whole_numbers: bool = False) -> Column:
+    """Second level inside a bucket of the first, rising with the value too: at most ``2 ** 23`` parts.
 
-    A missing value has a bucket of its own: as the result is never null, a join on it
-    adds no filter below a shuffle, and all uses of the bucketed rows stay one plan.
+    Values of one part agree in some 35 leading bits, so a part has a fixed number of
+    possible values. The divisor is one number for a whole bucket, which keeps the order.
     """
-    return F.coalesce(F.shiftright(key, COARSE_BITS), F.lit(MISSING_BUCKET))
-
-
-def fine_bucket(key: Column) -> Column:
-    """Second level inside a bucket of the first."""
-    parts = (1 << (COARSE_BITS - FINE_BITS)) - 1
-    return F.coalesce(F.shiftright(key, FINE_BITS).bitwiseAND(F.lit(parts)), F.lit(0).cast("bigint"))
+    if whole_numbers:
+        parts = (1 << (COARSE_BITS - FINE_BITS)) - 1
+        return F.coalesce(F.shiftright(value, FINE_BITS).bitwiseAND(F.lit(parts)), F.lit(0).cast("bigint"))
+    # A zero divisor is that of zero's bucket, which has one part.
+    lower = F.pow(F.lit(2.0), (F.abs(coarse) - ZERO_AT) / F.lit(float(PER_DOUBLING)))
+    return F.coalesce(F.floor(F.try_divide(value, lower) * FINE_STEPS), F.lit(0).cast("bigint"))
 
 
 def before(partition: Sequence[str], order: str) -> W:
@@ -78,14 +75,14 @@ def ranked_values(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     broadcast bucket totals. Rows are ordered within one part of one bucket only.
     """
     keys = list(keys)
-    coarse = counts.withColumn("b1", coarse_bucket(order_key(F.col("value"))))
+    coarse = counts.withColumn("b1", coarse_bucket(F.col("value")))
     totals = coarse.groupBy(*keys, "b1").agg(F.sum("weight").alias("rows"), F.count("*").alias("values"))
     totals = totals.select(
         *keys, "b1",
         running("rows", keys, "b1").alias("rows1"), running("values", keys, "b1").alias("values1"),
     )
     parted = coarse.join(F.broadcast(totals), [*keys, "b1"]).withColumn(
-        "b2", fine_bucket(order_key(F.col("value")))
+        "b2", fine_bucket(F.col("value"), F.col("b1"))
     )
     path, parent = [*keys, "b1", "b2"], [*keys, "b1"]
     # The two totals only follow the bucket; grouping by them too keeps this use of
@@ -144,7 +141,6 @@ def order_statistics(
     # Missing values weigh nothing; they only make their key known.
     whole_numbers = df.schema["value"].dataType == T.LongType()
     named = df if whole_numbers else df.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
-    place = F.col("value") if whole_numbers else order_key(F.col("value"))
     for key in keys:
         named = named.where(F.col(key).isNotNull())
     present = F.col("value").isNotNull().cast("bigint")
@@ -153,7 +149,7 @@ def order_statistics(
         rows = named.select(*keys, "value", weight.alias("weight"))
     else:
         rows = named.groupBy(*keys, "value").agg(F.sum(weight).alias("weight"))
-    rows = rows.withColumn("b1", coarse_bucket(place))
+    rows = rows.withColumn("b1", coarse_bucket(F.col("value"), whole_numbers))
 
     coarse = rows.groupBy(*keys, "b1").agg(
         F.sum("weight").alias("size"),
@@ -172,7 +168,7 @@ def order_statistics(
     # The lookup carries two columns it does not use itself: so it and the moments read
     # the same bucket counts, and Spark scans and shuffles them once.
     carried = ["middle", "spread"] if moments and few_keys else []
-    found = _pick(rows, coarse, positions, keys, few_keys, carried, place, places)
+    found = _pick(rows, coarse, positions, keys, few_keys, carried, places)
     if not moments:
         return found
     if few_keys:
@@ -210,7 +206,6 @@ def _pick(
     keys: list[str],
     few_keys: bool,
     carried: list[str],
-    place: Column,
     places: bool = False,
 ) -> DataFrame:
     """Look the positions up: bucket, part of the bucket, value."""
@@ -228,7 +223,7 @@ def _pick(
     hits = rows.join(F.broadcast(wanted) if few_keys else wanted, [*keys, "b1"])
     path = [*keys, "b1", "b2"]
     counted = (
-        hits.withColumn("b2", fine_bucket(place))
+        hits.withColumn("b2", fine_bucket(F.col("value"), F.col("b1"), rows.schema["value"].dataType == T.LongType()))
         .groupBy(*path, "start", "n", *carried, "value")
         .agg(F.sum("weight").alias("weight"))
     )
