@@ -14,103 +14,121 @@ from gridlark.operators.ranking import approximate_quantiles
 from gridlark.plans.trips import trips
 from gridlark.sources.tables import read_table
 
-INFO_COLUMNS = ("l_orderkey", "airline", "source", "destination", "departure_ts", "days_before", "segment", "duration_hrs", "total_fare")
-INFO_TYPES = {
-    "l_orderkey": "bigint", "airline": "string", "source": "string", "destination": "string",
-    "departure_ts": "timestamp_ntz", "days_before": "int", "segment": "string", "duration_hrs": "double", "total_fare": "double",
+# All columns of the trips, and a boolean one.
+NUMBERS = {
+    "l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint", "l_suppkey": "bigint", "src_lat": "double", "src_lon": "double",
+    "dst_lat": "double", "dst_lon": "double", "days_before": "int", "duration_hrs": "double", "base_fare": "double", "tax": "double", "total_fare": "double",
 }
+DATES = {"departure_ts": "timestamp_ntz", "arrival_ts": "timestamp_ntz"}
+TEXTS = {c: "string" for c in ("airline", "source", "destination", "stopovers", "class", "booking_source", "segment")} | {"direct": "boolean"}
+COLUMNS = NUMBERS | DATES | TEXTS
+DIRECT_SQL = "everything AS (SELECT *, stopovers = 'Direct' AS direct FROM trips)"
+
+
+def everything(spark, d):
+    return trips(spark, d, located=True).withColumn("direct", F.col("stopovers") == "Direct")
 
 
 def _null_row(column: str) -> str:
     return (
-        f"SELECT '{column}' AS \"column\", '{INFO_TYPES[column]}' AS dtype, count(*) AS n_rows, {len(INFO_COLUMNS)} AS n_columns, "
-        f"count(*) - count({column}) AS nulls, {r(f'(count(*) - count({column})) * 100.0 / count(*)')} AS null_pct FROM trips"
+        f"SELECT '{column}' AS \"column\", '{COLUMNS[column]}' AS dtype, count(*) AS n_rows, {len(COLUMNS)} AS n_columns, "
+        f"count(*) - count({column}) AS nulls, {r(f'(count(*) - count({column})) * 100.0 / count(*)')} AS null_pct FROM everything"
     )
 
 
-INFO_SQL = " UNION ALL ".join(_null_row(c) for c in INFO_COLUMNS)
+INFO_SQL = " UNION ALL ".join(_null_row(c) for c in COLUMNS)
 
 
-@register("dataset_info", on_trips(INFO_SQL))
+@register("dataset_info", on_trips(INFO_SQL, DIRECT_SQL))
 def dataset_info(spark, d):
-    return round_all(P.dataset_info(trips(spark, d, located=True).select(*INFO_COLUMNS)))
+    return round_all(P.dataset_info(everything(spark, d)))
 
 
 @register(
     "missing_report",
-    on_trips(f'SELECT "column", nulls AS missing, null_pct AS missing_pct FROM ({INFO_SQL}) WHERE nulls > 0'),
+    on_trips(f'SELECT "column", nulls AS missing, null_pct AS missing_pct FROM ({INFO_SQL}) WHERE nulls > 0', DIRECT_SQL),
 )
 def missing_report(spark, d):
-    return round_all(P.missing_report(trips(spark, d, located=True).select(*INFO_COLUMNS)))
-
-
-NUMBERS = ("days_before", "duration_hrs", "total_fare")
-TEXTS = ("airline", "segment", "class")
+    return round_all(P.missing_report(everything(spark, d)))
 
 
 def _number_row(c: str) -> str:
     return f"""SELECT '{c}' AS "column", count({c}) AS "count", {r(f'avg({c})')} AS mean, {r(f'stddev_samp({c})')} AS std,
-      {r(f'min({c})::DOUBLE')} AS min, {r(f'quantile_cont({c}, 0.25)')} AS q25, {r(f'quantile_cont({c}, 0.5)')} AS median,
-      {r(f'quantile_cont({c}, 0.75)')} AS q75, {r(f'max({c})::DOUBLE')} AS max FROM trips"""
+      {r(f'min({c})::DOUBLE')} AS min, {r(f'quantile_cont({c}::DOUBLE, 0.25)')} AS q25, {r(f'quantile_cont({c}::DOUBLE, 0.5)')} AS median,
+      {r(f'quantile_cont({c}::DOUBLE, 0.75)')} AS q75, {r(f'max({c})::DOUBLE')} AS max FROM everything"""
+
+
+def _date_row(c: str) -> str:
+    quarters = ", ".join(f"quantile_cont({c}, {p}) AS {name}_at" for name, p in P.QUARTERS.items())
+    return f"""SELECT '{c}' AS "column", count({c}) AS "count", make_timestamp(CAST(round(avg(epoch_us({c})) / 1e6) AS BIGINT) * 1000000) AS mean_at,
+      min({c}) AS min_at, {quarters}, max({c}) AS max_at FROM everything"""
 
 
 def _text_row(c: str) -> str:
-    return f"""SELECT '{c}' AS "column", (SELECT count({c}) FROM trips) AS "count", (SELECT count(DISTINCT {c}) FROM trips) AS "unique",
-      {c} AS top, n AS freq FROM (SELECT {c}, count(*) AS n FROM trips WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1)"""
+    return f"""SELECT '{c}' AS "column", (SELECT count({c}) FROM everything) AS "count", (SELECT count(DISTINCT {c}) FROM everything) AS "unique",
+      CAST({c} AS VARCHAR) AS top, n AS freq FROM (SELECT {c}, count(*) AS n FROM everything WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1)"""
 
 
-@register("describe_numeric", on_trips(" UNION ALL ".join(_number_row(c) for c in NUMBERS)))
+_DESCRIBE = (
+    DIRECT_SQL,
+    "numbers AS (" + " UNION ALL ".join(_number_row(c) for c in NUMBERS) + ")",
+    "dates AS (" + " UNION ALL ".join(_date_row(c) for c in DATES) + ")",
+    "texts AS (" + " UNION ALL ".join(_text_row(c) for c in TEXTS) + ")",
+)
+
+
+@register("describe_numeric", on_trips("SELECT * FROM numbers", *_DESCRIBE))
 def describe_numeric(spark, d):
-    return round_all(P.describe_numeric(trips(spark, d), NUMBERS))
+    return round_all(P.describe_numeric(everything(spark, d)))
+
 
+@register("describe_dates", on_trips("SELECT * FROM dates", *_DESCRIBE))
+def describe_dates(spark, d):
+    return P.describe_dates(everything(spark, d))
 
-@register("describe_text", on_trips(" UNION ALL ".join(_text_row(c) for c in TEXTS)))
+
+@register("describe_text", on_trips("SELECT * FROM texts", *_DESCRIBE))
 def describe_text(spark, d):
-    return P.describe_text(trips(spark, d), TEXTS)
+    return P.describe_text(everything(spark, d))
 
 
-_DESCRIBE = (
-    "numbers AS (" + " UNION ALL ".join(_number_row(c) for c in NUMBERS) + ")",
-    "texts AS (" + " UNION ALL ".join(_text_row(c) for c in TEXTS) + ")",
-)
+_NUMBER_FIELDS = ("mean", "std", "min", "q25", "median", "q75", "max")
 
 
 @register(
     "basic_statistics",
     on_trips(
-        """SELECT "column", "count", mean, std, min, q25, median, q75, max, NULL::BIGINT AS "unique", NULL::VARCHAR AS top,
-        NULL::BIGINT AS freq FROM numbers UNION ALL
-        SELECT "column", "count", NULL, NULL, NULL, NULL, NULL, NULL, NULL, "unique", top, freq FROM texts""",
+        f"""SELECT coalesce(n."column", d."column", t."column") AS "column", coalesce(n."count", d."count", t."count") AS "count",
+        {", ".join(_NUMBER_FIELDS)}, {", ".join(P.DATE_FIELDS)}, "unique", top, freq
+        FROM numbers n FULL JOIN dates d ON n."column" = d."column" FULL JOIN texts t ON t."column" = n."column" """,
         *_DESCRIBE,
     ),
 )
 def basic_statistics(spark, d):
-    return round_all(P.basic_statistics(trips(spark, d).select(*NUMBERS, *TEXTS)))
+    return round_all(P.basic_statistics(everything(spark, d)))
 
 
-_DISTINCT = " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS \"unique\" FROM trips" for c in (*NUMBERS, *TEXTS)
-)
+_DISTINCT = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS \"unique\" FROM everything" for c in COLUMNS)
 
 
-@register("distinct_counts", on_trips(_DISTINCT))
+@register("distinct_counts", on_trips(_DISTINCT, DIRECT_SQL))
 def distinct_counts(spark, d):
-    return P.distinct_counts(trips(spark, d), (*NUMBERS, *TEXTS))
+    return P.distinct_counts(everything(spark, d))
 
 
 @register(
     "descriptive_statistics",
     on_trips(
         f"""SELECT i."column", i.dtype, i.nulls AS missing, (round_even(i.nulls * 100.0 / i.n_rows, 2) + 0.0) AS missing_pct,
-        coalesce(n."count", t."count", 0) AS "count", n.mean, n.std, n.min, n.q25, n.median, n.q75, n.max, t.top, t.freq, u."unique"
-        FROM ({" UNION ALL ".join(_null_row(c) for c in (*NUMBERS, "airline", "segment"))}) i
-        LEFT JOIN numbers n ON n."column" = i."column" LEFT JOIN texts t ON t."column" = i."column"
-        LEFT JOIN ({_DISTINCT}) u ON u."column" = i."column" """,
+        coalesce(n."count", e."count", t."count", 0) AS "count", {", ".join(f"n.{f}" for f in _NUMBER_FIELDS)},
+        {", ".join(f"e.{f}" for f in P.DATE_FIELDS)}, t.top, t.freq, u."unique"
+        FROM ({INFO_SQL}) i LEFT JOIN numbers n ON n."column" = i."column" LEFT JOIN dates e ON e."column" = i."column"
+        LEFT JOIN texts t ON t."column" = i."column" LEFT JOIN ({_DISTINCT}) u ON u."column" = i."column" """,
         *_DESCRIBE,
     ),
 )
 def descriptive_statistics(spark, d):
-    return round_all(P.descriptive_statistics(trips(spark, d).select(*NUMBERS, "airline", "segment")))
+    return round_all(P.descriptive_statistics(everything(spark, d)))
 
 
 @register(

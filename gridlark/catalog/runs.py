@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from gridlark.catalog.cleaning import KEYS, KEYS_SQL, new_folder
 from gridlark.catalog.features import seasonality_sql, temporal_sql
 from gridlark.catalog.registry import on_trips, r, register, rnd, round_all
-from gridlark.functions.calendar import temporal_features
+from gridlark.functions.calendar import seasonality, temporal_features
 from gridlark.operators import promotion as G
 from gridlark.operators import regression as M
 from gridlark.operators.metrics import regression_metrics
-from gridlark.plans.features import apply_features, fit_features, request_columns
+from gridlark.plans.features import apply_features, apply_vectors, derive_features, fit_features, fit_vectors, request_columns
 from gridlark.plans.scoring import score
 from gridlark.plans.trips import trips
+from gridlark.sources.shared import materialize
 from gridlark.sources.tables import read_table
 from gridlark.streaming.scoring import request_stream, run_available
 
@@ -58,6 +59,34 @@ def score_requests(spark, d):
     return scored.withColumn("prediction", rnd("prediction", 2))
 
 
+_MEANS = " UNION ALL ".join(
+    f"SELECT '{column}' AS field, {value} AS category, count(*) AS n, {r('avg(total_fare)', 2)} AS mean_prediction, 'LinearRegressionModel' AS model_type FROM trips GROUP BY ALL"
+    for column, value in (("booking_source", "booking_source"), ("seasonality", seasonality_sql("departure_ts")))
+)
+
+
+@register("score_requests_all_features", on_trips(_MEANS))
+def score_requests_all_features(spark, d):
+    """Requests through the whole feature chain: least squares over all fields, applied to every trip.
+
+    Least squares with an indicator of a category predicts that category's mean on average,
+    whatever the other features are.
+    """
+    trip = trips(spark, d, located=True).select(*KEYS, *REQUEST_COLUMNS, "airline", "total_fare")
+    asked = materialize(trip, spread=True)
+    trained = derive_features(request_columns(asked, now())).drop(*KEYS).withColumnRenamed("total_fare", "label")
+    state = fit_vectors(trained)
+    model = M.train(apply_vectors(trained, state, ["label"]), state.features, {"m": M.linear()})["m"]
+    marked = asked.drop("total_fare").withColumn("period", seasonality(F.col("departure_ts"))).withColumn("booked", F.col("booking_source"))
+    scored = score(marked, model, state, now(), ["booked", "period"])
+    pairs = F.inline(F.array(
+        F.struct(F.lit("booking_source").alias("field"), F.col("booked").alias("category"), "prediction", "model_type"),
+        F.struct(F.lit("seasonality").alias("field"), F.col("period").alias("category"), "prediction", "model_type"),
+    ))
+    by = scored.select(pairs).groupBy("field", "category", "model_type")
+    return by.agg(F.count("*").alias("n"), rnd(F.avg("prediction"), 2).alias("mean_prediction"))
+
+
 @register(
     "stream_features",
     f"SELECT event_id, event_type, {temporal_sql('ts')} FROM events",

@@ -17,6 +17,14 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def boolean_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)]
+
+
+def date_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+
+
 def ref(name: str) -> Column:
     """Column by its exact name, also when it holds spaces, dots or ``&``."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlark.functions.calendar import season, to_ntz
-from gridlark.operators.columns import is_missing, long_form, nan_to_null, numeric_columns, ref, require, string_columns
+from gridlark.operators.columns import (
+    boolean_columns, date_columns, is_missing, long_form, nan_to_null, numeric_columns, ref, require, string_columns,
+)
 from gridlark.operators.ranking import column_quantiles, group_quantiles, quantiles
 
 QUARTERS = {"q25": 0.25, "median": 0.5, "q75": 0.75}
@@ -83,20 +85,54 @@ def _for_each(df: DataFrame, columns: Sequence[str], found: DataFrame) -> DataFr
 
 
 def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per text column: count, distinct values, most frequent value and its count.
+    """Per text or boolean column: count, distinct values, most frequent value and its count.
 
-    A column without values has a row of zeros, and no most frequent value.
+    A column without values has a row of zeros, and no most frequent value. A boolean's
+    values are ``true`` and ``false``.
     """
-    columns = columns or string_columns(df)
+    columns = columns or [c for c in df.columns if c in {*string_columns(df), *boolean_columns(df)}]
     best = F.min(F.struct((-F.col("n")).alias("rank"), F.col("value").alias("top")))
     found = _frequencies(df, columns).groupBy("column").agg(F.sum("n").alias("count"), F.count("*").alias("unique"), best.alias("best"))
     counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("count", "unique")]
     return _for_each(df, columns, found).select("column", *counts, F.col("best.top").alias("top"), (-F.col("best.rank")).alias("freq"))
 
 
+DATE_FIELDS = ("mean_at", "min_at", "q25_at", "median_at", "q75_at", "max_at")
+
+
+def describe_dates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per date or timestamp column: count, and mean, min, quartiles and max as timestamps.
+
+    Exact to the microsecond, quartiles between two moments included; the mean is given to
+    the second. Dates count as their midnight.
+    """
+    columns = columns or date_columns(df)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = {c: F.timestamp_diff("MICROSECOND", epoch, to_ntz(ref(c), df.schema[c].dataType).cast("timestamp_ntz")) for c in columns}
+    values = long_form(df.select(*[m.cast("double").alias(c) for c, m in micros.items()]), columns, "double")
+    stats = quantiles(values, QUARTERS, ["column"], moments=True)
+    seconds = stats.withColumn("mean", F.round(F.col("mean") / 1e6) * 1e6)
+    moments = [
+        F.timestamp_add("MICROSECOND", F.round(name).cast("bigint"), epoch).alias(f"{name}_at")
+        for name in ("mean", "min", "q25", "median", "q75", "max")
+    ]
+    return seconds.select("column", "count", *moments)
+
+
 def basic_statistics(df: DataFrame) -> DataFrame:
-    """Describe of numeric and text columns, one row per column, missing fields null."""
-    return describe_numeric(df).unionByName(describe_text(df), allowMissingColumns=True)
+    """Describe of numeric, date, text and boolean columns, one row per column, missing fields null.
+
+    Dates have their statistics in fields of their own (``min_at``, ...), as a field has one type.
+    """
+    parts = [describe_numeric(df)] if numeric_columns(df) else []
+    parts += [describe_dates(df)] if date_columns(df) else []
+    parts += [describe_text(df)] if string_columns(df) or boolean_columns(df) else []
+    if not parts:
+        raise ValueError("no column to describe")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
@@ -120,6 +156,7 @@ def descriptive_statistics(df: DataFrame) -> DataFrame:
         .join(F.broadcast(basic_statistics(df).drop("unique")), "column", "left")
         .join(F.broadcast(distinct_counts(df)), "column", "left")
     )
+    # Each side has one row per column of the frame.
     return joined.withColumn("unique", F.coalesce("unique", F.lit(0))).withColumn("count", F.coalesce("count", F.lit(0)))
 
 
