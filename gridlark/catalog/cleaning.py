@@ -77,6 +77,23 @@ def csv_dialect(spark, d):
     return read_csv(spark, path, part.select("p_retailprice", "kind", "label", "p_partkey").schema)
 
 
+@register(
+    "csv_quoted_breaks",
+    """SELECT o_orderkey, o_totalprice, o_orderpriority || chr(10) || '"' || CAST(o_custkey AS VARCHAR) || '"' || repeat(chr(10), CAST(o_orderkey % 4 AS BIGINT)) || '.' AS note
+    FROM orders""",
+)
+def csv_quoted_breaks(spark, d):
+    """Notes with line breaks and quotes through the CSV sink and the scan by ranges."""
+    note = F.concat(
+        "o_orderpriority", F.lit('\n"'), F.col("o_custkey").cast("string"), F.lit('"'),
+        F.repeat(F.lit("\n"), (F.col("o_orderkey") % 4).cast("int")), F.lit("."),
+    )
+    rows = read_table(spark, d, "orders").select("o_orderkey", "o_totalprice", note.alias("note"))
+    path = new_folder(spark, "csv")
+    write_csv(rows, path)
+    return read_csv(spark, path, rows.schema, multi_line=True)
+
+
 @register(
     "csv_inferred_schema",
     on_trips(
