@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +61,36 @@ def pick(docs: DataFrame, most: int) -> DataFrame:
     return materialize(rows.groupBy("digest").agg(F.min("text").alias("text")).select(F.col("digest").alias("pick"), "text"))
 
 
+def apart(extra: list[tuple[str, int, int]], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The extra spans that touch none of the base, by one sweep over both in order."""
+    if not base:
+        return extra
+    starts, ends = [], []
+    for _, a, b in sorted(base, key=lambda s: s[1:]):
+        if starts and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    out = []
+    for span in extra:
+        at = bisect_left(starts, span[2]) - 1
+        if at < 0 or ends[at] <= span[1]:
+            out.append(span)
+    return out
+
+
+def mixed(rows: DataFrame, most: int) -> list:
+    """At most ``most`` rows of a training set, half with a span (``marked``) and half without.
+
+    They are drawn by a hash of the document and the place in it, so that one long document
+    isn't the sample.
+    """
+    rows = materialize(rows.withColumn("draw", F.xxhash64("pick", "start", "broken")))
+    parts = [rows.where(F.col("marked") == m).orderBy("draw", "pick", "start", "broken").limit(most // 2).collect() for m in (True, False)]
+    return sorted((r for part in parts for r in part), key=lambda r: (r["draw"], r["pick"], r["start"]))
+
+
 def span_text(spans: list[tuple[str, int, int]], kinds: tuple[str, ...]) -> str:
     """``kind:start:end`` by start, then kind as listed, comma-joined."""
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (s[1], kinds.index(s[0]), s[2])))

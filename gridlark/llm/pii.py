@@ -1,10 +1,10 @@
 """Personal data: patterns, and a character-level BiLSTM-CRF trained on their spans.
 
 The patterns label a bounded sample of documents. On it a bidirectional LSTM over
-character classes with CRF transitions is trained in numpy. Documents are cut into
-overlapping windows; each window is decoded by Viterbi, and each character takes its tag
-from the window in which it lies deepest, so spans are whole across windows. What the
-model finds beside the patterns' spans is added.
+character classes with CRF transitions is trained in numpy, also on broken forms of the
+spans that no pattern fits. Documents are cut into overlapping windows; the scores of
+neighbouring windows are averaged where they overlap, and one Viterbi path through the whole
+stretch reconciles them. What the model finds beside the patterns' spans is added.
 
 All kinds hold a digit or an ``@``. This is a hard constraint of the tags: a window without
 such a character is outside by definition and isn't computed.
@@ -20,16 +20,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridlark.llm.common import batches, fresh, read_table
 from gridlark.llm.crf import Adam, gradients, viterbi
-from gridlark.llm.labelled import pick, span_text
+from gridlark.llm.labelled import apart, mixed, pick, span_text
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 96
 STRIDE = 64
 HIDDEN = 12
-# The bounds of the training sample: documents, and windows.
+# The bounds of the training sample: documents, and windows, half of them with a span.
 SAMPLE_DOCS = 6_000
 SAMPLE_WINDOWS = 1_500
-EPOCHS = 12
+EPOCHS = 14
+# Shorter pieces that the model finds are none of their kind.
+SHORTEST = {"email": 6, "ip": 7, "card": 12, "phone": 9}
 BATCH = 64
 RATE = 0.02
 SEED = 5
@@ -189,9 +191,6 @@ class Tagger:
                 adam.step({k: g * min(1.0, 5 / max(size, 1e-9)) for k, g in by.items()})
         return self
 
-    def decode(self, x: np.ndarray) -> np.ndarray:
-        return viterbi(self.emissions(x), self.p["moves"])
-
 
 def window_starts(text: str) -> list[int]:
     """Starts of the windows, on a grid of ``STRIDE``, that hold a digit or an ``@``."""
@@ -212,86 +211,204 @@ def cut(text: str, starts: list[int]) -> np.ndarray:
     return out
 
 
-def model_spans(text: str, starts: list[int], tags: np.ndarray) -> list[tuple[str, int, int]]:
-    """Spans of a document from its windows' tags; each place counts in its own window only."""
-    margin = (WINDOW - STRIDE) // 2
+# Windows of one stretch that are decoded together; a longer stretch goes on in the next piece.
+LONGEST = 32
+
+
+def pieces(starts: list[int]) -> list[tuple[list[int], int, int]]:
+    """Stretches of neighbouring windows, with the places that each decides.
+
+    Pieces of a stretch share a window, in the middle of which the next one takes over.
+    """
+    out: list[tuple[list[int], int, int]] = []
+    at = 0
+    while at < len(starts):
+        end = at + 1
+        while end < len(starts) and starts[end] == starts[end - 1] + STRIDE:
+            end += 1
+        lo, first = starts[at], at
+        while end - first > LONGEST:
+            last = first + LONGEST - 1
+            middle = starts[last] + WINDOW // 2
+            out.append((starts[first : last + 1], lo, middle))
+            first, lo = last, middle
+        out.append((starts[first:end], lo, starts[end - 1] + WINDOW))
+        at = end
+    return out
+
+
+# How much a window's word counts at each of its places: most in the middle.
+_SAY = 1.0 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])
+
+
+def reconciled(tagger: Tagger, windows: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    """Tags of stretches, each of ``sizes`` neighbouring windows.
+
+    Where windows overlap their scores are averaged, and one Viterbi path goes through the
+    whole stretch, so a span that crosses windows is decided once.
+    """
+    scores = tagger.emissions(windows)
+    # Places outside a text are outside all spans.
+    scores[windows == 0] = 0.0
+    scores[windows == 0, 1:] = -1e9
+    out: list[np.ndarray | None] = [None] * len(sizes)
+    firsts = np.concatenate([[0], np.cumsum(sizes)])
+    for size in sorted(set(sizes)):
+        own = [i for i, n in enumerate(sizes) if n == size]
+        length = (size - 1) * STRIDE + WINDOW
+        total, weight = np.zeros((len(own), length, scores.shape[2])), np.zeros(length)
+        for k in range(size):
+            here = slice(k * STRIDE, k * STRIDE + WINDOW)
+            total[:, here] += scores[[firsts[i] + k for i in own]] * _SAY[:, None]
+            weight[here] += _SAY
+        for i, tags in zip(own, viterbi(total / weight[:, None], tagger.p["moves"])):
+            out[i] = tags
+    return out
+
+
+def model_spans(text: str, stretches: list[tuple[list[int], int, int]], tags: list[np.ndarray]) -> list[tuple[str, int, int]]:
+    """Spans of a document from the tags of its stretches; runs of one kind that touch are one span."""
     found: list[tuple[str, int, int]] = []
-    for start, row in zip(starts, tags):
-        for j in np.flatnonzero(row[margin : margin + STRIDE]).tolist():
-            at, kind = start + margin + j, KINDS[row[margin + j] - 1]
-            if at >= len(text):
-                break
+    for (starts, lo, hi), row in zip(stretches, tags):
+        own = np.flatnonzero(row)
+        for at, tag in zip((own + starts[0]).tolist(), row[own].tolist()):
+            if not max(lo, 0) <= at < min(hi, len(text)):
+                continue
+            kind = KINDS[tag - 1]
             if found and found[-1][0] == kind and found[-1][2] == at:
                 found[-1] = (kind, found[-1][1], at + 1)
             else:
                 found.append((kind, at, at + 1))
-    needs = {"email": "@"}
     whole = []
     for kind, a, b in found:
         # Blanks at the ends belong to no span.
         part = text[a:b]
         a, b = a + len(part) - len(part.lstrip()), b - (len(part) - len(part.rstrip()))
-        if b > a and (needs[kind] in text[a:b] if kind in needs else any(c.isdigit() for c in text[a:b])):
+        if b - a >= SHORTEST[kind] and ("@" in text[a:b] if kind == "email" else any(c.isdigit() for c in text[a:b])):
             whole.append((kind, a, b))
     return whole
 
 
-def train(docs: DataFrame, most_docs: int = SAMPLE_DOCS, most_windows: int = SAMPLE_WINDOWS) -> Tagger | None:
-    """A tagger trained on the patterns' spans in a bounded sample; None without any window."""
+_BROKEN_AT = (" @ ", "@ ", " @", "@@")
+_BROKEN_DOT = (",", "-", " . ", ":", ". ")
+_BROKEN_GAP = (".", "/", "_", " - ")
+_BROKEN_PLUS = ("00", "(0)", "", "tel ")
 
-    def labelled(picks, texts):
-        out = {"pick": [], "start": [], "x": [], "tags": []}
-        for key, text in zip(picks, texts):
-            starts = window_starts(text)
+
+def broken(text: str, base: list[tuple[str, int, int]], rng: np.random.Generator) -> tuple[str, list[tuple[str, int, int]]]:
+    """The text with its spans rewritten so that hardly a pattern fits, and where they are now.
+
+    Addresses get blanks or a second sign, network numbers other separators, card numbers
+    other gaps or a wrong digit, telephone numbers another beginning.
+    """
+    out, spans, done, size = [], [], 0, 0
+    for kind, a, b in sorted(base, key=lambda s: s[1:]):
+        if a < done:
+            continue
+        found = text[a:b]
+        if kind == "email":
+            found = found.replace("@", str(rng.choice(_BROKEN_AT)))
+        elif kind == "ip":
+            found = found.replace(".", str(rng.choice(_BROKEN_DOT)))
+        elif kind == "card":
+            digits = _NOT_DIGIT.sub("", found)
+            if rng.random() < 0.5:
+                found = found[:-1] + str((int(found[-1]) + 1 + int(rng.integers(0, 8))) % 10)
+            else:
+                found = str(rng.choice(_BROKEN_GAP)).join(digits[i : i + 4] for i in range(0, len(digits), 4))
+        else:
+            found = str(rng.choice(_BROKEN_PLUS)) + found[1:]
+        out += [text[done:a], found]
+        size += a - done
+        spans.append((kind, size, size + len(found)))
+        size += len(found)
+        done = b
+    return "".join([*out, text[done:]]), spans
+
+
+def labelled(picks: list, texts: list[str | None]) -> dict[str, list]:
+    """Classes and tags of all windows of documents and of their broken forms."""
+    out: dict[str, list] = {k: [] for k in ("pick", "start", "broken", "marked", "x", "tags")}
+    for key, text in zip(picks, texts):
+        base = base_spans(text)
+        forms = [(False, text, base)]
+        if base:
+            forms.append((True, *broken(text, base, np.random.default_rng(key & 0xFFFFFFFF))))
+        for is_broken, form, spans in forms:
+            starts = window_starts(form or "")
             if not starts:
                 continue
-            tags = np.zeros(len(text) + 2 * WINDOW, np.uint8)
-            for kind, a, b in reversed(base_spans(text)):
+            tags = np.zeros(len(form) + 2 * WINDOW, np.uint8)
+            for kind, a, b in reversed(spans):
                 tags[WINDOW + a : WINDOW + b] = 1 + KINDS.index(kind)
-            for start, row in zip(starts, cut(text, starts)):
-                out["pick"].append(key)
-                out["start"].append(start)
-                out["x"].append(row.astype(np.uint8).tobytes())
-                out["tags"].append(tags[WINDOW + start :][:WINDOW].tobytes())
-        return out
+            for lo in range(0, len(starts), BLOCK):
+                for start, row in zip(starts[lo : lo + BLOCK], cut(form, starts[lo : lo + BLOCK])):
+                    own = tags[WINDOW + start :][:WINDOW]
+                    for k, v in zip(out, (key, start, is_broken, bool(own.any()), row.astype(np.uint8).tobytes(), own.tobytes())):
+                        out[k].append(v)
+    return out
 
-    found = batches(pick(docs, most_docs), labelled, "pick long, start long, x binary, tags binary")
-    rows = found.orderBy("pick", "start").limit(most_windows).collect()
+
+def train(docs: DataFrame, most_docs: int = SAMPLE_DOCS, most_windows: int = SAMPLE_WINDOWS) -> Tagger | None:
+    """A tagger trained on a bounded sample, labelled by the patterns, as it is and broken.
+
+    None without any window.
+    """
+    rows = mixed(batches(pick(docs, most_docs), labelled, "pick long, start long, broken boolean, marked boolean, x binary, tags binary"), most_windows)
     if not rows:
         return None
-    x, tags = (np.array([np.frombuffer(r[k], np.uint8) for r in rows], np.int64) for k in (2, 3))
+    x, tags = (np.array([np.frombuffer(r[k], np.uint8) for r in rows], np.int64) for k in ("x", "tags"))
     return Tagger().fit(x, tags)
 
 
-def _apart(extra: list[tuple[str, int, int]], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """The extra spans that touch none of the base."""
-    return [s for s in extra if not any(s[1] < b and a < s[2] for _, a, b in base)]
+# Windows that are decoded at once, whatever document they are of.
+BLOCK = 2048
+
+
+def scan_texts(texts: list[str | None], tagger: Tagger | None) -> tuple[list[list], list[list]]:
+    """The patterns' spans, and all spans, of each text; memory is bounded by blocks of windows."""
+    base = [base_spans(t) for t in texts]
+    if tagger is None:
+        return base, [list(b) for b in base]
+    found: list[tuple[list, list]] = [([], []) for _ in texts]
+    waiting: list[tuple[int, tuple]] = []
+    held = 0
+
+    def flush() -> None:
+        nonlocal held
+        if waiting:
+            windows = np.concatenate([cut(texts[i], piece[0]) for i, piece in waiting])
+            for (i, piece), tags in zip(waiting, reconciled(tagger, windows, [len(p[0]) for _, p in waiting])):
+                found[i][0].append(piece)
+                found[i][1].append(tags.astype(np.uint8))
+        waiting.clear()
+        held = 0
+
+    for i, text in enumerate(texts):
+        for piece in pieces(window_starts(text)) if text else ():
+            waiting.append((i, piece))
+            held += len(piece[0])
+            if held >= BLOCK:
+                flush()
+    flush()
+    return base, [b + apart(model_spans(t or "", *f), b) for t, b, f in zip(texts, base, found)]
 
 
 def find(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
-    """``doc_id, base, spans`` of every document, both as ``kind:start:end`` lists in text form.
+    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` of every document.
 
     Null and empty texts have no spans. A model's span that overlaps a pattern's is left out.
+    A very long text is decoded in blocks of windows.
     """
     shared = fresh(docs.sparkSession, tagger)
 
     def step(ids, texts, tagger):
-        base = [base_spans(t) for t in texts]
-        spans = [list(b) for b in base]
-        if tagger is not None:
-            at = [(i, window_starts(t)) for i, t in enumerate(texts) if t]
-            at = [(i, starts) for i, starts in at if starts]
-            # Windows of many documents are decoded together, in bounded blocks.
-            for block in _blocks(at, 4096):
-                tags = tagger.decode(np.concatenate([cut(texts[i], s) for i, s in block]))
-                done = 0
-                for i, starts in block:
-                    spans[i] += _apart(model_spans(texts[i], starts, tags[done : done + len(starts)]), base[i])
-                    done += len(starts)
-        out = {"doc_id": ids, "base": [span_text(b, KINDS) for b in base], "spans": [span_text(s, KINDS) for s in spans]}
+        base, spans = scan_texts(texts, tagger)
+        out = {"doc_id": ids}
         for k in KINDS:
             out[f"n_{k}"] = [sum(s[0] == k for s in b) for b in base]
-        out["base_sha256"] = [hashlib.sha256(b.encode()).hexdigest() for b in out.pop("base")]
+        out["base_sha256"] = [hashlib.sha256(span_text(b, KINDS).encode()).hexdigest() for b in base]
+        out["spans"] = [span_text(s, KINDS) for s in spans]
         return out
 
     counts = ", ".join(f"n_{k} long" for k in KINDS)
@@ -299,19 +416,6 @@ def find(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     return batches(docs.select("doc_id", "text"), step, schema, shared)
 
 
-def _blocks(at: list[tuple[int, list[int]]], most: int):
-    """Documents in blocks of about ``most`` windows; one document's windows stay together."""
-    block, size = [], 0
-    for item in at:
-        block.append(item)
-        size += len(item[1])
-        if size >= most:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
-
-
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return find(docs, train(docs))
