@@ -2,15 +2,16 @@
 
 The ordinary dictionary is trained on windows of ordinary labelled text. The toxic one
 holds the same content, and before it what is trained on toxic text: the words of toxic
-documents that ordinary ones hardly have. A window that compresses better with the toxic
-dictionary is the more toxic the more bytes it saves. A document's savings are turned
-into a probability by a logistic regression on labelled documents that no dictionary has
-seen.
+documents that ordinary ones hardly have, near copies counting once. A window that
+compresses better with the toxic dictionary is the more toxic the more bytes it saves. A
+document's savings, the largest ones and their averages, are turned into a probability by a
+logistic regression on labelled documents that no dictionary has seen.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +28,17 @@ WINDOW = 48
 STEP = 24
 LEVEL = 7
 ORDINARY_BYTES = 32_768
-TOXIC_BYTES = 1_024
+TOXIC_BYTES = 2_048
 # A word is toxic text if this share of toxic documents has it, and ordinary ones at most RATIO as often.
 SHARE = 0.02
 RATIO = 0.03
 LEAST_DOCUMENTS = 3
 # Savings of so many bytes count as a toxic window.
 SAVING = 3
+FEATURES = 7
+# Words of the shingles whose least hash names a text among its near copies.
+SHINGLE = 3
+_MARKS = b".,;:!?#$%&*|()\"'-_"
 THRESHOLD = 0.7
 FOLDS = 3
 
@@ -69,10 +74,13 @@ class Distance:
         ordinary, toxic = self._ordinary, self._toxic
         return [len(ordinary(w)) - len(toxic(w)) for w in windows(data)]
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
-        saved = self.savings(plain(text))
-        hits = sum(s >= SAVING for s in saved)
-        return float(max(saved, default=0)), float(np.log1p(hits)), hits / max(1, len(saved)) ** 0.5
+    def features(self, text: str | None) -> tuple[float, ...]:
+        """Largest saving, saving windows, and averages that chance savings leave near zero."""
+        saved = np.array(self.savings(plain(text)) or [0])
+        root = len(saved) ** 0.5
+        hits, near = int((saved >= SAVING).sum()), int((saved >= SAVING - 1).sum())
+        most = np.partition(saved, -4)[-4:].sum() if len(saved) > 4 else saved.sum()
+        return float(saved.max()), float(np.log1p(hits)), hits / root, near / root, saved.sum() / root, saved.mean(), float(most)
 
 
 _LOADED: dict[tuple[bytes, bytes], Distance] = {}
@@ -86,6 +94,13 @@ def _distance(model: dict) -> Distance:
     return _LOADED[key]
 
 
+def copy_name(text: str | None) -> int:
+    """The least hash of a text's word shingles: near copies mostly share it."""
+    words = plain(text).split()
+    shingles = (b" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1)))
+    return min(map(xxhash.xxh64_intdigest, shingles)) >> 1
+
+
 def _even(parts: list[bytes], most: int) -> list[bytes]:
     """At most ``most`` of the parts, evenly spread over all of them."""
     return parts if len(parts) <= most else [parts[i * len(parts) // most] for i in range(most)]
@@ -107,12 +122,17 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds:
     if not n_toxic or not n_ordinary:
         return {"prior": prior}
 
+    # Near copies of a text count once: their words mark the text, not its kind.
+    named = batches(learn.select("label", "text"), lambda marks, texts: {"label": marks, "copy": [copy_name(t) for t in texts], "text": texts}, "label int, copy long, text string")
+    single = named.groupBy("label", "copy").agg(F.min("text").alias("text"))
+    singles = {int(r[0]): int(r[1]) for r in single.groupBy("label").count().collect()}
+    n_toxic, n_ordinary = singles[1], singles[0]
+
     def words(marks, texts):
-        found = [(m, w.strip(b".,;:!?")) for m, t in zip(marks, texts) for w in set(plain(t).split())]
+        found = [(m, w) for m, t in zip(marks, texts) for w in {w.strip(_MARKS) for w in plain(t).split()}]
         return {"label": [m for m, _ in found], "word": [w for _, w in found]}
 
-    # Copies of a text count once.
-    seen = batches(learn.select("label", "text").distinct(), words, "label int, word binary").where("length(word) > 3")
+    seen = batches(single.select("label", "text"), words, "label int, word binary").where("length(word) > 3")
     table = seen.groupBy("word").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("ordinary"))
     often = F.col("toxic") >= max(LEAST_DOCUMENTS, SHARE * n_toxic)
     rare = F.col("ordinary") / n_ordinary <= RATIO * F.col("toxic") / n_toxic
@@ -124,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds:
         for pick, mark, text in zip(picks, marks, texts):
             data = plain(text)
             if mark:
-                kept = [w for w in data.split() if w.strip(b".,;:!?") in marked]
+                kept = [w.strip(_MARKS) for w in data.split() if w.strip(_MARKS) in marked]
                 data = b" " + b" ".join(kept) + b" " if kept else b""
             for part in _even(windows(data, 64, 64), TRAINING_WINDOWS):
                 for name, value in (("pick", pick), ("label", mark), ("part", part)):
@@ -143,24 +163,26 @@ def _calibrated(check: DataFrame, model: dict, sizes: dict[int, int]) -> dict:
     shared = fresh(check.sparkSession, model)
 
     def measure(picks, marks, texts, model):
-        x = np.array([_distance(model).features(t) for t in texts]).reshape(-1, 3)
-        return {"pick": picks, "label": marks, "a": x[:, 0], "b": x[:, 1], "c": x[:, 2]}
+        return {"pick": picks, "label": marks, "features": [list(_distance(model).features(t)) for t in texts]}
 
-    found = batches(check.select("pick", "label", "text"), measure, "pick long, label int, a double, b double, c double", shared).orderBy("pick").collect()
+    found = batches(check.select("pick", "label", "text"), measure, "pick long, label int, features array<double>", shared).orderBy("pick").collect()
     y = np.array([r[1] for r in found], float)
     if len(set(y)) < 2:
         # Too few rows to calibrate: a saving window or two decide.
-        return {"weights": np.array([0.5, 1.0, 1.0, -4.0])}
-    x = np.array([[r[2], r[3], r[4]] for r in found])
+        return {"weights": np.array([0.5, 1.0, 1.0, 0.0, 0.0, 0.0, 0.0, -4.0])}
+    x = np.array([r[2] for r in found])
+    middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
     # Classes weigh as they occur among the labels.
     share = {k: sizes[k] / (y == k).sum() for k in (0, 1)}
-    return {"weights": logistic(x, y, np.where(y == 1, share[1], share[0]), ridge=0.05)}
+    weights = logistic((x - middle) / spread, y, np.where(y == 1, share[1], share[0]), ridge=0.5)
+    slopes = weights[:-1] / spread
+    return {"weights": np.append(slopes, weights[-1] - slopes @ middle)}
 
 
 def score_texts(texts: list[str | None], model: dict) -> np.ndarray:
     if "weights" not in model:
         return np.full(len(texts), model["prior"])
-    x = np.array([_distance(model).features(t) for t in texts]).reshape(-1, 3)
+    x = np.array([_distance(model).features(t) for t in texts]).reshape(-1, FEATURES)
     return 1 / (1 + np.exp(-np.clip(x @ model["weights"][:-1] + model["weights"][-1], -30, 30)))
 
 
