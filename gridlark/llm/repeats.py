@@ -5,7 +5,8 @@ smaller id. In a suffix array the nearest smaller positions before and after a s
 its longest earlier match; here positions count by document, and matches are asked for up
 to ``DEPTH`` bytes.
 
-No task holds the suffix array of the corpus. Every window of ``DEPTH`` bytes has an
+No task holds the suffix array of the corpus; longest-previous-factor arrays are made bucket
+by bucket. Every window of ``DEPTH`` bytes has an
 anchor, the gram of ``GRAM`` bytes in it with the smallest hash, so equal windows have
 equal anchors. Round one counts anchors: a window whose anchor occurs in one document only
 can't repeat. Round two sorts the windows of the other anchors, bucket by bucket, in suffix
@@ -167,9 +168,15 @@ def _bits(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
 
-def _cut(bucket: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket's part of a sorted bucket column starts."""
-    return np.searchsorted(bucket, np.arange(buckets + 1))
+def _parts(bucket: np.ndarray) -> list[tuple[int, int, int]]:
+    """The buckets that a sorted bucket column holds, each with the range of its rows."""
+    names, first = np.unique(bucket, return_index=True)
+    return list(zip(names.tolist(), first.tolist(), [*first[1:].tolist(), len(bucket)]))
+
+
+def _range(bucket: np.ndarray, name: int) -> slice:
+    """The rows of one bucket in a sorted bucket column."""
+    return slice(*np.searchsorted(bucket, [name, name + 1]).tolist())
 
 
 def _context_counts(runs: Runs, place: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -194,9 +201,8 @@ def _anchor_lists(buckets: int):
                 runs = Runs(text, lengths)
                 hashes, bucket, place, _ = _distinct(runs, order, buckets)
                 counts = _context_counts(runs, place, text, len(hashes)).astype("<u4")
-                cuts = _cut(bucket, buckets)
                 low = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                rows = [(b, *(x[cuts[b] : cuts[b + 1]].tobytes() for x in (low, counts))) for b in range(buckets) if cuts[b] < cuts[b + 1]]
+                rows = [(b, *(x[lo:hi].tobytes() for x in (low, counts))) for b, lo, hi in _parts(bucket)]
                 yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk] * len(rows), pa.int64()), "bucket": pa.array([r[0] for r in rows], pa.int32()), "anchors": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
 
     return run
@@ -246,12 +252,12 @@ class _Contexts:
         runs = Runs(text, sizes)
         hashes, bucket, place, several = _distinct(runs, order, buckets)
         shared, hot = several, np.zeros(len(hashes), bool)
-        cuts = _cut(bucket, buckets)
         for b, mask, hots in masks:
-            n = cuts[b + 1] - cuts[b]
-            shared[cuts[b] : cuts[b + 1]] |= _bits(mask, n)
+            mine = _range(bucket, b)
+            n = mine.stop - mine.start
+            shared[mine] |= _bits(mask, n)
             if hots:
-                hot[cuts[b] : cuts[b + 1]] = _bits(hots, n)
+                hot[mine] = _bits(hots, n)
         picked = np.flatnonzero(shared[place])
         single = hot[place[picked]]
         each = np.where(single, runs.last[picked] - runs.first[picked] + 1, 1)
@@ -285,7 +291,7 @@ class _Contexts:
             elif own < self.lowest[k]:
                 self.lowest[k] = own
             self.slot[i] = k
-        self.cuts = _cut(np.array(where, np.int64), buckets + extra)
+        self.where = np.array(where, np.int64)
 
 
 def _context_lists(buckets: int, extra: int):
@@ -297,8 +303,7 @@ def _context_lists(buckets: int, extra: int):
             for chunk, ids, sizes, data, masks in zip(*(c.to_pylist() for c in batch.columns)):
                 found = _Contexts(*_opened(ids, sizes, data), [(m["bucket"], m["mask"], m["hot"]) for m in masks or []], buckets, extra)
                 rows = []
-                for b in np.flatnonzero(np.diff(found.cuts)).tolist():
-                    lo, hi = found.cuts[b], found.cuts[b + 1]
+                for b, lo, hi in _parts(found.where):
                     sizes_b = np.array([len(t) for t in found.texts[lo:hi]], np.uint8)
                     offsets = np.array(found.offsets[lo:hi], np.uint8)
                     body = sizes_b.tobytes() + offsets.tobytes() + np.array(found.lowest[lo:hi], "<i8").tobytes() + b"".join(found.texts[lo:hi])
@@ -308,28 +313,79 @@ def _context_lists(buckets: int, extra: int):
     return run
 
 
-def earlier_matches(text: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Which of the suffixes at ``starts`` match ``DEPTH`` bytes of one with a smaller owner.
+def _neighbours(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
+    """Bytes that each suffix shares with the one before it in suffix order, at most ``DEPTH``; 0 for the first."""
+    shared = np.full(len(order), DEPTH, np.int64)
+    for at, key in reversed(list(zip(_WORDS, keys))):
+        differs = key[order[1:]] ^ key[order[:-1]]
+        places = np.flatnonzero(differs)
+        # Whole bytes before the first differing one; a word's first byte is its highest.
+        equal = np.zeros(len(places), np.int64)
+        rest = differs[places]
+        for width in (32, 16, 8):
+            high = rest >> np.uint64(64 - width) == 0
+            equal[high] += width // 8
+            rest[high] <<= np.uint64(width)
+        shared[places + 1] = at + equal
+    shared[:1] = 0
+    return shared
+
+
+def _smaller_before(owner: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Bytes shared with the previous position of a smaller owner, 0 without one.
+
+    All positions look at once: between a position and the one it points to no owner is
+    smaller than its own. If the one pointed to isn't smaller either, the pointer of that
+    one is taken over, with the lesser of both lengths.
+    """
+    at = np.arange(len(owner)) - 1
+    length = shared.copy()
+    open_ = np.arange(1, len(owner))
+    while True:
+        # A length of zero can't grow again.
+        open_ = open_[(at[open_] >= 0) & (length[open_] > 0)]
+        open_ = open_[owner[at[open_]] >= owner[open_]]
+        if not len(open_):
+            break
+        via = at[open_]
+        length[open_] = np.minimum(length[open_], length[via])
+        at[open_] = at[via]
+    length[at < 0] = 0
+    return length
+
 
-    The suffixes are sorted to that depth; neighbours with equal windows form a run. Within
-    a run suffixes stand by owner, so the previous smaller owner of a suffix, if there is
-    one, is the run's head, and no next one is smaller.
+# Starts of the eight-byte words that tell windows apart; the last one overlaps.
+_WORDS = (*range(0, DEPTH - 8, 8), DEPTH - 8)
+
+
+def longest_previous_factors(text: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """For each suffix of ``starts`` the longest match, up to ``DEPTH`` bytes, with one of a smaller owner.
+
+    The suffixes are put in suffix order to that depth. The longest match is with the
+    nearest suffix of a smaller owner before or after: as long as the least of the lengths
+    that neighbours share on the way there.
     """
     padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
     word = np.zeros(len(text), np.uint64)
     for j in range(8):
         word = (word << np.uint64(8)) | padded[j : j + len(text)]
-    keys = [word[starts + j] for j in (*range(0, DEPTH - 8, 8), DEPTH - 8)]
-    suffixes = np.lexsort((owner, *keys[::-1]))
-    new = np.ones(len(starts), bool)
-    if len(starts):
-        new[1:] = np.any([k[suffixes[1:]] != k[suffixes[:-1]] for k in keys], axis=0)
-    head = np.maximum.accumulate(np.where(new, np.arange(len(starts)), 0))
-    out = np.zeros(len(starts), bool)
-    out[suffixes] = owner[suffixes[head]] < owner[suffixes]
+    keys = [word[starts + j] for j in _WORDS]
+    order = np.lexsort((owner, *keys[::-1]))
+    shared = _neighbours(keys, order)
+    ranked = owner[order]
+    before = _smaller_before(ranked, shared)
+    # The same from the other end: what a suffix shares with the next one stands there with the next one.
+    after = _smaller_before(ranked[::-1], np.append(shared[1:], 0)[::-1])[::-1]
+    out = np.zeros(len(starts), np.int64)
+    out[order] = np.maximum(before, after)
     return out
 
 
+def earlier_matches(text: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Which of the suffixes at ``starts`` match ``DEPTH`` bytes of one with a smaller owner."""
+    return longest_previous_factors(text, starts, owner) >= DEPTH
+
+
 def _spread(counts: np.ndarray) -> np.ndarray:
     """``0 .. count - 1`` for each of the counts."""
     return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -398,9 +454,9 @@ def _removed(found: _Contexts, replies: list, size: int) -> np.ndarray:
     offset = np.cumsum(counts) - counts
     matched = np.zeros(int(counts.sum()), bool)
     for b, mask in replies:
-        lo, hi = found.cuts[b], found.cuts[b + 1]
-        n = int(counts[lo:hi].sum())
-        matched[offset[lo] : offset[lo] + n] = _bits(mask, n)
+        mine = _range(found.where, b)
+        n = int(counts[mine].sum())
+        matched[offset[mine.start] : offset[mine.start] + n] = _bits(mask, n)
     each = found.last - found.first + 1
     inside = _spread(each)
     lowest = np.array(found.lowest, np.int64)
