@@ -210,9 +210,17 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit:
 
     id_type = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {id_type}, text binary, n_words long, starts array<long>, ends array<long>, items array<string>"
-    passes = list(_automata(benchmark, window, limit)) or [(SuffixAutomaton(window).finish(), [])]
-    for value in passes:
-        out = batches(out, step, schema, fresh(docs.sparkSession, value))
+    shared = None
+    for value in _automata(benchmark, window, limit):
+        if shared is not None:
+            # Written, so that neither driver nor tasks hold two automata.
+            out = materialize(out)
+            shared.destroy()
+        shared = fresh(docs.sparkSession, value)
+        del value
+        out = batches(out, step, schema, shared)
+    if shared is None:
+        out = batches(out, step, schema, fresh(docs.sparkSession, (SuffixAutomaton(window).finish(), [])))
     return out
 
 

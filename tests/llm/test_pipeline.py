@@ -64,3 +64,36 @@ def test_decontamination_matches_each_text_once(spark, small):
     docs, benchmark = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
     plan = decontamination.decontaminate(docs, benchmark)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_one_automaton_is_held_at_a_time(spark, small, monkeypatch):
+    """With many small automata each is gone before the next is broadcast, and the result is that of one."""
+    docs, benchmark = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
+    live, most, plain = [], [], decontamination.fresh
+
+    class Watched:
+        def __init__(self, shared):
+            self.shared = shared
+
+        value = property(lambda self: self.shared.value)
+
+        def destroy(self):
+            live.remove(self)
+            self.shared.destroy()
+
+        def __reduce__(self):
+            return self.shared.__reduce__()
+
+    def fresh(session, value):
+        live.append(Watched(plain(session, value)))
+        most.append(len(live))
+        return live[-1]
+
+    one = sorted(map(str, decontamination.report(docs, benchmark).collect()))
+    monkeypatch.setattr(decontamination, "fresh", fresh)
+    many = decontamination.matched(docs, benchmark, limit=400)
+    assert len(most) > 3 and max(most) == 1
+    hit = {r.doc_id for r in many.where("size(starts) > 0").select("doc_id").collect()}
+    monkeypatch.undo()
+    whole = {r.doc_id for r in decontamination.matched(docs, benchmark).where("size(starts) > 0").select("doc_id").collect()}
+    assert hit == whole and one
