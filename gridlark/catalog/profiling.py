@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridlark.catalog.cleaning import new_folder
 from gridlark.catalog.registry import on_trips, r, register, rnd, round_all
 from gridlark.operators import association as A
 from gridlark.operators import charts as H
 from gridlark.operators import profiling as P
+from gridlark.operators import states as S
+from gridlark.operators.columns import long_form
 from gridlark.operators.insights import insights
 from gridlark.operators.lookup import in_top_categories
 from gridlark.operators.ranking import approximate_quantiles
@@ -131,6 +134,45 @@ def descriptive_statistics(spark, d):
     return round_all(P.descriptive_statistics(everything(spark, d)))
 
 
+STATE_NUMBERS = ("l_orderkey", "l_quantity", "l_extendedprice", "l_discount")
+STATE_TEXTS = ("l_returnflag",)
+
+
+def _state_row(c: str, number: bool) -> str:
+    facts = (f"{r(f'avg({c})')}", f"{r(f'stddev_samp({c})')}", f"{r(f'min({c})::DOUBLE')}", f"{r(f'max({c})::DOUBLE')}") if number else ("NULL::DOUBLE",) * 4
+    return f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS nulls, count({c}) AS "count", {facts[0]} AS mean,
+      {facts[1]} AS std, {facts[2]} AS min, {facts[3]} AS max, {'true' if number else 'NULL::BOOLEAN'} AS quartiles_within, true AS distinct_within FROM lines"""
+
+
+@register(
+    "incremental_profile",
+    "WITH lines AS (SELECT * REPLACE (CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS l_quantity) FROM lineitem) "
+    + " UNION ALL ".join(_state_row(c, c in STATE_NUMBERS) for c in (*STATE_NUMBERS, *STATE_TEXTS)),
+)
+def incremental_profile(spark, d):
+    """Profiles of four parts, stored one by one and merged; the sketches are held against the whole table."""
+    lines = read_table(spark, d, "lineitem").select(*STATE_NUMBERS, *STATE_TEXTS)
+    lines = lines.withColumn("l_quantity", F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity")))
+    folder = new_folder(spark, "profile")
+    for part in range(4):
+        S.write_state(S.profile_state(lines.where(F.col("l_orderkey") % 4 == part)), folder, str(part))
+    merged = S.merged_profile(S.read_states(spark, folder))
+    # One row per column and quartile.
+    quarters = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.col(name).alias("q")) for name, p in P.QUARTERS.items()]))
+    asked = merged.where("min IS NOT NULL").select("column", "count", quarters.alias("at")).select("column", "count", "at.*")
+    values = long_form(lines, STATE_NUMBERS, "double").where("value IS NOT NULL")
+    ranks = values.join(F.broadcast(asked), "column").groupBy("column", "count", "p", "q").agg(
+        F.count_if(F.col("value") < F.col("q")).alias("below"), F.count_if(F.col("value") <= F.col("q")).alias("upto")
+    )
+    slack = S.RANK_ERROR * F.col("count") + 1
+    near = (F.col("below") <= F.col("p") * F.col("count") + slack) & (F.col("upto") >= F.col("p") * F.col("count") - slack)
+    within = ranks.groupBy("column").agg(F.min(near).alias("quartiles_within"))
+    distinct = P.distinct_counts(lines).withColumnRenamed("unique", "exact")
+    out = merged.join(F.broadcast(within), "column", "left").join(F.broadcast(distinct), "column")
+    close = F.abs(F.col("distinct") - F.col("exact")) <= 0.03 * F.col("exact") + 1
+    return round_all(out.select("column", "n_rows", "nulls", "count", "mean", "std", "min", "max", "quartiles_within", close.alias("distinct_within")))
+
+
 @register(
     "distribution",
     f"""SELECT {r('avg(value)')} AS mean, {r('quantile_cont(value, 0.5)')} AS median, {r('stddev_samp(value)')} AS std,

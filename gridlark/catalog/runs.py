@@ -17,6 +17,7 @@ from gridlark.plans.trips import trips
 from gridlark.sources.shared import materialize
 from gridlark.sources.tables import read_table
 from gridlark.streaming.scoring import request_stream, run_available
+from gridlark.streaming.trend import accumulate_trend, stored_trend
 
 NOW_SQL = "TIMESTAMP '1998-01-01 00:00:00'"
 
@@ -100,6 +101,24 @@ def stream_features(spark, d):
     return spark.read.parquet(output)
 
 
+@register(
+    "stream_trend",
+    f"""SELECT CAST(isodow(ts) - 1 AS VARCHAR) AS "group", count(value) AS "count", {r('avg(value)')} AS mean, {r('median(value)')} AS median,
+    {r('stddev_samp(value)')} AS std FROM events GROUP BY 1""",
+)
+def stream_trend(spark, d):
+    """Values by weekday over a stream of files that come one by one, the last after a restart."""
+    events = read_table(spark, d, "events").select("event_id", "ts", "value")
+    source, state = new_folder(spark, "events"), new_folder(spark, "trend")
+    for k in range(3):
+        # The last file holds rows as old as those of the first.
+        events.where(F.col("event_id") % 3 == k).write.mode("append").parquet(source)
+        if k:
+            stream = request_stream(spark, source, events.schema, files_per_trigger=1)
+            accumulate_trend(stream, "value", "ts", "weekday", state, f"{state}-checkpoint")
+    return round_all(stored_trend(spark, state, digits=None))
+
+
 @register(
     "stream_scores",
     f"""SELECT event_id, {r('my + b * (hour(ts) - mh)')} AS prediction FROM events,

@@ -13,7 +13,7 @@ FITTED = {
     "linear_regression", "ridge_regression", "lasso_regression", "model_round_trip", "score_requests", "stream_scores",
     "feature_matrix_profile", "fit_on_train_apply_to_test", "tree_predictions", "tree_training_metrics", "linear_importance",
     "tree_importance", "random_search_of_groups", "forest_of_combinations", "best_first_leaves", "lasso_search", "ridge_search_two_features",
-    "score_requests_all_features", "csv_quoted_breaks",
+    "score_requests_all_features", "csv_quoted_breaks", "stream_trend", "incremental_profile",
 }
 LAZY = sorted(set(QUERIES) - FITTED)
 
