@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridlark.operators.columns import numeric_columns, ref
-from gridlark.operators.ranking import before, ranked_values
+from gridlark.operators.ranking import before, coarse_bucket, fine_bucket, ranked_values, running
 
 METHODS = ("pearson", "spearman", "kendall")
 
@@ -77,20 +77,52 @@ def _ranks(points: DataFrame, axis: str) -> DataFrame:
     )
 
 
+def shared_ranks(placed: DataFrame, columns: int) -> DataFrame:
+    """``(place, value, ranks)``: for each value of a column its average rank among the rows that have the other column.
+
+    ``placed`` are :func:`pair_points` with the columns' places; ``ranks`` has one entry per
+    column. A column's values are counted and put in order once: the running counts for
+    every other column go over the same buckets.
+    """
+    weights = [f"w{j}" for j in range(columns)]
+    sides = F.array(*[
+        F.struct(F.col(f"place_{a}").alias("place"), F.col(a).alias("value"), F.col(f"place_{b}").alias("other"), "weight")
+        for a, b in (("x", "y"), ("y", "x"))
+    ])
+    beside = [F.sum(F.when(F.col("other") == j, F.col("weight")).otherwise(0)).alias(w) for j, w in enumerate(weights)]
+    counts = placed.select(F.inline(sides)).groupBy("place", "value").agg(*beside)
+    coarse = counts.withColumn("b1", coarse_bucket(F.col("value")))
+    path, parent, keys = ["place", "b1", "b2"], ["place", "b1"], ["place"]
+    totals = coarse.groupBy(*parent).agg(*[F.sum(w).alias(w) for w in weights])
+    totals = totals.select(*parent, *[running(w, keys, "b1").alias(f"{w}_1") for w in weights])
+    # Buckets of a known number of columns; their number is bounded.
+    parted = coarse.join(F.broadcast(totals), parent).withColumn("b2", fine_bucket(F.col("value"), F.col("b1")))
+    fine = parted.groupBy(*path).agg(*[F.sum(w).alias(w) for w in weights])
+    fine = fine.select(*path, *[running(w, parent, "b2").alias(f"{w}_2") for w in weights])
+    placed = parted.withColumns({f"{w}_3": running(w, path, "value") for w in weights}).join(fine, path)
+    ranks = [F.col(f"{w}_1") + F.col(f"{w}_2") + F.col(f"{w}_3") + (F.col(w) + 1) / 2.0 for w in weights]
+    return placed.select("place", "value", F.array(*ranks).alias("ranks"))
+
+
 def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation with average ranks, each pair ranked over its complete rows."""
     points = pair_points(df, columns)
-    ranked = points.join(_ranks(points, "x"), ["pair", "x"]).join(
-        _ranks(points, "y"), ["pair", "y"]
-    )
+    ids = F.split("pair", ":")
+    # Never null, so that the joins add no filter and both uses of the points are one plan.
+    places = {f"place_{axis}": F.coalesce(ids.getItem(k).cast("int"), F.lit(-1)) for k, axis in enumerate("xy")}
+    placed = points.withColumns(places)
+    ranks = shared_ranks(placed, len(columns))
+    for axis in ("x", "y"):
+        own = ranks.select(F.col("place").alias(f"place_{axis}"), F.col("value").alias(axis), F.col("ranks").alias(f"ranks_{axis}"))
+        placed = placed.join(own, [f"place_{axis}", axis])
     # Ranks of a pair have mean (n + 1) / 2; taking it off first avoids cancellation.
     totals = points.groupBy("pair").agg(F.sum("weight").alias("n"))
     middle = (F.col("n") + 1) / 2.0
-    centred = ranked.join(F.broadcast(totals), "pair").select(
+    centred = placed.join(F.broadcast(totals), "pair").select(
         "pair",
         "weight",
-        (F.col("before_x") + (F.col("ties_x") + 1) / 2.0 - middle).alias("u"),
-        (F.col("before_y") + (F.col("ties_y") + 1) / 2.0 - middle).alias("v"),
+        (F.element_at("ranks_x", F.col("place_y") + 1) - middle).alias("u"),
+        (F.element_at("ranks_y", F.col("place_x") + 1) - middle).alias("v"),
     )
     sums = centred.groupBy("pair").agg(
         F.sum(F.col("weight") * F.col("u") * F.col("v")).alias("uv"),
