@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlark.session import ensure_checkpoint_dir
+from gridlark.sources.versions import remove_folder
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,3 +33,16 @@ def materialize(df: DataFrame, spread: bool = False) -> DataFrame:
     folder = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return spark.read.parquet(folder)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table from :func:`materialize`, once nothing reads it any more.
+
+    Only folders that ``materialize`` has made in the shared folder are touched; any other
+    frame is left alone.
+    """
+    home = df.sparkSession._jvm.org.apache.hadoop.fs.Path(shared_folder(df.sparkSession)).toUri().getPath().rstrip("/")
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        parent, _, own = folder.rpartition("/")
+        if own.startswith("table-") and parent.endswith(home):
+            remove_folder(df.sparkSession, folder)
