@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlark.llm.common import fresh, read_table
-from gridlark.sources.shared import materialize
+from gridlark.sources.shared import discard, materialize
 
 SCALE = 1024
 PARTS = 4
@@ -155,15 +155,16 @@ def _cooked(column: pa.Array, kind, shape: tuple[int, ...]) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), *shape)
 
 
-def _round(rows: DataFrame, books: Books, width: int, started: bool) -> DataFrame:
+def _round(rows: DataFrame, books: Books, width: int, started: bool, last: bool = False) -> DataFrame:
     """One pass: rows with their codes, bounds and stamps, and each task's changes of sums and counts.
 
-    Sum rows have ``part, entry, added, sums`` and no ``embedding``; a row adds to the sums
-    only when its code changes, with a minus for the entry that it leaves.
+    Sum rows have ``part, entry, added, sums`` and no code; a row adds to the sums only
+    when its code changes, with a minus for the entry that it leaves. The last pass leaves
+    vectors, bounds and sums out.
     """
     shared = fresh(rows.sparkSession, books)
     id_type, label_type = (dict(rows.dtypes)[c] for c in ("vec_id", "label"))
-    schema = f"vec_id {id_type}, label {label_type}, embedding array<double>, code binary, bound binary, stamp binary, error long, part int, entry int, added long, sums array<long>"
+    schema = f"vec_id {id_type}, label {label_type}, embedding {dict(rows.dtypes)['embedding']}, code binary, bound binary, stamp binary, error long, part int, entry int, added long, sums array<long>"
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -186,7 +187,7 @@ def _round(rows: DataFrame, books: Books, width: int, started: bool) -> DataFram
                         _cooked(batch.column(5), np.uint8, (parts, books.groups)),
                     ]
                 code, bound, stamp, error, _ = books.assign(x, *state)
-                for p in range(parts):
+                for p in () if last else range(parts):
                     moved = np.flatnonzero(code[:, p] != state[0][:, p]) if started else np.arange(len(x))
                     np.add.at(sums[p], code[moved, p], x[moved, p])
                     added[p] += np.bincount(code[moved, p], minlength=entries)
@@ -194,7 +195,9 @@ def _round(rows: DataFrame, books: Books, width: int, started: bool) -> DataFram
                         before = state[0][moved, p].astype(np.int64)
                         np.subtract.at(sums[p], before, x[moved, p])
                         added[p] -= np.bincount(before, minlength=entries)
-                columns = [*batch.columns[:3], _raw(code.astype(np.uint8)), _raw(bound), _raw(stamp), pa.array(error.sum(axis=1))]
+                empty = [pa.nulls(len(x), arrow.field(k).type) for k in ("embedding", "bound", "stamp")]
+                vector, *state = empty if last else [batch.column(2), _raw(bound), _raw(stamp)]
+                columns = [*batch.columns[:2], vector, _raw(code.astype(np.uint8)), *state, pa.array(error.sum(axis=1))]
                 columns += [pa.nulls(len(x), f.type) for f in list(arrow)[7:]]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
         p, e = np.nonzero((added != 0) | (sums != 0).any(axis=2))
@@ -203,7 +206,7 @@ def _round(rows: DataFrame, books: Books, width: int, started: bool) -> DataFram
             columns += [pa.array(p, pa.int32()), pa.array(e, pa.int32()), pa.array(added[p, e]), pa.array(sums[p, e].tolist(), arrow.field("sums").type)]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    ready = rows.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"), *(["code", "bound", "stamp"] if started else []))
+    ready = rows.select("vec_id", "label", "embedding", *(["code", "bound", "stamp"] if started else []))
     return materialize(ready.mapInArrow(run, schema))
 
 
@@ -227,13 +230,15 @@ def encode(
     (above some 300 000 for 64 components). Repeated rows are coded one by one. No such
     rows give no rows and no codebooks.
 
-    A round reads the rows once and writes them with their bounds; the driver gets the first
-    ``entries`` rows and, each round, one row of sums per entry.
+    A round reads the rows once and writes them with their bounds, in place of the round
+    before; the driver gets the first ``entries`` rows and, each round, one row of sums per
+    entry.
     """
     if entries > 256:
         raise ValueError("a code is one byte a part: at most 256 entries")
     spark = vectors.sparkSession
-    rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
+    single = dict(vectors.dtypes)["embedding"] == "array<float>"
+    rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"))
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows_with = rows.where((F.size("embedding") > 0) & F.coalesce(usable, F.lit(False)) & (F.size("embedding") % parts == 0))
     order = [F.col("vec_id").asc_nulls_last(), F.col("embedding")]
@@ -250,7 +255,7 @@ def encode(
     count = np.zeros(history[0].shape[:2], dtype=object)
     total = np.zeros(history[0].shape, dtype=object)
     table = _round(kept, Books(history, group), width, False)
-    for _ in range(rounds):
+    for done in range(rounds):
         for row in _totals(table, width):
             count[row[0], row[1]] += int(row[2])
             total[row[0], row[1]] += np.array([int(x) for x in row[3:]], dtype=object)
@@ -258,7 +263,8 @@ def encode(
         for p, e in np.argwhere(count > 0):
             moved[p, e] = [int(s) // int(count[p, e]) for s in total[p, e]]
         history.append(moved)
-        table = _round(table.where("part IS NULL"), Books(history, group), width, True)
+        before, table = table, _round(table.where("part IS NULL"), Books(history, group), width, True, done == rounds - 1)
+        discard(before)
     return table.where("part IS NULL").select("vec_id", "label", "code", "error"), history[-1]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlark.sources.shared import materialize
+from gridlark.sources.shared import discard, materialize
 
 
 def _star_step(edges: DataFrame) -> DataFrame:
@@ -16,7 +16,9 @@ def _star_step(edges: DataFrame) -> DataFrame:
     large = materialize(large)
     lowest = large.groupBy("a").agg(F.min("b").alias("m"))
     rest = large.join(lowest, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return materialize(rest.union(lowest.select("a", F.col("m").alias("b"))).distinct())
+    out = materialize(rest.union(lowest.select("a", F.col("m").alias("b"))).distinct())
+    discard(large)
+    return out
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -37,5 +39,6 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = materialize(edges)
     while not _settled(edges):
-        edges = _star_step(edges)
+        before, edges = edges, _star_step(edges)
+        discard(before)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
