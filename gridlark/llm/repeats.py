@@ -313,14 +313,21 @@ def _context_lists(buckets: int, extra: int):
     return run
 
 
-def _neighbours(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
-    """Bytes that each suffix shares with the one before it in suffix order, at most ``DEPTH``; 0 for the first."""
-    shared = np.full(len(order), DEPTH, np.int64)
+def _neighbours(keys: list[np.ndarray], order: np.ndarray, least: int) -> np.ndarray:
+    """Bytes that each suffix shares with the one before it in suffix order, at most ``DEPTH``; 0 for the first.
+
+    Fewer than ``least`` may be given as 0.
+    """
+    shared = np.full(len(order), DEPTH, np.int32)
     for at, key in reversed(list(zip(_WORDS, keys))):
-        differs = key[order[1:]] ^ key[order[:-1]]
+        sorted_key = key[order]
+        if least >= DEPTH:
+            shared[1:][sorted_key[1:] != sorted_key[:-1]] = 0
+            continue
+        differs = sorted_key[1:] ^ sorted_key[:-1]
         places = np.flatnonzero(differs)
         # Whole bytes before the first differing one; a word's first byte is its highest.
-        equal = np.zeros(len(places), np.int64)
+        equal = np.zeros(len(places), np.int32)
         rest = differs[places]
         for width in (32, 16, 8):
             high = rest >> np.uint64(64 - width) == 0
@@ -331,8 +338,8 @@ def _neighbours(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
     return shared
 
 
-def _smaller_before(owner: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    """Bytes shared with the previous position of a smaller owner, 0 without one.
+def _smaller_before(owner: np.ndarray, shared: np.ndarray, least: int) -> np.ndarray:
+    """Bytes shared with the previous position of a smaller owner, 0 without one; fewer than ``least`` may be anything less.
 
     All positions look at once: between a position and the one it points to no owner is
     smaller than its own. If the one pointed to isn't smaller either, the pointer of that
@@ -340,10 +347,10 @@ def _smaller_before(owner: np.ndarray, shared: np.ndarray) -> np.ndarray:
     """
     at = np.arange(len(owner)) - 1
     length = shared.copy()
-    open_ = np.arange(1, len(owner))
+    open_ = np.flatnonzero(length >= max(least, 1))
     while True:
-        # A length of zero can't grow again.
-        open_ = open_[(at[open_] >= 0) & (length[open_] > 0)]
+        # A length that is too short can't grow again.
+        open_ = open_[(at[open_] >= 0) & (length[open_] >= max(least, 1))]
         open_ = open_[owner[at[open_]] >= owner[open_]]
         if not len(open_):
             break
@@ -358,9 +365,10 @@ def _smaller_before(owner: np.ndarray, shared: np.ndarray) -> np.ndarray:
 _WORDS = (*range(0, DEPTH - 8, 8), DEPTH - 8)
 
 
-def longest_previous_factors(text: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
+def longest_previous_factors(text: np.ndarray, starts: np.ndarray, owner: np.ndarray, least: int = 0) -> np.ndarray:
     """For each suffix of ``starts`` the longest match, up to ``DEPTH`` bytes, with one of a smaller owner.
 
+    Matches shorter than ``least`` aren't followed and may be given shorter than they are.
     The suffixes are put in suffix order to that depth. The longest match is with the
     nearest suffix of a smaller owner before or after: as long as the least of the lengths
     that neighbours share on the way there.
@@ -371,11 +379,11 @@ def longest_previous_factors(text: np.ndarray, starts: np.ndarray, owner: np.nda
         word = (word << np.uint64(8)) | padded[j : j + len(text)]
     keys = [word[starts + j] for j in _WORDS]
     order = np.lexsort((owner, *keys[::-1]))
-    shared = _neighbours(keys, order)
+    shared = _neighbours(keys, order, least)
     ranked = owner[order]
-    before = _smaller_before(ranked, shared)
+    before = _smaller_before(ranked, shared, least)
     # The same from the other end: what a suffix shares with the next one stands there with the next one.
-    after = _smaller_before(ranked[::-1], np.append(shared[1:], 0)[::-1])[::-1]
+    after = _smaller_before(ranked[::-1].copy(), np.append(shared[1:], 0)[::-1], least)[::-1]
     out = np.zeros(len(starts), np.int64)
     out[order] = np.maximum(before, after)
     return out
@@ -383,7 +391,7 @@ def longest_previous_factors(text: np.ndarray, starts: np.ndarray, owner: np.nda
 
 def earlier_matches(text: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Which of the suffixes at ``starts`` match ``DEPTH`` bytes of one with a smaller owner."""
-    return longest_previous_factors(text, starts, owner) >= DEPTH
+    return longest_previous_factors(text, starts, owner, DEPTH) >= DEPTH
 
 
 def _spread(counts: np.ndarray) -> np.ndarray:
