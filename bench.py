@@ -19,7 +19,7 @@ HEADLINE = (
     "fix_invalid_values", "describe_numeric", "describe_text", "dataset_info", "distribution", "category_frequency",
     "correlation_matrix", "spearman_pairs", "histogram", "box_statistics", "density", "route_features",
     "derive_features", "exact_split", "one_hot_fit", "label_encode", "scale_standard", "scale_robust",
-    "model_metrics", "comparison_table", "linear_regression", "cross_validation", "training_metrics", "score_requests",
+    "model_metrics", "comparison_table", "linear_regression", "cross_validation", "feature_importance", "score_requests",
     "stream_features", "promotion_gate",
 )
 
