@@ -11,16 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Kinds of pieces: a whole record, the end of one begun before, the start of one that goes on.
-WHOLE, HEAD, TAIL = range(3)
-PIECES = "file string, block long, kind int, closed boolean, text string"
+# Kinds of pieces: a whole record, the end of one begun before, the start of one that goes on,
+# and the start of a header that does.
+WHOLE, HEAD, TAIL, TITLE = range(4)
+PIECES = "file string, block long, kind int, text string"
 
 
 def quoted_records(spark: SparkSession, path: str) -> DataFrame:
@@ -44,10 +44,12 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
     ends = pieces.where(F.col("kind") != WHOLE)
     # A range's head comes before its tail; a tail opens a record, heads go on with it.
     order = W.partitionBy("file").orderBy("block", "kind").rowsBetween(W.unboundedPreceding, 0)
-    numbered = ends.withColumn("number", F.sum((F.col("kind") == TAIL).cast("int")).over(order))
+    numbered = ends.withColumn("number", F.sum((F.col("kind") >= TAIL).cast("int")).over(order))
     parts = F.array_sort(F.collect_list(F.struct("block", "kind", "text")))
-    joined = numbered.where("number > 0").groupBy("file", "number").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("record"))
-    return whole.unionByName(joined.select("record"))
+    joined = numbered.where("number > 0").groupBy("file", "number").agg(
+        F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("record"), F.max("kind").alias("kind")
+    )
+    return whole.unionByName(joined.where(F.col("kind") == TAIL).select("record"))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,39 +57,34 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     where: tuple[str, int] | None = None
     waiting: list[str] = []
     inside = continued = header = False
-    out: dict[str, list] = {k: [] for k in ("file", "block", "kind", "closed", "text")}
+    out: dict[str, list] = {k: [] for k in ("file", "block", "kind", "text")}
 
-    def put(kind: int, closed: bool, text: str) -> None:
-        for k, v in zip(out, (*where, kind, closed, text)):
+    def put(kind: int, text: str) -> None:
+        for k, v in zip(out, (*where, kind, text)):
             out[k].append(v)
 
     def close() -> None:
         """A range ends: what is open is a fragment."""
         if where is not None and (waiting or continued):
-            put(HEAD if continued else TAIL, False, "\n".join(waiting))
+            put(HEAD if continued else TITLE if header else TAIL, "\n".join(waiting))
 
     def flush() -> pa.RecordBatch:
-        kinds = (pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.string())
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.string())
         batch = pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
         for v in out.values():
             v.clear()
         return batch
 
     for batch in batches:
-        files, blocks, begins, values = (c for c in batch.columns)
-        odd = (pc.count_substring(values, '"').to_numpy(zero_copy_only=False) % 2).astype(bool)
-        texts = values.to_pylist()
-        names, starts = files.to_pylist(), blocks.to_numpy()
-        cuts = [i for i in range(len(texts)) if where is None and i == 0 or i and (starts[i] != starts[i - 1] or names[i] != names[i - 1])]
-        if where is not None and len(texts) and where != (names[0], int(starts[0])):
-            cuts.insert(0, 0)
-        cuts = set(cuts)
-        for i, (text, flips) in enumerate(zip(texts, odd.tolist())):
-            if i in cuts:
+        files, blocks, begins, values = batch.columns
+        odd = (pc.count_substring(values, '"').to_numpy(zero_copy_only=False) % 2).astype(bool).tolist()
+        rows = zip(files.to_pylist(), blocks.to_pylist(), begins.to_pylist(), values.to_pylist(), odd)
+        for name, block, begins_inside, text, flips in rows:
+            if where != (name, block):
                 close()
-                where, waiting = (names[i], int(starts[i])), []
-                inside = continued = bool(begins[i].as_py())
-                header = where[1] == 0
+                where, waiting = (name, block), []
+                inside = continued = begins_inside
+                header = block == 0
             waiting.append(text)
             inside ^= flips
             if inside:
@@ -95,12 +92,12 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             record = "\n".join(waiting).removesuffix("\r")
             waiting = []
             if continued:
-                put(HEAD, True, record)
+                put(HEAD, record)
                 continued = False
             elif header:
                 header = False
             elif record:
-                put(WHOLE, True, record)
+                put(WHOLE, record)
         if out["text"]:
             yield flush()
     close()

@@ -61,6 +61,13 @@ def test_a_record_over_many_ranges(spark, ranges, tmp_path):
     assert rows == {1.0: long, 2.0: "x", 3.0: long + "end"}
 
 
+def test_a_header_over_many_ranges(spark, ranges, tmp_path):
+    name = "a long name\n" * 60
+    with open(tmp_path / "a.csv", "w", newline="") as out:
+        csv.writer(out, lineterminator="\n").writerows([["a", name], ["1", "x\ny"], ["2", "z"]])
+    assert sorted(r[0].partition(",")[0] for r in quoted_records(spark, str(tmp_path)).collect()) == ["1", "2"]
+
+
 def test_empty_header_only_and_unended(spark, tmp_path):
     for name, text, rows in (("e.csv", "", 0), ("h.csv", 'a,"b\nc"\n', 0), ("u.csv", 'a,b\n1,"x\ny"', 1), ("blank.csv", "a,b\n\n1,2\n\n\n", 1)):
         (tmp_path / name).write_text(text)
