@@ -102,11 +102,17 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def fit(counts: np.ndarray, labels: np.ndarray) -> dict:
     """Weights, latent axes and labelled latent vectors of a sample of term counts."""
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    x = weighted(counts, idf)
+    blocks = range(0, len(counts), BLOCK)
+    gram = np.zeros((counts.shape[1], counts.shape[1]), np.float32)
+    for i in blocks:
+        x = weighted(counts[i : i + BLOCK], idf)
+        gram += x.T @ x
     # Axes by the eigenvectors of the small Gram matrix of terms.
-    _, axes = np.linalg.eigh(x.T @ x)
-    axes = np.ascontiguousarray(axes[:, ::-1][:, :LATENT], dtype=np.float32)
-    return {"idf": idf, "axes": axes, "vectors": _unit(x @ axes), "labels": labels.astype(np.float32), "prior": float(labels.mean()) if len(labels) else 0.5}
+    axes = np.linalg.eigh(gram)[1][:, ::-1]
+    del gram
+    axes = np.ascontiguousarray(axes[:, :LATENT], dtype=np.float32)
+    vectors = [_unit(weighted(counts[i : i + BLOCK], idf) @ axes) for i in blocks]
+    return {"idf": idf, "axes": axes, "vectors": np.concatenate(vectors) if vectors else np.zeros((0, LATENT), np.float32), "labels": labels.astype(np.float32), "prior": float(labels.mean()) if len(labels) else 0.5}
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
