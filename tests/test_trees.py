@@ -188,3 +188,25 @@ def test_equal_labels_constants_and_no_rows(spark, ready):
     assert none.transform(ready.limit(0)).count() == 0
     one = spark.createDataFrame([(Vectors.dense([1.0]), 2.0)], ["features", "label"])
     assert M.random_forest(2, None, bootstrap=False).fit(one).transform(one).first()["prediction"] == 2.0
+
+
+def test_rows_of_final_leaves_are_not_brought_together(ready):
+    """A large leaf that isn't split further has its value from its histogram."""
+    bins, table = T.Binned(ready.select("features", "label")).rows(255)
+    for depth in (0, 2):
+        (top,), (final,) = T._tops(table, bins, [T.Bag(1, False, T.Rules(depth))], [(0, 0)], N, 30)
+        assert final == set(np.flatnonzero(top.cut < 0).tolist())
+    model = M.decision_tree(2, small=30).fit(ready)
+    np.testing.assert_allclose(predictions(model, ready), plain_tree(X, Y, 2), rtol=1e-9)
+
+
+@pytest.mark.parametrize("depth,split,leaf", [(None, 2, 1), (3, 2, 1), (None, 60, 25)])
+def test_rows_of_equal_bins_count_as_many(spark, depth, split, leaf):
+    """Fourteen kinds of rows in place of 500 give the trees of all rows."""
+    df = spark.createDataFrame(pd.DataFrame(X[:, :2], columns=["a", "b"]).assign(label=Y, key=range(N)))
+    few = M.assembler(["a", "b"]).transform(df).repartition(3, "key").cache()
+    assert T.Binned(few.select("features", "label")).merged(255, 40).count() == len(np.unique(X[:, :2], axis=0))
+    model = M.decision_tree(depth, minSamplesSplit=split, minSamplesLeaf=leaf, small=40).fit(few)
+    np.testing.assert_allclose(predictions(model, few), plain_tree(X[:, :2], Y, depth, split, leaf), rtol=1e-9)
+    for make in (lambda **p: M.boosted_trees(5, 3, **p), lambda **p: M.boosted_leaves(5, 6, **p)):
+        np.testing.assert_allclose(predictions(make(small=40).fit(few), few), predictions(make().fit(few), few), rtol=1e-9)
