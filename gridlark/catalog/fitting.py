@@ -130,8 +130,7 @@ def one_hot_vectors(spark, d):
     dictionary = materialize(E.label_dictionary(rows, ["airline"]))
     model = E.fit_one_hot_vectors(dictionary, "airline")
     encoded = E.one_hot_vectors(rows, "airline", dictionary, model, "vector")
-    place = F.array_position(vector_to_array("vector"), F.lit(1.0)) - 1
-    return encoded.groupBy("airline", F.when(place >= 0, place).cast("int").alias("position")).agg(F.count("*").alias("n"))
+    return encoded.groupBy("airline", E.position("vector").alias("position")).agg(F.count("*").alias("n"))
 
 
 SCALED = ("days_before", "duration_hrs", "total_fare")

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from gridlark.operators import encoding as E
@@ -159,3 +160,9 @@ def test_thousands_of_categories_train_and_score(spark):
 def test_missing_state_is_an_error(spark, tmp_path):
     with pytest.raises(Exception):
         load_state(spark, str(tmp_path / "nothing"))
+
+
+def test_position_of_an_indicator_needs_no_dense_vector(spark):
+    rows = [(0, Vectors.sparse(1 << 30, [5], [1.0])), (1, Vectors.sparse(1 << 30, [], [])), (2, Vectors.sparse(3, [0], [1.0]))]
+    found = spark.createDataFrame(rows, ["k", "v"]).select("k", E.position("v").alias("p"))
+    assert [r["p"] for r in found.orderBy("k").collect()] == [5, None, 0]
