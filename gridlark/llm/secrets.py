@@ -9,8 +9,8 @@ No feature is a pattern. Every sampled document is also seen broken: keywords, s
 prefixes and letter case are changed so that no pattern fits, while the labels stay, so
 that shape and neighbours have to carry the tags.
 
-A secret begins or goes on within two tokens of one with a digit or one of ``=_:/+``. This
-is a hard constraint of the tags: other tokens are outside and aren't computed.
+Every token of a text is tagged. A token's score is a sum over its own features, its
+neighbours' and the file's, so the parts of equal tokens are taken once a batch.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_left
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,6 @@ OUTSIDE, BEGIN, INSIDE = range(3)
 SAMPLE_DOCS = 6_000
 SAMPLE_SEGMENTS = 3_000
 SEGMENT = 16
-REACH = 2
 WEIGHTS = 1 << 12
 EPOCHS = 25
 BATCH = 128
@@ -68,53 +68,18 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
 
 
 def segments(text: str | None) -> list[list[tuple[int, int]]]:
-    """Runs of tokens ``(start, end)`` around the marked ones, at most ``SEGMENT`` tokens each."""
-    if not text:
-        return []
-    out: list[list[tuple[int, int]]] = []
-    done = 0  # what lies before is in a segment
-    for m in _MARK.finditer(text):
-        if m.start() < done:
-            continue
-        # The marked token, and up to REACH tokens before and after it.
-        start = m.start()
-        while start > 0 and not text[start - 1].isspace():
-            start -= 1
-        before = _before(text, start, done)
-        run = before + [t.span() for t in _some(text, start, REACH + 1)]
-        joined = out and run[0][0] <= out[-1][-1][1] + 1 and len(out[-1]) + len(run) <= SEGMENT
-        if joined:
-            out[-1] += [t for t in run if t[0] >= done]
-        else:
-            out.append(run)
-        done = out[-1][-1][1]
-    return out
-
+    """All tokens ``(start, end)`` in runs of at most ``SEGMENT``."""
+    spans = [m.span() for m in _TOKEN.finditer(text or "")]
+    cuts = _cuts([not _MARK.search(text, a, b) for a, b in spans])
+    return [spans[a:b] for a, b in zip(cuts, cuts[1:])]
 
-def _some(text: str, start: int, n: int):
-    for m in _TOKEN.finditer(text, start):
-        yield m
-        n -= 1
-        if not n:
-            return
 
-
-def _before(text: str, start: int, floor: int) -> list[tuple[int, int]]:
-    """Up to ``REACH`` tokens that end before ``start`` and begin at ``floor`` or later."""
-    found: list[tuple[int, int]] = []
-    at = start
-    while len(found) < REACH:
-        end = at
-        while end > floor and text[end - 1].isspace():
-            end -= 1
-        begin = end
-        while begin > floor and not text[begin - 1].isspace():
-            begin -= 1
-        if begin == end:
-            break
-        found.append((begin, end))
-        at = begin
-    return found[::-1]
+def _cuts(plain: list[bool]) -> list[int]:
+    """Where runs begin, and the end: in a run's second half between two plain tokens, if there are such, so that secrets stay whole."""
+    out = [0]
+    while len(plain) - (at := out[-1]) > SEGMENT:
+        out.append(at + next((k for k in range(SEGMENT, SEGMENT // 2, -1) if plain[at + k - 1] and plain[at + k]), SEGMENT))
+    return [*out, len(plain)] if plain else out
 
 
 _KINDS = ((re.compile("[a-z]+"), "a"), (re.compile("[A-Z]+"), "A"), (re.compile("[0-9]+"), "0"), (re.compile("[^\\x00-\\x7F]+"), "u"))
@@ -131,13 +96,13 @@ def _shape(token: str) -> str:
     return _REPEATED.sub(r"\1", token)
 
 
-def _own(token: str) -> list[str]:
-    size, key, shape = max(1, len(token)), _KEYWORD.search(token), _shape(token)
+def _own(token: str, key: str) -> list[str]:
+    size, shape = max(1, len(token)), _shape(token)
     share = {n: 8 * len(p.findall(token)) // size for n, p in (("digits", _DIGIT), ("upper", _UPPER), ("signs", _SIGN))}
     longest = max(map(len, _SIGN.split(token)))
     return [
         f"shape={shape}", f"size={min(len(token).bit_length(), 8)}", f"digits={share['digits']}", f"upper={share['upper']},{share['signs']}",
-        f"key={key[0].lower() if key else ''}", f"switches={min(len(shape), 24) // 2},{min(longest, 40) // 4}",
+        f"key={key}", f"switches={min(len(shape), 24) // 2},{min(longest, 40) // 4}",
         f"value={'=' in token or ':' in token}{longest >= 12}", f"run={min(longest, 32) // 2}",
     ]
 
@@ -151,18 +116,40 @@ def file_marks(text: str) -> list[str]:
 FEATURES = 8 + 2 * 3 + 2 + 1
 
 
-def features(text: str, run: list[tuple[int, int]], marks: list[str]) -> np.ndarray:
-    """Hashed places of each token's features; place 0 is padding."""
-    tokens = [text[a:b] for a, b in run]
+def _hashed(names: list[str]) -> list[int]:
+    return [1 + zlib.crc32(n.encode()) % (WEIGHTS - 1) for n in names]
+
+
+# A token with its letters and digits by kind, its keyword and its last character: its features follow from these.
+_BY_KIND = str.maketrans({**{c: "a" for c in "abcdefghijklmnopqrstuvwxyz"}, **{c: "A" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}, **{c: "0" for c in "0123456789"}})
+
+
+def signature(token: str) -> tuple[str, str, str]:
+    key = _KEYWORD.search(token)
+    return token.translate(_BY_KIND), key[0].lower() if key else "", token[-1:]
+
+
+def places(token: tuple[str, str, str]) -> tuple[list[int], list[int], list[int]]:
+    """Hashed places of a signature's features: its own, as the token to the left, as the one to the right."""
+    kinds, key, end = token
+    sides = ([f"{side}size={min(len(kinds).bit_length(), 6)}", f"{side}key={key}", f"{side}end={end}"] for side in "lr")
+    return _hashed(_own(kinds, key)), *map(_hashed, sides)
+
+
+_cached_places = lru_cache(maxsize=1 << 14)(places)
+
+
+def file_places(marks: list[str]) -> list[int]:
+    return _hashed([*marks, "bias"])
+
+
+def features(text: str, run: list[tuple[int, int]], marks: list[str], before: str = "", after: str = "") -> np.ndarray:
+    """Hashed places of each token's features; place 0 is padding. ``before`` and ``after`` are the run's neighbours."""
+    tokens = [_cached_places(signature(t)) for t in (before, *(text[a:b] for a, b in run), after)]
     out = np.zeros((SEGMENT, FEATURES), np.int64)
-    for i, token in enumerate(tokens):
-        names = _own(token)
-        for side, j in (("l", i - 1), ("r", i + 1)):
-            near = tokens[j] if 0 <= j < len(tokens) else ""
-            key = _KEYWORD.search(near)
-            names += [f"{side}size={min(len(near).bit_length(), 6)}", f"{side}key={key[0].lower() if key else ''}", f"{side}end={near[-1:]}"]
-        names += [*marks, "bias"]
-        out[i] = [1 + zlib.crc32(n.encode()) % (WEIGHTS - 1) for n in names]
+    of_file = file_places(marks)
+    for i in range(len(run)):
+        out[i] = [*tokens[i + 1][0], *tokens[i][1], *tokens[i + 2][2], *of_file]
     return out
 
 
@@ -185,11 +172,11 @@ class Tagger:
                 adam.step({"weights": by, "moves": by_move + RIDGE * self.p["moves"]})
         return self
 
-    def decode(self, x: np.ndarray) -> np.ndarray:
-        """Tags by Viterbi; inside never follows outside, nor starts a segment."""
+    def decode(self, scores: np.ndarray) -> np.ndarray:
+        """Tags by Viterbi from emissions; inside never follows outside, nor starts a segment."""
         moves = self.p["moves"].copy()
         moves[OUTSIDE, INSIDE] = -1e9
-        scores = self.emissions(x)
+        scores = scores.copy()
         scores[:, :, OUTSIDE] += CAUTION
         scores[:, 0, INSIDE] = -1e9
         return viterbi(scores, moves)
@@ -282,9 +269,11 @@ def labelled(picks: list, texts: list[str | None]) -> dict[str, list]:
         for is_broken, form, spans in forms:
             runs = segments(form)
             marks = file_marks(form) if runs else []
-            for run in runs:
+            for i, run in enumerate(runs):
                 tags = truth(run, spans)
-                for k, v in zip(out, (key, run[0][0], is_broken, bool(tags.any()), features(form, run, marks).astype("<u2").tobytes(), tags.astype(np.uint8).tobytes())):
+                before = form[slice(*runs[i - 1][-1])] if i else ""
+                after = form[slice(*runs[i + 1][0])] if i + 1 < len(runs) else ""
+                for k, v in zip(out, (key, run[0][0], is_broken, bool(tags.any()), features(form, run, marks, before, after).astype("<u2").tobytes(), tags.astype(np.uint8).tobytes())):
                     out[k].append(v)
     return out
 
@@ -299,27 +288,93 @@ def model_spans(run: list[tuple[int, int]], tags: np.ndarray) -> list[tuple[str,
     return out
 
 
+class _Scores:
+    """Emissions of runs of tokens, from parts that tokens of one signature share."""
+
+    def __init__(self, tagger: Tagger) -> None:
+        self.weights = tagger.p["weights"]
+        self.clear()
+
+    def clear(self) -> None:
+        self.at: dict[str, int] = {}
+        self.signatures: dict[tuple[str, str, str], int] = {}
+        # By signature: emissions of its own features, as the token to the left, as the one to the right; whether it has no mark.
+        self.parts = np.zeros((1 << 12, 3, 3))
+        self.plain = np.zeros(1 << 12, dtype=bool)
+
+    def numbers(self, tokens: list[str]) -> np.ndarray:
+        """The place of each token's signature."""
+        if len(self.at) > 1 << 17:
+            self.at.clear()
+        at, known = self.at, self.signatures
+        for token in dict.fromkeys(tokens):
+            if token not in at:
+                found = signature(token)
+                if found not in known:
+                    self._learn(found)
+                at[token] = known[found]
+        return np.fromiter(map(at.__getitem__, tokens), np.int64, len(tokens))
+
+    def _learn(self, found: tuple[str, str, str]) -> None:
+        k = self.signatures[found] = len(self.signatures)
+        if k == len(self.parts):
+            self.parts, self.plain = (np.concatenate([x, np.zeros_like(x)]) for x in (self.parts, self.plain))
+        for side, at in enumerate(places(found)):
+            self.parts[k, side] = self.weights[at].sum(axis=0)
+        self.plain[k] = not _MARK.search(found[0])
+
+    def of_file(self, text: str) -> np.ndarray:
+        return self.weights[file_places(file_marks(text))].sum(axis=0)
+
+    def emissions(self, ids: np.ndarray, sizes: np.ndarray, of_files: np.ndarray) -> np.ndarray:
+        """Of runs as rows of signatures, with the tokens before and after; as ``Tagger.emissions`` of their features."""
+        out = self.parts[ids[:, 1:-1], 0] + self.parts[ids[:, :-2], 1] + self.parts[ids[:, 2:], 2] + of_files[:, None, :]
+        out[np.arange(SEGMENT) >= sizes[:, None]] = FEATURES * self.weights[0]
+        return out
+
+
 def scan_texts(texts: list[str | None], tagger: Tagger | None) -> tuple[list[list], list[list]]:
     """The patterns' spans, and all spans, of each text."""
     base = [base_spans(t) for t in texts]
     if tagger is None:
         return base, [list(b) for b in base]
     spans: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    waiting: list[tuple[int, list[tuple[int, int]], np.ndarray]] = []
+    scores = _Scores(tagger)
+    # Of each run: its text, its first token, its size, its row of signatures and its file's emissions.
+    waiting: list[tuple[np.ndarray, ...]] = []
 
     def flush() -> None:
-        if waiting:
-            for (i, run, _), tags in zip(waiting, tagger.decode(np.stack([w[2] for w in waiting]))):
-                spans[i] += model_spans(run, tags)
-            waiting.clear()
-
+        if not waiting:
+            return
+        text, start, size, ids, of_files = (np.concatenate(x) for x in zip(*waiting))
+        waiting.clear()
+        tags = tagger.decode(scores.emissions(ids, size, of_files))
+        last, places_in = -1, []
+        for k in np.flatnonzero((tags != OUTSIDE).any(axis=1)).tolist():
+            if text[k] != last:
+                last = int(text[k])
+                places_in = [m.span() for m in _TOKEN.finditer(texts[last])]
+            spans[last] += model_spans(places_in[start[k] : start[k] + size[k]], tags[k])
+        if len(scores.signatures) > 1 << 17:
+            scores.clear()
+
+    held = 0
     for i, text in enumerate(texts):
-        runs = segments(text)
-        marks = file_marks(text) if runs else []
-        for run in runs:
-            waiting.append((i, run, features(text, run, marks)))
-            if len(waiting) >= 4096:
-                flush()
+        tokens = text.split() if text else []
+        if not tokens:
+            continue
+        ids = scores.numbers(["", *tokens, ""])
+        cuts = np.array(_cuts(scores.plain[ids[1:-1]].tolist()))
+        of_file = scores.of_file(text)
+        for lo in range(0, len(cuts) - 1, 4096):
+            start, size = cuts[lo : lo + 4097][:-1], np.diff(cuts[lo : lo + 4097])
+            rows = ids[np.minimum(start[:, None] + np.arange(SEGMENT + 2), len(ids) - 1)]
+            waiting.append((np.full(len(start), i), start, size, rows, np.broadcast_to(of_file, (len(start), 3))))
+            held += len(start)
+        # A text's signatures stay until its runs are tagged.
+        if held >= 4096:
+            flush()
+            held = 0
     flush()
     return base, [b + apart(s, b) for b, s in zip(base, spans)]
 
@@ -328,7 +383,7 @@ def find(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     """Counts and digest of the patterns' spans, and all spans, of every document.
 
     Null and empty texts have no spans. A model's span that overlaps a pattern's is left out.
-    A very long text is scanned in segments, a bounded number of them at a time.
+    Every token is tagged, in runs.
     """
     shared = fresh(docs.sparkSession, tagger)
 

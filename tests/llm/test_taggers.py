@@ -94,3 +94,22 @@ def test_spans_apart_by_one_sweep():
         run = [(i, i + 3) for i in range(0, 48, 3)]
         tags = secrets.truth(run, secrets.united(base))
         assert [bool(t) for t in tags] == [any(a < e and s < b for _, s, e in base) for a, b in run]
+
+
+def test_every_token_is_tagged():
+    """Also in texts without a digit or sign; tokens' shared parts give the scores of their features."""
+    rng = np.random.default_rng(8)
+    tagger = secrets.Tagger()
+    tagger.p = {"weights": rng.normal(size=(secrets.WEIGHTS, 3)), "moves": rng.normal(size=(3, 3))}
+    tagger.p["weights"][:, 0] -= 0.3
+    words = [*WORDS, "Password", "hunter", "qWz", "naïve", "key=ab1", "x-9", "é\x1fé"]
+    for text in (" ".join(rng.choice(WORDS, 40)), *(" ".join(rng.choice(words, n)) for n in (1, 15, 16, 17, 70))):
+        runs = secrets.segments(text)
+        assert [t for r in runs for t in r] == [m.span() for m in secrets._TOKEN.finditer(text)]
+        found, of_tokens = [], [[text[a:b] for a, b in r] for r in runs]
+        for i, run in enumerate(runs):
+            before, after = of_tokens[i - 1][-1] if i else "", of_tokens[i + 1][0] if i + 1 < len(runs) else ""
+            x = secrets.features(text, run, secrets.file_marks(text), before, after)
+            found += secrets.model_spans(run, tagger.decode(tagger.emissions(x[None]))[0])
+        base, everything = (x[0] for x in secrets.scan_texts([text], tagger))
+        assert found and everything == base + secrets.apart(found, base)
