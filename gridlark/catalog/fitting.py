@@ -145,7 +145,8 @@ def _scaled_sql(center: str, divisor: str) -> str:
 
 
 def _scaled(spark, d, method):
-    rows = trips(spark, d).select(*KEYS, *SCALED, F.lit(7.0).alias("constant"))
+    # Learning and applying read the rows one after the other: the join is made once.
+    rows = materialize(trips(spark, d).select(*KEYS, *SCALED)).withColumn("constant", F.lit(7.0))
     return round_all(S.apply_scaler(rows, S.fit_scaler(rows, [*SCALED, "constant", "absent"], method)), 6)
 
 

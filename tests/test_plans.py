@@ -75,3 +75,26 @@ def test_bucket_numbers_are_bounded(spark):
     df = spark.createDataFrame([(v,) for v in values], "value double")
     got = [r[0] for r in df.select(R.coarse_bucket(df["value"])).collect()]
     assert max(abs(b) for b in got) <= 1 << 21 and got[0] == 0 and got[5] < got[2] < 0 < got[3] < got[1] < got[4]
+
+
+def test_lines_are_not_moved_for_the_customers(spark, small):
+    from gridlark.plans.trips import trips
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(trips(spark, small)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    scan = next(i for i, line in enumerate(text) if "FileScan" in line and "l_shipdate" in line)
+    depth, moves = len(text[scan]) - len(text[scan].lstrip(" :+-")), 0
+    for line in reversed(text[:scan]):
+        own = len(line) - len(line.lstrip(" :+-"))
+        if own < depth:
+            depth, moves = own, moves + ("Exchange" in line)
+    assert moves == 3
+
+
+@pytest.mark.parametrize("name", ["scale_standard", "scale_minmax", "scale_robust"])
+def test_rows_are_joined_once(spark, small, name):
+    assert "Join" not in plan(QUERIES[name](spark, small))
