@@ -52,7 +52,8 @@ def requests(spark, d):
 )
 def score_requests(spark, d):
     """A linear model on the trip's length, fitted on scaled rows and applied to requests."""
-    columns = trips(spark, d).select(*KEYS, "departure_ts", "arrival_ts", "total_fare")
+    # Scaling, fitting and scoring read the rows one after the other: the join is made once.
+    columns = materialize(trips(spark, d).select(*KEYS, "departure_ts", "arrival_ts", "total_fare"))
     trained = request_columns(columns, now()).select("duration_hrs", F.col("total_fare").alias("label"))
     state = fit_features(trained)
     model = M.train(apply_features(trained, state, ["label"]), state.features, {"m": M.linear()})["m"]
