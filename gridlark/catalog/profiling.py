@@ -15,6 +15,7 @@ from gridlark.operators.insights import insights
 from gridlark.operators.lookup import in_top_categories
 from gridlark.operators.ranking import approximate_quantiles
 from gridlark.plans.trips import trips
+from gridlark.sources.shared import materialize
 from gridlark.sources.tables import read_table
 
 # All columns of the trips, and a boolean one.
@@ -108,7 +109,8 @@ _NUMBER_FIELDS = ("mean", "std", "min", "q25", "median", "q75", "max")
     ),
 )
 def basic_statistics(spark, d):
-    return round_all(P.basic_statistics(everything(spark, d)))
+    # Numbers, dates and texts are read one after the other: the join is made once.
+    return round_all(P.basic_statistics(materialize(everything(spark, d))))
 
 
 _DISTINCT = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS \"unique\" FROM everything" for c in COLUMNS)
@@ -131,7 +133,7 @@ def distinct_counts(spark, d):
     ),
 )
 def descriptive_statistics(spark, d):
-    return round_all(P.descriptive_statistics(everything(spark, d)))
+    return round_all(P.descriptive_statistics(materialize(everything(spark, d))))
 
 
 STATE_NUMBERS = ("l_orderkey", "l_quantity", "l_extendedprice", "l_discount")
