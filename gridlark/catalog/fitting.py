@@ -214,6 +214,8 @@ def feature_matrix_profile(spark, d):
     """All features of all trips: scaled columns have mean 0 and deviation 1."""
     rows = derive_features(trips(spark, d, located=True).drop(*KEYS, "src_lat", "src_lon", "dst_lat", "dst_lon"))
     rows = rows.withColumnRenamed("total_fare", "label").na.fill(0.0, ["duration_hrs"])
+    # Codes, scaling and vectors read the derived rows one after the other: joined and derived once.
+    rows = materialize(rows)
     state = fit_vectors(rows)
     facts = apply_vectors(rows, state).select(Summarizer.metrics("count", "mean", "variance").summary(F.col("vector")).alias("s"))
     means = F.slice(vector_to_array("s.mean"), 1, len(state.scaler))

@@ -98,3 +98,9 @@ def test_lines_are_not_moved_for_the_customers(spark, small):
 @pytest.mark.parametrize("name", ["scale_standard", "scale_minmax", "scale_robust"])
 def test_rows_are_joined_once(spark, small, name):
     assert "Join" not in plan(QUERIES[name](spark, small))
+
+
+def test_features_are_derived_once(spark, small):
+    # What is left are the joins with the dictionary of each of the eight text columns.
+    text = plan(QUERIES["feature_matrix_profile"](spark, small))
+    assert text.count("Join") == 8 and "l_shipdate" not in text and "ASIN" not in text
