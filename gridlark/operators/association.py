@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridlark.operators.columns import numeric_columns, ref
 from gridlark.operators.ranking import before, coarse_bucket, fine_bucket, ranked_values, running
+from gridlark.sources.shared import materialize
 
 METHODS = ("pearson", "spearman", "kendall")
 
@@ -146,6 +147,8 @@ def _named(by_pair: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # Rows of one y-block of the ordered count below; a block is one window partition.
 BLOCK = 65536
+# Points that one task spreads over their bits.
+POINTS_A_TASK = 40_000
 
 
 def kendall_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -160,9 +163,12 @@ def kendall_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     points = pair_points(df, columns)
     x_ranks, y_ranks = _ranks(points, "x"), _ranks(points, "y")
-    ranked = points.join(x_ranks.select("pair", "x", "rank_x"), ["pair", "x"]).join(
+    ranked = materialize(points.join(x_ranks.select("pair", "x", "rank_x"), ["pair", "x"]).join(
         y_ranks.select("pair", "y", "rank_y"), ["pair", "y"]
-    )
+    ).select("pair", "rank_x", "rank_y", "weight"))
+    # A point becomes a row per bit, and points near in x meet in the bits' families: parts by
+    # their number and in order of x bound what a task holds.
+    ranked = ranked.repartitionByRange(max(1, -(-ranked.count() // POINTS_A_TASK)), "pair", "rank_x", "rank_y")
     bits = F.sequence(F.lit(0), F.lit(62))
     top = F.broadcast(x_ranks.groupBy("pair").agg(F.max("rank_x").alias("top")))
     # Bits above the largest rank decide nothing.

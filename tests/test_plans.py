@@ -104,3 +104,14 @@ def test_features_are_derived_once(spark, small):
     # What is left are the joins with the dictionary of each of the eight text columns.
     text = plan(QUERIES["feature_matrix_profile"](spark, small))
     assert text.count("Join") == 8 and "l_shipdate" not in text and "ASIN" not in text
+
+
+def test_points_of_kendall_are_dealt_by_their_number(spark, small, monkeypatch):
+    from gridlark.operators import association as A
+
+    rows = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id * 7 % 1000 AS DOUBLE) AS b")
+    whole = A.kendall_pairs(rows, ["a", "b"]).first()["r"]
+    monkeypatch.setattr(A, "POINTS_A_TASK", 30)
+    found = A.kendall_pairs(rows, ["a", "b"])
+    assert re.search(r"rangepartitioning\([^)]*, 34\), REPARTITION_BY_NUM", plan(found))
+    assert found.first()["r"] == whole
