@@ -20,6 +20,7 @@ from gridlark.operators import regression as M
 from gridlark.operators.ranking import approximate_quantiles
 from gridlark.operators.splitting import hash_folds, with_split
 from gridlark.plans.trips import trips
+from gridlark.sources.shared import materialize
 from gridlark.sources.tables import read_table
 
 # Few rounds: what is left of a residual after them shows in the result.
@@ -187,14 +188,19 @@ def random_search_of_groups(spark, d):
     )
 
 
+GROUPS_A_TASK = 500_000
+
+
 @register(
     "default_split_facts",
     on_trips(f"SELECT count(*) AS n, count(DISTINCT ({KEYS_SQL}, total_fare, departure_ts)) AS n_distinct, true AS near_share, 0 AS on_both_sides FROM trips"),
 )
 def default_split_facts(spark, d):
     """The default split is complete, within five deviations of its share, and equal rows stay together."""
-    rows = trips(spark, d).select(*KEYS, "total_fare", "departure_ts")
-    twice = with_split(rows.unionAll(rows), "total_fare")
+    rows = materialize(trips(spark, d).select(*KEYS, "total_fare", "departure_ts"))
+    # Every row is a group: with parts by their number, a task holds a bounded number of groups.
+    parts = max(spark.sparkContext.defaultParallelism, -(-rows.count() // GROUPS_A_TASK))
+    twice = with_split(rows.unionAll(rows), "total_fare").repartition(parts, *KEYS)
     sides = twice.groupBy(*rows.columns).agg(
         F.count("*").alias("copies"), F.min("is_test").alias("low"), F.max("is_test").alias("high")
     )

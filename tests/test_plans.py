@@ -115,3 +115,13 @@ def test_points_of_kendall_are_dealt_by_their_number(spark, small, monkeypatch):
     found = A.kendall_pairs(rows, ["a", "b"])
     assert re.search(r"rangepartitioning\([^)]*, 34\), REPARTITION_BY_NUM", plan(found))
     assert found.first()["r"] == whole
+
+
+def test_groups_of_the_split_are_dealt_by_their_number(spark, small, monkeypatch):
+    from gridlark.catalog import ensembles
+
+    monkeypatch.setattr(ensembles, "GROUPS_A_TASK", 100)
+    text = plan(QUERIES["default_split_facts"](spark, small))
+    rows = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    assert re.search(r"hashpartitioning\(l_orderkey#\d+L, l_linenumber#\d+, l_partkey#\d+L, l_suppkey#\d+L, (\d+)\), REPARTITION_BY_NUM", text)[1] == str(-(-rows // 100))
+    assert text.count("hashpartitioning") == 1
