@@ -210,3 +210,24 @@ def test_rows_of_equal_bins_count_as_many(spark, depth, split, leaf):
     np.testing.assert_allclose(predictions(model, few), plain_tree(X[:, :2], Y, depth, split, leaf), rtol=1e-9)
     for make in (lambda **p: M.boosted_trees(5, 3, **p), lambda **p: M.boosted_leaves(5, 6, **p)):
         np.testing.assert_allclose(predictions(make(small=40).fit(few), few), predictions(make().fit(few), few), rtol=1e-9)
+
+
+def test_pairs_of_a_level_come_by_node_and_code_without_sorting():
+    """What each level used to sort: its pairs by (node, code), rows of a pair in their order."""
+    rng = np.random.default_rng(5)
+    row, code = np.repeat(np.arange(50), 4), rng.integers(0, 9, 200)
+    by_code = np.argsort(code, kind="stable")
+    row, code = row[by_code], code[by_code]
+    node_of = np.zeros(50, np.int64)
+    for _ in range(4):
+        row, code, pairs = T._dealt(row, code, node_of)
+        node = np.repeat(np.arange(len(pairs)), pairs)
+        assert (node == node_of[row]).all() and len(row) == 4 * (node_of >= 0).sum()
+        order = np.lexsort((row, code, node))
+        assert (np.diff(order) > 0).all()
+        # Some rows are done; a split node's children are numbered in the order of their parents.
+        split = node_of >= 0
+        split[rng.integers(0, 50, 3)] = False
+        _, parent = np.unique(np.where(split, node_of, -1), return_inverse=True)
+        parent = parent - int(not split.all())
+        node_of = np.where(split, 2 * parent + rng.integers(0, 2, 50), -1)
