@@ -231,3 +231,20 @@ def test_pairs_of_a_level_come_by_node_and_code_without_sorting():
         _, parent = np.unique(np.where(split, node_of, -1), return_inverse=True)
         parent = parent - int(not split.all())
         node_of = np.where(split, 2 * parent + rng.integers(0, 2, 50), -1)
+
+
+def test_wide_rows_answer_from_a_table_of_the_features_asked_for(monkeypatch):
+    """Rows too wide for a table of all features looked each cut up among all their codes."""
+    bins = T.Bins.of([np.arange(3.0) - 1] * 6)
+    values = RNG.integers(-2, 3, (40, 6)).astype(float)
+    starts, places = np.arange(41) * 6, np.tile(np.arange(6), 40)
+    codes = bins.encode(starts, places, values.ravel())
+    whole = T.Rows(*codes, bins)
+    monkeypatch.setattr(T, "DENSE", 100)
+    wide = T.Rows(*codes, bins)
+    assert whole.table.shape == (40, 6) and wide.table is None
+    asked = np.array([-1, int(bins.offset[2]), int(bins.offset[5]) + 1], np.int32)
+    assert wide.focus(asked).table.shape == (40, 2)
+    for cut in range(bins.size):
+        all_rows = np.arange(40)
+        assert (wide.goes_left(all_rows, np.full(40, cut)) == whole.goes_left(all_rows, np.full(40, cut))).all()
