@@ -293,6 +293,42 @@ def test_top_k_with_repeated_rows_in_large_shards(spark, copies):
     assert {tuple(r) for r in topk.top_k(df).collect()} == plain_top(rows)
 
 
+@pytest.mark.parametrize("bucket", [1, 3, 100])
+def test_top_k_streams_queries_past_the_shards_of_a_bucket(spark, monkeypatch, bucket):
+    monkeypatch.setattr(topk, "SHARD", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "BUCKET", bucket, raising=False)
+    rng = np.random.default_rng(2)
+    rows = [(int(i), [float(x) for x in np.round(rng.normal(size=20), 1)]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = topk.top_k(df)
+    # Queries times buckets grow faster than the rows: they never go to the driver as one side of a join.
+    assert not re.search(r"BroadcastHashJoin \[bucket", found._jdf.queryExecution().sparkPlan().toString())
+    assert {tuple(r) for r in found.collect()} == plain_top(rows)
+
+
+def test_top_k_buckets_hold_equally_many_shards_before_all_blocks(spark):
+    shards = spark.range(0, 90, 1, 7).selectExpr("encode(string(id), 'utf-8') AS ids", "0 AS dims", "binary('') AS cells", "monotonically_increasing_id() AS _at")
+    blocks = spark.range(11).selectExpr("encode(string(id), 'utf-8') AS ids", "0 AS dims", "binary('') AS cells")
+    parts = topk._pairs(shards, blocks).rdd.mapPartitions(lambda rows: [[r.asks for r in rows]]).collect()
+    assert all(asks == sorted(asks) and sum(asks) == 11 for asks in parts)
+    held = [len(asks) - 11 for asks in parts]
+    assert sum(held) == 90 and max(held) - min(held) <= 1 and max(held) <= topk.BUCKET
+
+
+def test_top_k_in_single_and_double_precision_and_beyond():
+    rng = np.random.default_rng(3)
+    for scale, kind in ((100, "<i2"), (10**6, "<i4"), (2**40, "<f8")):
+        cells = np.floor(rng.normal(size=(900, 12)) * scale)
+        ids, queries = np.arange(900), np.arange(5, 900, 100)
+        found = topk.Shard(ids, cells.astype(kind)).best(queries, cells[queries].astype(kind), 5, np.full(len(queries), -np.inf))
+        exact = cells.astype(int).astype(object)
+        for at, q in enumerate(queries):
+            scores = sorted((-min(max(int(exact[i] @ exact[q]), -(2**63)), 2**63 - 1), i) for i in ids if i != q)[:5]
+            own = found.of == at
+            assert list(zip((-found.scores[own]).tolist(), found.ids[own].tolist())) == scores
+
+
 # repeats
 
 
