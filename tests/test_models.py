@@ -1,14 +1,22 @@
+import os
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from gridlark.catalog import QUERIES
 from gridlark.operators import leaderboard as L
 from gridlark.operators import promotion as G
 from gridlark.operators import regression as M
+from gridlark.operators.cleaning import fill_missing
 from gridlark.operators.metrics import regression_metrics
 from gridlark.operators.splitting import contiguous_folds, hash_folds
+from gridlark.plans.trips import trips
+from gridlark.sources.shared import materialize, shared_folder
 
 RNG = np.random.default_rng(0)
 X = RNG.normal(size=(120, 3)) * [1.0, 5.0, 0.2]
@@ -203,3 +211,29 @@ def test_expired_runs(spark):
     now = F.lit("2024-06-30").cast("timestamp_ntz")
     assert sorted(r["run_id"] for r in G.expired_runs(runs, now).collect()) == [5, 6, 7, 8, 9]
     assert sorted(r["run_id"] for r in G.expired_runs(runs, now, keep=1).collect()) == [4, 5, 6, 7, 8, 9]
+
+
+class Witness(LinearRegression):
+    """Notes how the rows that it learns from are kept."""
+
+    def _fit(self, dataset):
+        level = dataset.storageLevel
+        self.kept, self.files = (level.useMemory, level.useDisk), dataset.inputFiles()
+        return super()._fit(dataset)
+
+
+def test_train_reads_rows_from_a_table_and_no_cache(spark):
+    rows = spark.range(40).selectExpr("double(id) AS x", "double(2 * id) AS label")
+    witness = Witness()
+    M.train(rows, ["x"], {"m": witness})
+    # A cache of vectors takes the executors' memory; the table goes when all is fitted.
+    assert witness.kept == (False, False) and witness.files
+    assert not any(os.path.exists(f.removeprefix("file:")) for f in witness.files)
+
+
+def test_train_reads_stored_rows_as_they_are(spark):
+    table = materialize(spark.range(40).selectExpr("double(id) AS x", "double(2 * id) AS label"))
+    witness = Witness()
+    M.train(table, ["x"], {"m": witness}, stored=True)
+    assert witness.kept == (False, False) and sorted(witness.files) == sorted(table.inputFiles())
+    assert table.count() == 40
