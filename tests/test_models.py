@@ -237,3 +237,25 @@ def test_train_reads_stored_rows_as_they_are(spark):
     M.train(table, ["x"], {"m": witness}, stored=True)
     assert witness.kept == (False, False) and sorted(witness.files) == sorted(table.inputFiles())
     assert table.count() == 40
+
+
+def test_feature_importance_keeps_no_rows_but_vectors(spark, small):
+    home = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(home))
+    assert QUERIES["feature_importance"](spark, small).count() == 15
+    left = [spark.read.parquet(f"{home}/{name}").columns for name in set(os.listdir(home)) - before if name.startswith("table-")]
+    assert left and not any({"departure_ts", "dep_hour"} & set(columns) for columns in left)
+
+
+def test_dropping_duplicates_of_the_trips_moves_no_row_again(spark, small):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = trips(spark, small, located=True)
+        lengths = materialize(rows.select("duration_hrs"))
+        filled = rows.transform(fill_missing, columns=["duration_hrs"], values=lengths)
+        plan = filled._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"HashAggregate\(keys=[^)]*total_fare", plan) and not re.search(r"hashpartitioning\([^)]*total_fare", plan)
+        assert filled.where("duration_hrs IS NULL").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
